@@ -106,10 +106,11 @@ def fill_gaps(weekly: DataFrame, first_week: Column, last_week: Column) -> DataF
 
 
 def week_bounds(calendar: DataFrame) -> tuple[Column, Column]:
-    """First and last calendar week as scalar subqueries."""
-    first = calendar.select(F.min("week_start").alias("first_week")).scalar()
-    last = calendar.select(F.max("week_start").alias("last_week")).scalar()
-    return first, last
+    """First and last calendar week, both from one scalar subquery."""
+    bounds = calendar.select(
+        F.struct(F.min("week_start").alias("first_week"), F.max("week_start").alias("last_week")).alias("bounds")
+    ).scalar()
+    return bounds["first_week"], bounds["last_week"]
 
 
 def dense_series(weekly: DataFrame, calendar: DataFrame) -> DataFrame:

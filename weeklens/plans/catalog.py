@@ -61,9 +61,19 @@ class Inputs:
     def dense(self) -> DataFrame:
         return weekly.dense_weekly(self.weekly, self.calendar)
 
+    @cached_property
+    def stored(self) -> DataFrame:
+        """The dense series as a written table, for queries that read them in several branches.
+
+        The fact tables are scanned once per query; what is read again is the weekly result.
+        """
+        path = work_path(self.spark, "series")
+        self.series.write.parquet(path)
+        return self.spark.read.schema(self.series.schema).parquet(path)
+
     @cached_property
     def labelled(self) -> DataFrame:
-        return split.temporal_split(self.series)
+        return split.temporal_split(self.stored)
 
     @cached_property
     def train(self) -> DataFrame:
@@ -95,15 +105,15 @@ class Inputs:
     @cached_property
     def history(self) -> DataFrame:
         """Errors of the last-year forecast in the weeks after training."""
-        return monitoring.error_history(self.yearly_forecasts, self.series, self.train)
+        return monitoring.error_history(self.yearly_forecasts, self.stored, self.train)
 
     @cached_property
     def yearly_forecasts(self) -> DataFrame:
-        return forecasts.one_step_seasonal(self.series)
+        return forecasts.one_step_seasonal(self.stored)
 
     @cached_property
     def psi(self) -> DataFrame:
-        return monitoring.psi(self.train, weekly.last_rows(self.series, TEST_WEEKS))
+        return monitoring.psi(self.train, weekly.last_rows(self.stored, TEST_WEEKS))
 
     @cached_property
     def checks(self) -> DataFrame:
@@ -150,7 +160,7 @@ class Inputs:
     @cached_property
     def runs(self) -> DataFrame:
         """One run per series and quarter: MASE of the last-year forecast in that quarter."""
-        known = forecasts.with_actuals(self.yearly_forecasts, self.series)
+        known = forecasts.with_actuals(self.yearly_forecasts, self.stored)
         quarter = (F.year("forecast_date") * 4 + F.quarter("forecast_date")).cast("bigint")
         scores = known.groupBy("series_id", "model_type", quarter.alias("seq")).agg(
             F.avg(F.abs(F.col("predicted_value") - F.col("actual"))).alias("mae")
@@ -330,13 +340,13 @@ def retrain_runs(d: Inputs) -> DataFrame:
 
 
 def score_next_weeks(d: Inputs) -> DataFrame:
-    return jobs.score_next_weeks(d.series, d.calendar, STATES, d.fitted(), "v1")
+    return jobs.score_next_weeks(d.stored, d.calendar, STATES, d.fitted(), "v1")
 
 
 def stored_scoring(d: Inputs) -> DataFrame:
     """Coefficients written to the parameter table, read back and used for the weeks after the last one."""
     path = work_path(d.spark, "params")
-    fitted = sar.sar_fit(d.series)
+    fitted = sar.sar_fit(d.stored)
     rows = fitted.select(
         "series_id",
         F.lit(sar.MODEL).alias("model_type"),
@@ -346,7 +356,7 @@ def stored_scoring(d: Inputs) -> DataFrame:
         "sigma2",
     )
     store.write_params(rows, path)
-    return sar.sar_forecast(d.series, jobs.stored_sar(d.spark, path), TEST_WEEKS)
+    return sar.sar_forecast(d.stored, jobs.stored_sar(d.spark, path), TEST_WEEKS)
 
 
 def full_run(d: Inputs) -> DataFrame:
@@ -366,7 +376,7 @@ def proxy_checks(d: Inputs) -> DataFrame:
 def drift_job_alerts(d: Inputs) -> DataFrame:
     _, alerts = jobs.drift_job(d.yearly_forecasts.withColumns(
         {"model_version": F.lit("v1"), "generated_at": F.lit("2001-11-05").cast("timestamp")}
-    ), d.series, d.train)
+    ), d.stored, d.train)
     return alerts.select("series_id", "model_type", "alert_type", "action", "metric_value")
 
 
@@ -393,8 +403,7 @@ def promotion_step(d: Inputs) -> DataFrame:
 
 
 def weekly_stream(d: Inputs) -> DataFrame:
-    schema = star.table(d.spark, d.sf_dir, "events").schema
-    source = d.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d.sf_dir)
+    source = d.spark.readStream.schema(star.SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(d.sf_dir)
     sink, mark = work_path(d.spark, "stream_weekly"), work_path(d.spark, "stream_mark")
     cents = source.select(F.col("ts").cast("timestamp").alias("ts"), "event_type", F.round(F.col("value") * 100).cast("bigint").alias("cents"))
     stream.drain_weekly_totals(cents, "event_type", "cents", sink, mark)
@@ -437,7 +446,7 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     # weekly series
     "weekly_sales": lambda d: d.weekly,
     "daily_calendar_join": lambda d: weekly.join_calendar(d.daily, d.calendar, "date")
-    .groupBy("state_id", "cat_id", "d", "week_id", "is_holiday")
+    .groupBy("state_id", "cat_id", "date", "week_id", "is_holiday")
     .agg(F.sum("sales").alias("sales")),
     "dense_weekly": lambda d: d.dense,
     "whole_weeks": lambda d: weekly.partial_weeks_dropped(d.weekly, d.calendar).select(
@@ -459,20 +468,20 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     ),
     "rolling_stats": lambda d: features.rolling_stats(d.series),
     "lag_difference": lambda d: features.lag_difference(d.series),
-    "split_labels": lambda d: d.labelled.select("series_id", "week_start", "total_sales", "split", "too_short"),
-    "split_sizes": lambda d: split.split_sizes(d.labelled),
-    "scaler_params": lambda d: split.scaler_params(d.labelled),
+    "split_labels": lambda d: split.temporal_split(d.series).select("series_id", "week_start", "total_sales", "split", "too_short"),
+    "split_sizes": lambda d: split.split_sizes(split.temporal_split(d.series)),
+    "scaler_params": lambda d: split.scaler_params(split.temporal_split(d.series)),
     "scaled_series": lambda d: split.scale(
         d.labelled.select("series_id", "week_start", "split", "total_sales"), split.scaler_params(d.labelled)
     ),
-    "scaled_in_place": lambda d: split.scale_in_place(d.labelled).select("series_id", "week_start", "scaled"),
+    "scaled_in_place": lambda d: split.scale_in_place(split.temporal_split(d.series)).select("series_id", "week_start", "scaled"),
     "restored_series": lambda d: split.unscale(
         split.scale_in_place(d.labelled).select("series_id", "week_start", "scaled"), split.scaler_params(d.labelled)
     ),
-    "training_windows": lambda d: split.training_windows(d.labelled).select(
+    "training_windows": lambda d: split.training_windows(split.temporal_split(d.series)).select(
         "series_id", "week_start", F.array_join("inputs", ",").alias("inputs"), "target"
     ),
-    "validation_windows": lambda d: split.validation_windows(d.labelled).select(
+    "validation_windows": lambda d: split.validation_windows(split.temporal_split(d.series)).select(
         "series_id", "week_start", F.array_join("inputs", ",").alias("inputs"), "target"
     ),
     # forecasts and accuracy
@@ -496,7 +505,7 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "series_results": lambda d: metrics.series_results(d.results, ONE_SERIES),
     "accuracy_bands": lambda d: metrics.accuracy_band(d.results).select("series_id", "model", "band"),
     "rolling_mase": lambda d: metrics.rolling_mase(
-        forecasts.with_actuals(d.yearly_forecasts, d.series), d.train
+        forecasts.with_actuals(d.yearly_forecasts, d.stored), d.train
     ),
     "metrics_by_horizon": lambda d: metrics.metrics_by_horizon(d.pairs, d.train),
     # exploration
@@ -529,7 +538,7 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "holiday_table": lambda d: holiday_table(d.calendar, STATES),
     "additive_fit": lambda d: d.additive_params.select("series_id", "n", "coef", "sigma2"),
     "additive_forecast": additive_future,
-    "additive_components": lambda d: additive.additive_components(d.series, d.additive_params, d.calendar, STATES),
+    "additive_components": lambda d: additive.additive_components(d.stored, d.additive_params, d.calendar, STATES),
     "additive_in_sample": lambda d: additive.additive_in_sample(d.known, d.additive_params, d.calendar, STATES),
     "window_losses": lambda d: window_model.window_losses(d.labelled, d.window_model),
     "window_forecast": window_future,
