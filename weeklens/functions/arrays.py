@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,8 +13,9 @@ def dot(left: Column, right: Column) -> Column:
     return F.aggregate(F.zip_with(left, right, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
 
 
-def slice_from(values: Column, first: int, length: int) -> Column:
-    return F.slice(values, F.lit(first), F.lit(length))
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, also inside a lambda where it is used repeatedly."""
+    return F.transform(F.array(value), body)[0]
 
 
 def ordered_values(order: str, value: str) -> Column:

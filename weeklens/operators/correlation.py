@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weeklens.functions.arrays import dot
+from weeklens.functions.arrays import dot, let
 from weeklens.functions.numeric import chi_square_tail, ratio, z_value
 from weeklens.operators.weekly import series_window
 
@@ -27,12 +27,13 @@ def _autocorrelations(df: DataFrame, nlags: int, value: str) -> DataFrame:
     centred = df.where(F.col(value).isNotNull()).select(
         "series_id", "week_start", (y - F.avg(y).over(Window.partitionBy("series_id"))).alias("c")
     )
-    products = centred.select(
-        "series_id", *[(F.col("c") * F.lag("c", k).over(series_window())).alias(f"p{k}") for k in range(nlags + 1)]
-    )
-    sums = products.groupBy("series_id").agg(
-        F.count(F.lit(1)).alias("n"), F.array(*[F.coalesce(F.sum(f"p{k}"), F.lit(0.0)) for k in range(nlags + 1)]).alias("s")
+    lags = range(nlags + 1)
+    products = centred.selectExpr(
+        "series_id",
+        *[f"c * lag(c, {k}) OVER (PARTITION BY series_id ORDER BY week_start) AS p{k}" for k in lags],
     )
+    totals = ", ".join(f"coalesce(sum(p{k}), 0D)" for k in lags)
+    sums = products.groupBy("series_id").agg(F.count(F.lit(1)).alias("n"), F.expr(f"array({totals})").alias("s"))
     return sums.select("series_id", "n", F.transform("s", lambda v: ratio(v, F.col("s")[0])).alias("r"))
 
 
@@ -56,13 +57,16 @@ def _levinson(r: Column, nlags: int) -> Column:
 
     def step(state: Column, k: Column) -> Column:
         past = F.reverse(F.slice(r, 2, k - 1))
-        partial = ratio(r[k] - dot(state["phi"], past), state["v"])
-        phi = F.zip_with(state["phi"], F.reverse(state["phi"]), lambda a, b: a - partial * b)
-        return F.struct(
-            F.concat(phi, F.array(partial)).alias("phi"),
-            (state["v"] * (1.0 - partial * partial)).alias("v"),
-            F.concat(state["out"], F.array(partial)).alias("out"),
-        )
+
+        def update(partial: Column) -> Column:
+            phi = F.zip_with(state["phi"], F.reverse(state["phi"]), lambda a, b: a - partial * b)
+            return F.struct(
+                F.concat(phi, F.array(partial)).alias("phi"),
+                (state["v"] * (1.0 - partial * partial)).alias("v"),
+                F.concat(state["out"], F.array(partial)).alias("out"),
+            )
+
+        return let(ratio(r[k] - dot(state["phi"], past), state["v"]), update)
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(nlags)), zero, step, lambda s: s["out"])
 

@@ -22,19 +22,21 @@ def newsvendor(
         b = stockout_cost if isinstance(stockout_cost, Column) else F.lit(float(stockout_cost))
         h = holding_cost if isinstance(holding_cost, Column) else F.lit(float(holding_cost))
         share = b / (b + h)
-        z = normal_quantile(share)
+        quantile = normal_quantile(F.col("critical_ratio"))
     else:
         ratio = stockout_cost / (stockout_cost + holding_cost)
-        b, h, share, z = F.lit(float(stockout_cost)), F.lit(float(holding_cost)), F.lit(ratio), F.lit(z_value(ratio))
+        b, h, share = F.lit(float(stockout_cost)), F.lit(float(holding_cost)), F.lit(ratio)
+        quantile = F.lit(z_value(ratio))
     sigma = F.col("MAE") * F.lit(math.sqrt(math.pi / 2))
-    density = normal_density(z)
-    return metrics.select(
-        "*",
-        share.alias("critical_ratio"),
-        sigma.alias("sigma"),
-        clip_zero(F.col("mean_demand") + z * sigma).alias("order_quantity"),
-        (h * sigma * density + b * sigma * (1.0 - share) * density).alias("expected_cost"),
-        ((h + b) * sigma * density).alias("expected_cost_textbook"),
+    # One projection per step: each expensive value is computed once and then only referenced.
+    prepared = metrics.select("*", share.alias("critical_ratio"), sigma.alias("sigma"))
+    scored = prepared.select("*", quantile.alias("z")).select("*", normal_density(F.col("z")).alias("density"))
+    z, s, density = F.col("z"), F.col("sigma"), F.col("density")
+    return scored.select(
+        *prepared.columns,
+        clip_zero(F.col("mean_demand") + z * s).alias("order_quantity"),
+        (h * s * density + b * s * (1.0 - F.col("critical_ratio")) * density).alias("expected_cost"),
+        ((h + b) * s * density).alias("expected_cost_textbook"),
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weeklens.config import SeasonalArConfig
-from weeklens.functions.arrays import ordered_values
+from weeklens.functions.arrays import let, ordered_values
 from weeklens.functions.dates import add_weeks
 from weeklens.functions.numeric import ratio, z_value
 from weeklens.operators.forecasts import forecast_frame
@@ -92,14 +92,14 @@ def _extend(levels: Column, changes: Column, steps: int, season: int) -> Column:
     zero = F.struct(levels.alias("y"), changes.alias("w"))
 
     def step(state: Column, _: Column) -> Column:
-        w = F.col("phi1") * F.element_at(state["w"], -1) + F.col("phi_s") * F.element_at(state["w"], -season)
-        y = (
-            F.element_at(state["y"], -1)
-            + F.element_at(state["y"], -season)
-            - F.element_at(state["y"], -(season + 1))
-            + w
-        )
-        return F.struct(F.concat(state["y"], F.array(y)).alias("y"), F.concat(state["w"], F.array(w)).alias("w"))
+        def back(name: str, k: int) -> Column:
+            return F.element_at(state[name], -k)
+
+        def grow(w: Column) -> Column:
+            y = back("y", 1) + back("y", season) - back("y", season + 1) + w
+            return F.struct(F.concat(state["y"], F.array(y)).alias("y"), F.concat(state["w"], F.array(w)).alias("w"))
+
+        return let(F.col("phi1") * back("w", 1) + F.col("phi_s") * back("w", season), grow)
 
     if steps == 0:
         return levels

@@ -29,8 +29,8 @@ def state_of(store_or_series: str) -> Column:
 def melt_wide(wide: DataFrame, id_columns: Iterable[str] = WIDE_ID_COLUMNS) -> DataFrame:
     """One row per id and day column. The names travel as one literal array, so gaps in the numbering are fine."""
     days = [c for c in wide.columns if c.startswith(DAY_PREFIX)]
-    names = F.array(*[F.lit(c) for c in days])
-    cells = F.array(*[F.col(c).cast("int") for c in days])
+    names = F.split(F.lit(",".join(days)), ",")
+    cells = F.expr("array(" + ", ".join(f"CAST({c} AS INT)" for c in days) + ")")
     ids = list(id_columns)
     return wide.select(*ids, F.posexplode(cells).alias("pos", "sales")).select(
         *ids, F.element_at(names, F.col("pos") + 1).alias("d"), "sales"

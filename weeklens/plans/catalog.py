@@ -178,20 +178,24 @@ class Inputs:
     def staged(self) -> DataFrame:
         return registry.stages(self.decided)
 
-    def wide(self) -> DataFrame:
-        """Wide daily sales, one row per item and store, one column per calendar day."""
-        days = [r.d for r in self.calendar.select("d").orderBy("date").collect()]
-        dated = self.daily.join(self.calendar.select("date", "d"), "date")
-        ids = {
-            "id": F.concat_ws("_", "item_id", "store_id"),
-            "dept_id": F.concat("cat_id", F.lit("_1")),
-        }
-        keyed = dated.withColumns(ids).groupBy(*files.WIDE_ID_COLUMNS)
-        return keyed.pivot("d", days).sum("sales").fillna(0, subset=days)
-
     def wide_csv(self) -> str:
+        """Writes wide daily sales as CSV: one row per item and store, one column per calendar day."""
+        days = self.calendar.count()
+        keyed = self.daily.withColumns(
+            {"id": F.concat_ws("_", "item_id", "store_id"), "dept_id": F.concat("cat_id", F.lit("_1"))}
+        ).join(self.calendar.select("date", F.substring("d", 3, 9).cast("int").alias("day")), "date")
+        ids = list(files.WIDE_ID_COLUMNS)
+        sold = keyed.groupBy(*ids, "day").agg(F.sum("sales").alias("sales"))
+        unsold = sold.select(*ids).distinct().select(
+            *ids, F.explode(F.sequence(F.lit(1), F.lit(days))).alias("day"), F.lit(0).cast("bigint").alias("sales")
+        )
+        cells = sold.unionByName(unsold).groupBy(*ids, "day").agg(F.sum("sales").alias("sales"))
+        rows = cells.groupBy(*ids).agg(F.array_sort(F.collect_list(F.struct("day", "sales"))).alias("cells"))
+        line = F.concat_ws(",", *ids, F.transform("cells", lambda c: c["sales"].cast("string")))
+        header = ",".join([*ids, *[f"{files.DAY_PREFIX}{i + 1}" for i in range(days)]])
         path = work_path(self.spark, "sales_wide")
-        self.wide().write.option("header", True).csv(path)
+        # The lines hold their own commas, so the writer gets a separator that never occurs.
+        rows.select(line.alias(header)).write.option("header", True).option("sep", "\u0001").csv(path)
         return path
 
 
