@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # The alert limits, split sizes and periods every result depends on.
 SEASON = 52
@@ -87,3 +87,12 @@ def work_path(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="weeklens-")
         spark.conf.set("spark.checkpoint.dir", root)
     return os.path.join(root, "weeklens", f"{name}-{uuid.uuid4().hex}")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the cluster's folder; a local folder is set only where none is."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        root = df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="weeklens-")
+        context.setCheckpointDir(root)
+    return df.checkpoint()

@@ -24,6 +24,8 @@ from weeklens.sources.calendar import holiday_table
 
 MODEL = "additive"
 SPAN = ("state", "first_week", "n")
+# A solution takes about 250 kB for ten years of weeks, so this many are safe to broadcast.
+BROADCAST_SPANS = 64
 SALTS = 64
 _TREND_PENALTY = 1 / 25.0
 
@@ -104,7 +106,8 @@ def additive_fit(
 ) -> DataFrame:
     """(series_id, state, first_week, n, names, coef, sigma2) for dense training series.
 
-    Many series share one span, so the join key repeats; salting spreads them over tasks.
+    The spans are counted first. Few of them, as with dense series, are broadcast to the series; with many
+    the key is salted, because a common span may belong to most of the series.
     """
     series = train.groupBy("series_id").agg(
         F.min("week_start").alias("first_week"),
@@ -118,11 +121,14 @@ def additive_fit(
         .select(state_of("series_id").alias("state"), "first_week", "n")
         .distinct()
     )
-    solutions = span_solutions(spans, week_holidays(calendar, states), config).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    )
-    salted = placed.withColumn("salt", F.pmod(F.xxhash64("series_id"), F.lit(SALTS)).cast("int"))
-    fitted = salted.join(solutions, [*SPAN, "salt"]).select(
+    solutions = span_solutions(spans, week_holidays(calendar, states), config)
+    if spans.limit(BROADCAST_SPANS + 1).count() <= BROADCAST_SPANS:
+        joined = placed.join(F.broadcast(solutions), list(SPAN))
+    else:
+        salt = F.pmod(F.xxhash64("series_id"), F.lit(SALTS)).cast("int")
+        spread = solutions.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = placed.withColumn("salt", salt).join(spread, [*SPAN, "salt"])
+    fitted = joined.select(
         "series_id", *SPAN, "names", "y", "design", F.transform("solution", lambda row: dot(row, F.col("y"))).alias("coef")
     )
     misses = F.zip_with("design", "y", lambda x, y: y - dot(x, F.col("coef")))

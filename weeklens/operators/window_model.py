@@ -5,11 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weeklens.config import WindowConfig
+from weeklens.config import WindowConfig, checkpointed
 from weeklens.functions.arrays import dot, ordered_values
 from weeklens.functions.dates import add_weeks
 from weeklens.operators.forecasts import forecast_frame
@@ -17,6 +17,8 @@ from weeklens.operators.split import scale_in_place, training_windows, validatio
 from weeklens.operators.weekly import last_rows
 
 MODEL = "window"
+TREE_MODEL = "window_trees"
+_ROUNDS_PER_CUT = 4
 
 
 @dataclass(frozen=True)
@@ -35,6 +37,12 @@ class WindowModel:
         return F.array(*[F.lit(w) for w in self.weights])
 
 
+def _samples(scaled: DataFrame, config: WindowConfig) -> DataFrame:
+    return training_windows(scaled, "scaled", config.window).select(
+        array_to_vector("inputs").alias("features"), F.col("target").alias("label")
+    )
+
+
 def window_fit(labelled: DataFrame, config: WindowConfig = WindowConfig(), solver: str = "normal") -> WindowModel:
     """Fits on the training rows of a split frame, scaled per series by training minimum and maximum.
 
@@ -42,9 +50,7 @@ def window_fit(labelled: DataFrame, config: WindowConfig = WindowConfig(), solve
     yields a loss history.
     """
     scaled = scale_in_place(labelled.where(F.col("split") != "test"))
-    samples = training_windows(scaled, "scaled", config.window).select(
-        array_to_vector("inputs").alias("features"), F.col("target").alias("label")
-    )
+    samples = _samples(scaled, config)
     learner = LinearRegression(regParam=config.reg_param, maxIter=config.max_iter, solver=solver, standardization=False)
     model = learner.fit(samples)
     return WindowModel(
@@ -67,15 +73,22 @@ def window_losses(labelled: DataFrame, model: WindowModel) -> DataFrame:
     return train.unionByName(loss(validation_windows(scaled, "scaled", model.window), "val"))
 
 
-def window_forecast(history: DataFrame, scaler: DataFrame, model: WindowModel, steps: int) -> DataFrame:
-    """Feeds predictions back into the window. A series shorter than the window is an error."""
-    size = model.window
+def window_fit_trees(
+    labelled: DataFrame, config: WindowConfig = WindowConfig(), rounds: int = 20, seed: int = 42
+) -> GBTRegressionModel:
+    """Boosted trees on the same windows, for shapes a line cannot follow."""
+    scaled = scale_in_place(labelled.where(F.col("split") != "test"))
+    return GBTRegressor(maxIter=rounds, maxDepth=4, seed=seed).fit(_samples(scaled, config))
+
+
+def _seeds(history: DataFrame, scaler: DataFrame, size: int) -> DataFrame:
+    """(series_id, last_week, data_min, span, values): the last ``size`` values of each series."""
     seed = last_rows(history, size).groupBy("series_id").agg(
         F.max("week_start").alias("last_week"), ordered_values("week_start", "total_sales").alias("values")
     )
     span = F.when(F.col("data_max") == F.col("data_min"), F.lit(1.0)).otherwise(F.col("data_max") - F.col("data_min"))
     short = F.concat(F.lit("history shorter than the window: "), F.col("series_id"))
-    ready = seed.join(scaler, "series_id").select(
+    return seed.join(scaler, "series_id").select(
         "series_id",
         "last_week",
         "data_min",
@@ -84,6 +97,23 @@ def window_forecast(history: DataFrame, scaler: DataFrame, model: WindowModel, s
         .otherwise(F.raise_error(short).cast("array<double>"))
         .alias("values"),
     )
+
+
+def _dated(rows: DataFrame, model_type: str) -> DataFrame:
+    """Forecast frame from rows with a scaled ``point`` and its zero-based step ``i``."""
+    dated = rows.select(
+        "series_id",
+        (F.col("i") + 1).alias("horizon"),
+        add_weeks(F.col("last_week"), F.col("i") + 1).alias("forecast_date"),
+        (F.col("point") * F.col("span") + F.col("data_min")).alias("value"),
+    )
+    return forecast_frame(dated, model_type, F.col("value"))
+
+
+def window_forecast(history: DataFrame, scaler: DataFrame, model: WindowModel, steps: int) -> DataFrame:
+    """Feeds predictions back into the window. A series shorter than the window is an error."""
+    size = model.window
+    ready = _seeds(history, scaler, size)
     scaled = F.transform("values", lambda v: (v - F.col("data_min")) / F.col("span"))
 
     def step(state: Column, _: Column) -> Column:
@@ -94,10 +124,26 @@ def window_forecast(history: DataFrame, scaler: DataFrame, model: WindowModel, s
     rows = ready.select(
         "series_id", "last_week", "data_min", "span", F.slice(folded, size + 1, steps).alias("points")
     ).select("series_id", "last_week", "data_min", "span", F.posexplode("points").alias("i", "point"))
-    dated = rows.select(
-        "series_id",
-        (F.col("i") + 1).alias("horizon"),
-        add_weeks(F.col("last_week"), F.col("i") + 1).alias("forecast_date"),
-        (F.col("point") * F.col("span") + F.col("data_min")).alias("value"),
+    return _dated(rows, MODEL)
+
+
+def window_forecast_trees(
+    history: DataFrame, scaler: DataFrame, model: GBTRegressionModel, steps: int, size: int = WindowConfig.window
+) -> DataFrame:
+    """The same recursion with a tree ensemble: one scoring round per step over one row per series.
+
+    Every few rounds a checkpoint cuts the plan.
+    """
+    scaled = F.transform("values", lambda v: (v - F.col("data_min")) / F.col("span"))
+    state = _seeds(history, scaler, size).select("series_id", "last_week", "data_min", "span", scaled.alias("path"))
+    for step in range(steps):
+        latest = F.slice("path", F.size("path") - (size - 1), F.lit(size))
+        scored = model.transform(state.withColumn("features", array_to_vector(latest)))
+        grown = F.concat("path", F.array("prediction")).alias("path")
+        state = scored.select("series_id", "last_week", "data_min", "span", grown)
+        if (step + 1) % _ROUNDS_PER_CUT == 0:
+            state = checkpointed(state)
+    rows = state.select(
+        "series_id", "last_week", "data_min", "span", F.posexplode(F.slice("path", size + 1, steps)).alias("i", "point")
     )
-    return forecast_frame(dated, MODEL, F.col("value"))
+    return _dated(rows, TREE_MODEL)

@@ -41,9 +41,16 @@ class Inputs:
         self.spark = spark
         self.sf_dir = sf_dir
 
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        """The frame as a table in the shared work folder, so that later branches read the result."""
+        path = work_path(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     @cached_property
     def calendar(self) -> DataFrame:
-        return star.calendar(self.spark, self.sf_dir)
+        """Calendar rows, one per day of the span: found by one scan of the shipping days, then a small table."""
+        return self.written(star.calendar(self.spark, self.sf_dir), "calendar")
 
     @cached_property
     def daily(self) -> DataFrame:
@@ -67,9 +74,7 @@ class Inputs:
 
         The fact tables are scanned once per query; what is read again is the weekly result.
         """
-        path = work_path(self.spark, "series")
-        self.series.write.parquet(path)
-        return self.spark.read.schema(self.series.schema).parquet(path)
+        return self.written(self.series, "series")
 
     @cached_property
     def labelled(self) -> DataFrame:
@@ -328,6 +333,11 @@ def window_future(d: Inputs) -> DataFrame:
     return window_model.window_forecast(d.known, split.scaler_params(d.labelled), d.window_model, TEST_WEEKS)
 
 
+def window_future_trees(d: Inputs) -> DataFrame:
+    model = window_model.window_fit_trees(d.labelled)
+    return window_model.window_forecast_trees(d.known, split.scaler_params(d.labelled), model, TEST_WEEKS)
+
+
 def window_history(d: Inputs) -> DataFrame:
     model = window_model.window_fit(d.labelled, solver="l-bfgs")
     rows = list(enumerate(float(v) for v in model.losses))
@@ -429,7 +439,7 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "wide_scan": wide_scan,
     "wide_to_weekly": wide_to_weekly,
     "calendar_scan": calendar_scan,
-    "calendar_flags": lambda d: d.calendar,
+    "calendar_flags": lambda d: star.calendar(d.spark, d.sf_dir),
     "sell_prices_scan": sell_prices_scan,
     "weekly_cached": weekly_cached,
     "calendar_cached": calendar_cached,
@@ -546,6 +556,7 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "additive_in_sample": lambda d: additive.additive_in_sample(d.known, d.additive_params, d.calendar, STATES),
     "window_losses": lambda d: window_model.window_losses(d.labelled, d.window_model),
     "window_forecast": window_future,
+    "window_forecast_trees": window_future_trees,
     "window_history": window_history,
     # monitoring and cost
     "error_history": lambda d: d.history.select("series_id", "model_type", "forecast_date", "error", "mase", "rank"),
