@@ -80,19 +80,21 @@ def spark_session(app: str = "weeklens", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def _shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; a local one is set only where the session has none."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="weeklens-"))
+    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """Fresh path in the cluster's shared checkpoint folder, or in a local one where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="weeklens-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return os.path.join(root, "weeklens", f"{name}-{uuid.uuid4().hex}")
+    """Fresh path for a table in the shared folder."""
+    return os.path.join(_shared_folder(spark), "weeklens", f"{name}-{uuid.uuid4().hex}")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the cluster's folder; a local folder is set only where none is."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        root = df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="weeklens-")
-        context.setCheckpointDir(root)
+    """Reliable checkpoint in the shared folder."""
+    _shared_folder(df.sparkSession)
     return df.checkpoint()

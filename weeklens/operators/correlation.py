@@ -17,8 +17,8 @@ from weeklens.functions.numeric import chi_square_tail, ratio, z_value
 from weeklens.operators.weekly import series_window
 
 
-def _autocorrelations(df: DataFrame, nlags: int, value: str) -> DataFrame:
-    """(series_id, n, r): r[k] is the biased autocorrelation at lag k + 0, k = 0..nlags.
+def autocorrelations(df: DataFrame, nlags: int, value: str = "total_sales") -> DataFrame:
+    """(series_id, n, r): r[k] is the biased autocorrelation at lag k, k = 0..nlags.
 
     Lag products come from window lags and one aggregate on the same key, so a series moves once and no
     pair rows are made.
@@ -39,8 +39,13 @@ def _autocorrelations(df: DataFrame, nlags: int, value: str) -> DataFrame:
 
 def acf(df: DataFrame, nlags: int = 60, alpha: float = 0.05, value: str = "total_sales") -> DataFrame:
     """Autocorrelation at lags 0..nlags with Bartlett's band; lag 0 has a band of no width."""
+    return acf_rows(autocorrelations(df, nlags, value), alpha)
+
+
+def acf_rows(correlations: DataFrame, alpha: float = 0.05) -> DataFrame:
+    """``acf`` from a frame of ``autocorrelations``."""
     z = z_value(1 - alpha / 2)
-    rows = _autocorrelations(df, nlags, value).select("series_id", "n", F.posexplode("r").alias("lag", "acf"))
+    rows = correlations.select("series_id", "n", F.posexplode("r").alias("lag", "acf"))
     earlier = Window.partitionBy("series_id").orderBy("lag").rowsBetween(Window.unboundedPreceding, -1)
     squares = F.coalesce(F.sum(F.when(F.col("lag") > 0, F.col("acf") * F.col("acf"))).over(earlier), F.lit(0.0))
     variance = F.when(F.col("lag") == 0, F.lit(0.0)).otherwise((1.0 + 2.0 * squares) / F.col("n"))
@@ -73,14 +78,17 @@ def _levinson(r: Column, nlags: int) -> Column:
 
 def pacf(df: DataFrame, nlags: int = 60, alpha: float = 0.05, value: str = "total_sales") -> DataFrame:
     """Partial autocorrelation (Yule-Walker, biased) with the +-z/sqrt(n) band; needs nlags < n / 2."""
+    return pacf_rows(autocorrelations(df, nlags, value), nlags, alpha)
+
+
+def pacf_rows(correlations: DataFrame, nlags: int = 60, alpha: float = 0.05) -> DataFrame:
+    """``pacf`` from a frame of ``autocorrelations`` with at least ``nlags`` lags."""
     z = z_value(1 - alpha / 2)
     short = F.concat(F.lit("pacf needs more than twice as many values as lags: "), F.col("series_id"))
     checked = F.when(F.col("n") > 2 * nlags, F.col("n")).otherwise(F.raise_error(short).cast("bigint"))
-    rows = (
-        _autocorrelations(df, nlags, value)
-        .select("series_id", checked.alias("n"), F.concat(F.array(F.lit(1.0)), _levinson(F.col("r"), nlags)).alias("p"))
-        .select("series_id", "n", F.posexplode("p").alias("lag", "pacf"))
-    )
+    rows = correlations.select(
+        "series_id", checked.alias("n"), F.concat(F.array(F.lit(1.0)), _levinson(F.col("r"), nlags)).alias("p")
+    ).select("series_id", "n", F.posexplode("p").alias("lag", "pacf"))
     half = F.when(F.col("lag") == 0, F.lit(0.0)).otherwise(F.lit(z) / F.sqrt(F.col("n").cast("double")))
     return rows.select(
         "series_id",
@@ -93,7 +101,7 @@ def pacf(df: DataFrame, nlags: int = 60, alpha: float = 0.05, value: str = "tota
 
 def ljung_box(residuals: DataFrame, lags: int = 10, value: str = "residual") -> DataFrame:
     """Ljung-Box statistic, p-value and whether the residuals pass as white noise at 5 %."""
-    r = _autocorrelations(residuals, lags, value)
+    r = autocorrelations(residuals, lags, value)
     n = F.col("n").cast("double")
     terms = [F.col("r")[k] * F.col("r")[k] / (n - k) for k in range(1, lags + 1)]
     stat = r.select("series_id", (n * (n + 2.0) * reduce(lambda a, b: a + b, terms)).alias("lb_stat"))

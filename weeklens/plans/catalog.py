@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -354,7 +354,8 @@ def retrain_runs(d: Inputs) -> DataFrame:
 
 
 def score_next_weeks(d: Inputs) -> DataFrame:
-    return jobs.score_next_weeks(d.stored, d.calendar, STATES, d.fitted(), "v1")
+    fitted = d.fitted().stored(d.spark, work_path(d.spark, "models"))
+    return jobs.score_next_weeks(d.stored, d.calendar, STATES, fitted, "v1")
 
 
 def stored_scoring(d: Inputs) -> DataFrame:
@@ -373,6 +374,13 @@ def stored_scoring(d: Inputs) -> DataFrame:
     return sar.sar_forecast(d.stored, jobs.stored_sar(d.spark, path), TEST_WEEKS)
 
 
+def eda_tables(d: Inputs) -> DataFrame:
+    """Row counts of the exploratory reports."""
+    reports = jobs.eda_report(d.stored, d.calendar, work_path(d.spark, "eda"))
+    counts = [r.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("report"), "n_rows") for name, r in reports.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def full_run(d: Inputs) -> DataFrame:
     out = work_path(d.spark, "run")
     stamp = F.lit("2001-11-05 00:00:00").cast("timestamp")
@@ -599,6 +607,7 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "score_next_weeks": score_next_weeks,
     "stored_scoring": stored_scoring,
     "drift_job_alerts": drift_job_alerts,
+    "eda_tables": eda_tables,
     "full_run": full_run,
     # streaming
     "weekly_stream": weekly_stream,

@@ -7,24 +7,27 @@ one stage and lineage never spans a whole job.
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weeklens.config import TEST_WEEKS, ModelDefaults
-from weeklens.functions.arrays import ordered_values
+from weeklens.config import TEST_WEEKS, ModelDefaults, work_path
 from weeklens.operators import additive, correlation, decompose, metrics, monitoring, registry, sar, window_model
 from weeklens.operators.features import features, rolling_stats
 from weeklens.operators.forecasts import (
     future_weeks, heuristic_bounds, seasonal_naive, union_forecasts, with_actuals,
 )
 from weeklens.operators.split import scaler_params, temporal_split, train_rows
+from weeklens.operators.weekly import last_rows
 from weeklens.sources.calendar import event_weeks
 from weeklens.sources.files import read_through, require_sources, write_results_csv
-from weeklens.sources.store import ForecastTable, latest_forecasts, read_params, require_params, write_params
+from weeklens.sources.store import (
+    ForecastTable, latest_forecasts, latest_params, read_params, require_params, write_params,
+)
 
 log = logging.getLogger("weeklens")
+ACF_LAGS = 60
 
 
 @dataclass(frozen=True)
@@ -36,6 +39,20 @@ class Fitted:
     window: window_model.WindowModel
     scaler: DataFrame
 
+    def stored(self, spark: SparkSession, path: str) -> Fitted:
+        """The same models with their coefficient frames written once and read back."""
+
+        def table(frame: DataFrame, name: str) -> DataFrame:
+            frame.write.mode("overwrite").parquet(f"{path}/{name}")
+            return spark.read.schema(frame.schema).parquet(f"{path}/{name}")
+
+        return replace(
+            self,
+            sar=table(self.sar, "sar"),
+            additive=table(self.additive, "additive"),
+            scaler=table(self.scaler, "scaler"),
+        )
+
     def params(self, version: str, generated_at: Column) -> DataFrame:
         """Coefficients in the parameter-table layout."""
         stamp = [F.lit(version).alias("version"), generated_at.alias("generated_at")]
@@ -103,7 +120,8 @@ def retrain(
     defaults: ModelDefaults = ModelDefaults(),
 ) -> tuple[Fitted, DataFrame]:
     """Fits on train, scores on val and returns the models with their candidate runs."""
-    fitted = fit_models(labelled, calendar, states, defaults)
+    spark = labelled.sparkSession
+    fitted = fit_models(labelled, calendar, states, defaults).stored(spark, work_path(spark, "models"))
     scores = validation_scores(labelled, calendar, states, fitted, defaults).select(
         F.lit(seq).alias("seq"), "series_id", F.col("model").alias("model_type"), F.col("MASE").alias("val_mase")
     )
@@ -149,23 +167,31 @@ def drift_job(
         history = monitoring.proxy_history(newest, weeks)
     else:
         raise ValueError(f"unknown error_mode {error_mode!r}")
-    from weeklens.operators.weekly import last_rows
-
     shift = monitoring.psi(train, last_rows(weekly, recent_weeks))
     checks = monitoring.active(monitoring.drift_checks(history, shift))
     return checks, monitoring.alert_rows(checks)
 
 
-def eda_report(weekly: DataFrame, calendar: DataFrame) -> dict[str, DataFrame]:
-    """All exploratory reports of every series, one table each."""
-    parts = decompose.decompose_stl(weekly)
+def eda_report(weekly: DataFrame, calendar: DataFrame, path: str) -> dict[str, DataFrame]:
+    """All exploratory reports of every series, written as one table each.
+
+    Anomalies read the stored decomposition, and both correlation reports the stored autocorrelations.
+    """
+    spark = weekly.sparkSession
+
+    def table(frame: DataFrame, name: str) -> DataFrame:
+        frame.write.mode("overwrite").parquet(f"{path}/{name}")
+        return spark.read.schema(frame.schema).parquet(f"{path}/{name}")
+
+    stl = table(decompose.decompose_stl(weekly), "stl")
+    correlations = table(correlation.autocorrelations(weekly, ACF_LAGS), "autocorrelations")
     return {
-        "adf": correlation.adf_test(weekly),
-        "stl": parts,
-        "acf": correlation.acf(weekly),
-        "pacf": correlation.pacf(weekly),
-        "anomalies": decompose.detect_anomalies(parts, event_weeks(calendar)),
-        "rolling": rolling_stats(weekly),
+        "stl": stl,
+        "anomalies": table(decompose.detect_anomalies(stl, event_weeks(calendar)), "anomalies"),
+        "acf": table(correlation.acf_rows(correlations), "acf"),
+        "pacf": table(correlation.pacf_rows(correlations, ACF_LAGS), "pacf"),
+        "adf": table(correlation.adf_test(weekly), "adf"),
+        "rolling": table(rolling_stats(weekly), "rolling"),
     }
 
 
@@ -182,18 +208,18 @@ def run_all(
     features(weekly, states).write.mode("overwrite").parquet(f"{out}/features")
     labelled = temporal_split(weekly)
     if with_eda:
-        for name, report in eda_report(weekly, calendar).items():
-            report.write.mode("overwrite").parquet(f"{out}/eda/{name}")
+        eda_report(weekly, calendar, f"{out}/eda")
 
     runs = registry.RunTable(spark, f"{out}/runs")
     _, candidates = retrain(labelled, calendar, states, seq, defaults)
     runs.log(candidates)
-    decided = registry.replay(runs.scan())
+    registry.replay(runs.scan()).write.mode("overwrite").parquet(f"{out}/decisions")
+    decided = spark.read.parquet(f"{out}/decisions")
     registry.stages(decided).write.mode("overwrite").parquet(f"{out}/stages")
     registry.rollback_alerts(decided).write.mode("overwrite").parquet(f"{out}/alerts/rollback")
 
     known = _as_training(labelled, "train", "val")
-    refitted = fit_models(known, calendar, states, defaults)
+    refitted = fit_models(known, calendar, states, defaults).stored(spark, f"{out}/models")
     write_params(refitted.params(f"v{seq}", generated_at), f"{out}/params")
     test = labelled.where(F.col("split") == "test")
     predicted = union_forecasts(
@@ -203,22 +229,15 @@ def run_all(
     store.append(predicted.withColumn("model_version", F.lit(f"v{seq}")), generated_at)
     pairs = with_actuals(store.scan(), test)
     results = metrics.results_table(metrics.evaluate_models(pairs, known))
-    write_results_csv(results, f"{out}/evaluation_results")
+    path = f"{out}/evaluation_results"
+    write_results_csv(results, path)
     _, alerts = drift_job(store.scan(), weekly, known)
     alerts.write.mode("overwrite").parquet(f"{out}/alerts/drift")
-    return results
+    return spark.read.option("header", True).schema(results.schema).csv(path)
 
 
 def stored_sar(spark: SparkSession, path: str) -> DataFrame:
     """Seasonal autoregression parameters from the parameter table, newest version per series."""
-    from weeklens.sources.store import latest_params
-
     rows = latest_params(read_params(spark, path).where(F.col("model_type") == sar.MODEL))
     return rows.select("series_id", F.col("coef")[0].alias("phi1"), F.col("coef")[1].alias("phi_s"), "sigma2")
 
-
-def last_values(weekly: DataFrame, k: int) -> DataFrame:
-    """Last ``k`` values per series as an array, oldest first."""
-    from weeklens.operators.weekly import last_rows
-
-    return last_rows(weekly, k).groupBy("series_id").agg(ordered_values("week_start", "total_sales").alias("values"))

@@ -619,6 +619,11 @@ _STATEMENTS: dict[str, tuple[str, str]] = {
                   champion_run AS kept_run FROM walked WHERE NOT promoted""", "metric_value"),
     "retrain_summary": (
         "SELECT series_id, model_type AS model, val_mase, run_id, promoted FROM walked", "val_mase"),
+    "eda_tables": (
+        """SELECT report, CASE WHEN report IN ('acf', 'pacf') THEN 61 * (SELECT count(DISTINCT series_id) FROM dense)
+                               WHEN report = 'adf' THEN (SELECT count(DISTINCT series_id) FROM dense)
+                               ELSE (SELECT count(*) FROM dense) END AS n_rows
+           FROM (SELECT unnest(['stl', 'anomalies', 'acf', 'pacf', 'adf', 'rolling']) AS report)""", ""),
     "weekly_stream": (
         """SELECT CAST(date_trunc('week', ts) AS DATE) AS week_start, event_type, count(*) AS n_events,
                   CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY ALL""", ""),

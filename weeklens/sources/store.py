@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,7 +63,7 @@ class ForecastTable:
     def append(self, df: DataFrame, generated_at: Column | None = None) -> int:
         """Appends without deduplication and returns the number of rows, counted while they are written."""
         counter = F.count(F.lit(1)).alias("rows")
-        observation = _observation()
+        observation = Observation()
         rows = to_forecast_rows(df, generated_at).observe(observation, counter)
         rows.write.mode("append").partitionBy("model_type").parquet(self.path)
         return int(observation.get["rows"])
@@ -105,12 +105,6 @@ class ForecastTable:
         return latest_version(self.scan())
 
 
-def _observation():
-    from pyspark.sql import Observation
-
-    return Observation()
-
-
 def latest_version(forecasts: DataFrame) -> DataFrame:
     """Newest model version per series and model; equal times resolve to the greater version."""
     newest = F.max(F.struct("generated_at", "model_version"))
