@@ -19,7 +19,7 @@ ROLLING_WEEKS = 4
 _TINY = 1e-6
 
 
-def _recent(history: DataFrame, weeks: int) -> DataFrame:
+def recent(history: DataFrame, weeks: int) -> DataFrame:
     """Adds ``rank`` (1 = newest) and keeps the last ``weeks`` rows per series and model."""
     newest = Window.partitionBy(*KEY).orderBy(F.col("forecast_date").desc())
     return history.withColumn("rank", F.row_number().over(newest)).where(F.col("rank") <= weeks)
@@ -39,7 +39,7 @@ def error_history(forecasts: DataFrame, weekly: DataFrame, train: DataFrame, wee
         (F.abs(error) / divisor).alias("mase"),
         F.avg("predicted_value").over(whole).alias("mean_demand"),
     )
-    return _recent(rows, weeks)
+    return recent(rows, weeks)
 
 
 def proxy_history(forecasts: DataFrame, weeks: int = 12) -> DataFrame:
@@ -54,7 +54,7 @@ def proxy_history(forecasts: DataFrame, weeks: int = 12) -> DataFrame:
         (F.abs(error) / (mean + F.lit(_TINY))).alias("mase"),
         mean.alias("mean_demand"),
     )
-    return _recent(rows, weeks)
+    return recent(rows, weeks)
 
 
 def _within(weeks: int) -> Column:
@@ -209,7 +209,7 @@ def mase_warnings(history: DataFrame) -> DataFrame:
 def health_table(history: DataFrame) -> DataFrame:
     """Mean of the last four MASE values (of all when fewer), bias (0 when fewer) and a traffic light."""
     enough = F.count(F.lit(1)) >= ROLLING_WEEKS
-    recent = history.groupBy(*KEY).agg(
+    last_month = history.groupBy(*KEY).agg(
         _tail_mean("mase", ROLLING_WEEKS).alias("mase_4w"),
         F.when(enough, _tail_mean("error", ROLLING_WEEKS)).otherwise(F.lit(0.0)).alias("bias"),
     )
@@ -218,7 +218,7 @@ def health_table(history: DataFrame) -> DataFrame:
         .when(F.col("mase_4w") > MASE_AMBER, F.lit("AMBER"))
         .otherwise(F.lit("GREEN"))
     )
-    return recent.withColumn("status", status)
+    return last_month.withColumn("status", status)
 
 
 def health_counts(health: DataFrame) -> DataFrame:

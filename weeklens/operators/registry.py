@@ -28,7 +28,10 @@ RUN_SCHEMA = T.StructType(
         T.StructField("stage", T.StringType()),
     ]
 )
-DECIDED_SCHEMA = "seq bigint, series_id string, model_type string, run_id string, val_mase double, promoted boolean, champion_run string, champion_mase double"
+DECIDED_SCHEMA = (
+    "seq bigint, series_id string, model_type string, run_id string, val_mase double, "
+    "promoted boolean, champion_run string, champion_mase double"
+)
 
 
 def run_id(*parts: str) -> Column:
@@ -38,17 +41,19 @@ def run_id(*parts: str) -> Column:
 def candidate_runs(scores: DataFrame) -> DataFrame:
     """Run rows at stage ``candidate`` from (seq, series_id, model_type, val_mase [, params, metrics])."""
     require_columns(scores, ("seq", *KEY, "val_mase"), "model run")
-    params = {"series_id": F.col("series_id"), "model_type": F.col("model_type")}
-    given = F.map_concat if "params" in scores.columns else None
-    base = F.create_map(*[x for name, c in params.items() for x in (F.lit(name), c)])
-    logged = F.create_map(F.lit("val_mase"), F.col("val_mase"))
+    params = F.create_map(F.lit("series_id"), F.col("series_id"), F.lit("model_type"), F.col("model_type"))
+    metrics = F.create_map(F.lit("val_mase"), F.col("val_mase"))
+    if "params" in scores.columns:
+        params = F.map_concat(params, F.col("params"))
+    if "metrics" in scores.columns:
+        metrics = F.map_concat(metrics, F.col("metrics"))
     return scores.select(
         F.col("seq").cast("bigint").alias("seq"),
         *KEY,
         run_id("series_id", "model_type", "seq").alias("run_id"),
         "val_mase",
-        (given(base, F.col("params")) if given else base).alias("params"),
-        (F.map_concat(logged, F.col("metrics")) if "metrics" in scores.columns else logged).alias("metrics"),
+        params.alias("params"),
+        metrics.alias("metrics"),
         F.lit("candidate").alias("stage"),
     )
 

@@ -68,7 +68,7 @@ def drain_drift_monitor(errors: DataFrame, history_path: str, checks_path: str,
         batch.write.mode("overwrite").parquet(f"{history_path}/batch={batch_id}")
         touched = spark.read.parquet(f"{history_path}/batch={batch_id}").select(*monitoring.KEY).distinct()
         everything = spark.read.option("basePath", history_path).parquet(history_path).drop("batch")
-        rows = monitoring._recent(everything.join(touched, list(monitoring.KEY), "left_semi"), weeks)
+        rows = monitoring.recent(everything.join(touched, list(monitoring.KEY), "left_semi"), weeks)
         monitoring.drift_checks(rows).write.mode("overwrite").parquet(f"{checks_path}/batch={batch_id}")
 
     query = (
