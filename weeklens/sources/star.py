@@ -47,8 +47,8 @@ def order_places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Customers, nations and regions join on the order side, which is several times smaller than the
     lines, so the lines move through one exchange only. No side is broadcast by hint: Spark
-    broadcasts a side whose measured size is under its threshold, and adaptive skew join splits a
-    hot customer or order key.
+    broadcasts a customer table whose measured size is under its threshold, and adaptive skew join
+    splits a hot customer or order key.
     """
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
@@ -66,13 +66,17 @@ def order_places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order line: state, store, category, item, day, units sold."""
+    """One row per order line: state, store, category, item, day, units sold.
+
+    Both sides of this join grow with the data. The merge hint keeps Spark from broadcasting either one
+    (the pruned lines of a small sample look smaller than the estimated places).
+    """
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         F.to_date("l_shipdate").alias("date"),
         F.col("l_quantity").cast("int").alias("sales"),
     )
-    places = order_places(spark, sf_dir)
+    places = order_places(spark, sf_dir).hint("merge")
     return lines.join(places, lines.l_orderkey == places.o_orderkey).select(
         "state_id", "store_id", "cat_id", "item_id", "date", "sales"
     )
