@@ -81,12 +81,20 @@ def spark_session(app: str = "weeklens", master: str | None = None, **conf: str)
 
 
 def _shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a local one is set only where the session has none."""
+    """The cluster's checkpoint folder, as the session names it.
+
+    Where the session names none, a local master gets one of its own; elsewhere that is an error, since executors could
+    not read one another's files.
+    """
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="weeklens-"))
-    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured is None and context.getCheckpointDir() is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="weeklens-"))
+    elif context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured)
+    return configured or context.getCheckpointDir()
 
 
 def work_path(spark: SparkSession, name: str) -> str:
