@@ -39,5 +39,34 @@ FROM placed
 """
 
 
+# Windows of 13 words by text; a document's hit words are those of its windows that an item has.
+DECONTAMINATE = r"""
+WITH lower_docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), lower_items AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item, least(len(w), 13) AS n, array_to_string(w[i:i + 12], ' ') AS words
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM lower_items WHERE len(w) > 0)
+), lengths AS (SELECT DISTINCT n FROM item_windows),
+doc_windows AS (
+  SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS words
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM lower_docs, lengths WHERE len(w) >= n)
+), hits AS (SELECT d.r, d.i, d.n, t.item FROM doc_windows d JOIN item_windows t USING (n, words)),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item COLLATE "C") AS items FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM lower_docs LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mix_sources": MIX}
+    return {"op3_mix_sources": MIX, "op6_decontaminate": DECONTAMINATE}

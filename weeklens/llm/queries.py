@@ -5,22 +5,44 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from weeklens.llm import mixing, oracles, simhash
+from weeklens.llm import decontaminate, mixing, oracles, quality, simhash, toxicity
 from weeklens.llm.common import table
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs.select("doc_id", "text"), model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.mix(table(spark, sf_dir, "documents")).rows
     return rows.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.judged(docs, table(spark, sf_dir, "benchmark"), keep_text=False)
+    digest = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    return found.select("doc_id", *[F.col(f"_{c}").alias(c) for c in digest])
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs.select("doc_id", "text"), model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mix_sources, op9_simhash_groups)}
+    return {f.__name__: f for f in (
+        op2_toxicity, op3_mix_sources, op6_decontaminate, op8_quality, op9_simhash_groups,
+    )}
 
 
 def oracle_sql() -> dict[str, str]:
