@@ -24,12 +24,13 @@ class ToxicConfig:
 
     rows: int = 2500
     max_chars: int = 60_000
-    least_docs: int = 3
-    features: int = 250_000
-    dim: int = 8
-    epochs: int = 12
+    features: int = 60_000
+    dim: int = 4
+    epochs: int = 30
     batch: int = 64
-    rate: float = 0.6
+    rate: float = 100.0
+    head_rate: float = 0.05
+    pooled_scale: float = 30.0
     seed: int = 7
 
 
@@ -72,30 +73,45 @@ class ToxicModel:
     bias: float
 
 
+def _bags(texts: list[str], features: int) -> tuple[list[str], list[tuple[np.ndarray, np.ndarray]]]:
+    """The n-grams that are in most words of most documents, and for each text their numbers and shares."""
+    counts = [Counter(t.lower().split()) for t in texts]
+    in_docs = Counter(w for words in counts for w in words)
+    total: Counter = Counter()
+    for word, docs in in_docs.items():
+        for gram in subwords(word):
+            total[gram] += docs
+    kept = [g for g, _ in sorted(total.items(), key=lambda x: (-x[1], x[0]))[:features]]
+    number = {g: i for i, g in enumerate(kept)}
+    own = {w: np.array([number[g] for g in subwords(w) if g in number], np.int32) for w in in_docs}
+    rows = []
+    for words in counts:
+        if not words:
+            rows.append((np.zeros(0, np.int32), np.zeros(0, np.float32)))
+            continue
+        grams = [own[w] for w in words]
+        times = np.repeat(list(words.values()), [len(g) for g in grams])
+        sums = np.bincount(np.concatenate(grams), times, len(kept))
+        at = np.flatnonzero(sums)
+        rows.append((at.astype(np.int32), (sums[at] / max(1.0, sums.sum())).astype(np.float32)))
+    return kept, rows
+
+
 def fit(texts: list[str], y: np.ndarray, share: float, config: ToxicConfig) -> ToxicModel:
-    """Embeddings and softmax trained together by stochastic gradients with per-parameter steps.
+    """Embeddings and softmax trained together: plain stochastic gradients for the embeddings, so that rare n-grams stay
+    near their start, and steps scaled by past gradients for the softmax.
 
     Both classes weigh the same in training; afterwards the bias is moved to the share of label 1 among all rows.
     """
+    prior = float(np.log(share / (1 - share)))
     if len(set(y.tolist())) < 2:
-        return ToxicModel({}, float(np.log(share / (1 - share))))
-    bags = [Counter(g for w in set(t.lower().split()) for g in subwords(w)) for t in texts]
-    seen = Counter(g for bag in bags for g in bag)
-    kept = [g for g, n in sorted(seen.items(), key=lambda x: (-x[1], x[0])) if n >= config.least_docs][: config.features]
-    number = {g: i for i, g in enumerate(kept)}
-    rows = []
-    for bag in bags:
-        known = [(number[g], n) for g, n in bag.items() if g in number]
-        at = np.array([k for k, _ in known], np.int32)
-        n = np.array([n for _, n in known], np.float32)
-        rows.append((at, n / max(1.0, n.sum())))
-    del bags, seen
+        return ToxicModel({}, prior)
+    kept, rows = _bags(texts, config.features)
     rng = np.random.default_rng(config.seed)
     size, dim = len(kept), config.dim
-    embed = rng.normal(0, 0.1, (size, dim)).astype(np.float32)
-    soft = rng.normal(0, 0.5, (dim, 2)).astype(np.float32)
-    bias = np.zeros(2, np.float32)
-    past = [np.full_like(x, 1e-6) for x in (embed, soft, bias)]
+    embed = rng.normal(0, 0.1, (size, dim))
+    soft, bias = rng.normal(0, 0.5, (dim, 2)), np.zeros(2)
+    past = [np.full_like(x, 1e-6) for x in (soft, bias)]
     weight = len(y) / 2 / np.bincount(y, minlength=2)
     for epoch in range(config.epochs):
         rate = config.rate * (1 - epoch / config.epochs)
@@ -103,25 +119,23 @@ def fit(texts: list[str], y: np.ndarray, share: float, config: ToxicConfig) -> T
         for start in range(0, len(rows), config.batch):
             chosen = shuffled[start : start + config.batch]
             at = np.concatenate([rows[i][0] for i in chosen])
-            part = np.concatenate([rows[i][1] for i in chosen])
+            part = np.concatenate([rows[i][1] for i in chosen]) * config.pooled_scale
             row = np.repeat(np.arange(len(chosen)), [len(rows[i][0]) for i in chosen])
-            vectors = embed[at] * part[:, None]
-            mean = np.stack([np.bincount(row, vectors[:, d], len(chosen)) for d in range(dim)], axis=1)
+            near = embed[at]
+            mean = np.stack([np.bincount(row, near[:, d] * part, len(chosen)) for d in range(dim)], axis=1)
             logits = mean @ soft + bias
             p = np.exp(logits - logits.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             p[np.arange(len(chosen)), y[chosen]] -= 1
             p *= (weight[y[chosen]] / len(chosen))[:, None]
             back = p @ soft.T
-            grads = [np.zeros_like(embed), mean.T @ p, p.sum(axis=0)]
-            for d in range(dim):
-                grads[0][:, d] = np.bincount(at, part * back[row, d], size)
-            for value, grad, square in zip((embed, soft, bias), grads, past):
+            for value, grad, square in zip((soft, bias), (mean.T @ p, p.sum(axis=0)), past):
                 square += grad * grad
-                value -= rate * 0.1 * grad / np.sqrt(square)
-    seen_through = embed @ (soft[:, 1] - soft[:, 0])
-    prior = np.log(share / (1 - share))
-    return ToxicModel(dict(zip(kept, seen_through.astype(float).tolist())), float(bias[1] - bias[0] + prior))
+                value -= config.head_rate * grad / np.sqrt(square)
+            for d in range(dim):
+                embed[:, d] -= rate * np.bincount(at, part * back[row, d], size)
+    seen_through = embed @ (soft[:, 1] - soft[:, 0]) * config.pooled_scale
+    return ToxicModel(dict(zip(kept, seen_through.tolist())), float(bias[1] - bias[0] + prior))
 
 
 class _Words(dict):
@@ -142,7 +156,7 @@ class _Words(dict):
 def score_texts(model: ToxicModel, batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     words = _Words(model.weights)
     for texts in batches:
-        sums = [sum(map(words.__getitem__, sorted(set((t or "").lower().split()))), 0j) for t in texts]
+        sums = [sum(map(words.__getitem__, (t or "").lower().split()), 0j) for t in texts]
         logit = np.array([s.real / max(1.0, s.imag) for s in sums], np.float64) + model.bias
         yield pd.Series(1 / (1 + np.exp(-np.clip(logit, -500, 500))))
 
