@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weeklens.llm import decontaminate, mixing, oracles, quality, simhash, toxicity
+from weeklens.llm import decontaminate, mixing, oracles, quality, sharding, simhash, toxicity, weak_rules
 from weeklens.llm.common import table
 
 
@@ -22,6 +22,15 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
+def op5_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return weak_rules.judged(table(spark, sf_dir, "documents")).select("doc_id", *counts, "base_failed", "kept", "probability")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.judged(docs, table(spark, sf_dir, "benchmark"), keep_text=False)
@@ -41,7 +50,7 @@ def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_toxicity, op3_mix_sources, op6_decontaminate, op8_quality, op9_simhash_groups,
+        op2_toxicity, op3_mix_sources, op4_kd_shards, op5_weak_rules, op6_decontaminate, op8_quality, op9_simhash_groups,
     )}
 
 
