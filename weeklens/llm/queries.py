@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weeklens.llm import decontaminate, mixing, oracles, quality, sharding, simhash, toxicity, weak_rules
+from weeklens.llm import decontaminate, mixing, oracles, quality, recurrent_lm, sharding, simhash, toxicity, weak_rules
 from weeklens.llm.common import table
 
 
@@ -48,9 +48,14 @@ def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.scored(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op2_toxicity, op3_mix_sources, op4_kd_shards, op5_weak_rules, op6_decontaminate, op8_quality, op9_simhash_groups,
+        op10_recurrent_lm,
     )}
 
 
