@@ -20,8 +20,7 @@ from weeklens.llm.toxicity import sample
 
 THRESHOLD = 0.3
 CACHED_WORDS = 100_000
-_LETTERS = re.compile(r"[^\W\d_]+")
-_RUNS = re.compile(r"([A-Za-z0-9])\1+")
+_RUNS = re.compile(r"[^\W\d_]+|\d+")
 _BLOCK = 1 << 15
 AGAIN = "<again>"
 
@@ -30,7 +29,7 @@ AGAIN = "<again>"
 class QualityConfig:
     """``rows`` of either class and ``max_chars`` bound the labelled sample that the model is fitted on."""
 
-    rows: int = 2500
+    rows: int = 1500
     max_chars: int = 60_000
     dim: int = 48
     ones: int = 6
@@ -51,10 +50,16 @@ def index_vector(unit: str, dim: int, ones: int) -> np.ndarray:
     return out
 
 
+def _kind(run: re.Match) -> str:
+    found = run[0]
+    return "0" if found[0].isdigit() else "a" if found.islower() else "A" if found.isupper() else "Aa"
+
+
 def units(word: str) -> tuple[str, str]:
-    """A word's letters in lower case, and its shape: letters and digits by kind, runs of a kind as one."""
-    shape = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:40])
-    return "".join(_LETTERS.findall(word)).lower(), "#" + _RUNS.sub(r"\1", shape)
+    """A word's letters in lower case, and its shape: runs of letters and digits by kind, other characters as they are."""
+    if word.isalpha():
+        return word.lower(), "#a" if word.islower() else "#A" if word.isupper() else "#Aa"
+    return "".join(c for c in word if c.isalpha()).lower(), "#" + _RUNS.sub(_kind, word[:40])
 
 
 def repeats(words: list[str]) -> int:
@@ -79,17 +84,20 @@ def word_vectors(texts: list[list[str]], config: QualityConfig) -> dict[str, np.
     Letters and shape of a word are units of their own, and each takes the letters and shapes of its neighbours in. The
     sums are scaled to length 1. Units that are rarer than ``least_count`` have no vector.
     """
-    counts = Counter(u for words in texts for w in words for u in units(w))
+    in_text = Counter(w for words in texts for w in words)
+    parts = {w: units(w) for w in in_text}
+    counts: Counter = Counter()
+    for w, n in in_text.items():
+        for u in parts[w]:
+            counts[u] += n
     kept = [u for u, n in counts.items() if n >= config.least_count]
     number = {u: i + 1 for i, u in enumerate(kept)}
     index = np.zeros((len(kept) + 1, config.dim), np.float32)
     for u, i in number.items():
         index[i] = index_vector(u, config.dim, config.ones)
     total = index.copy()
-    both: dict[str, tuple[int, int]] = {}
+    both = {w: tuple(number.get(u, 0) for u in us) for w, us in parts.items()}
     for words in texts:
-        for w in set(words) - both.keys():
-            both[w] = tuple(number.get(u, 0) for u in units(w))
         pair = np.array([both[w] for w in words], np.int64).reshape(-1, 2)
         around = np.zeros((len(words), config.dim), np.float32)
         own = index[pair].sum(axis=1)
