@@ -68,5 +68,16 @@ FROM lower_docs LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 """
 
 
+WARC = """
+WITH sized AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), owned AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS owner FROM sized)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND owner IS NOT NULL AND page_id IS DISTINCT FROM owner THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM owner THEN owner END AS refers_to
+FROM owned
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mix_sources": MIX, "op6_decontaminate": DECONTAMINATE}
+    return {"op1_warc_index": WARC, "op3_mix_sources": MIX, "op6_decontaminate": DECONTAMINATE}

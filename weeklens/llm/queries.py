@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weeklens.llm import decontaminate, mixing, oracles, quality, recurrent_lm, sharding, simhash, toxicity, weak_rules
+from weeklens.llm import decontaminate, mixing, oracles, quality, recurrent_lm, sharding, simhash, toxicity, warc, weak_rules
 from weeklens.llm.common import table
 
 
+def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -54,7 +58,7 @@ def op10_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_toxicity, op3_mix_sources, op4_kd_shards, op5_weak_rules, op6_decontaminate, op8_quality, op9_simhash_groups,
+        op1_warc_index, op2_toxicity, op3_mix_sources, op4_kd_shards, op5_weak_rules, op6_decontaminate, op8_quality, op9_simhash_groups,
         op10_recurrent_lm,
     )}
 
