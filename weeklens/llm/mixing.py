@@ -180,7 +180,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """
     columns = docs.columns
     twin = lambda order: F.row_number().over(Window.partitionBy("_id", "_tie").orderBy(order))
-    copies = mix(docs).rows.select("_id", "_tie", "copies").withColumn("_twin", twin(F.desc("copies")))
+    copies = mix(docs).rows.select("_id", "_tie", F.col("copies").alias("_copies")).withColumn("_twin", twin(F.desc("_copies")))
     keyed = row_key(docs).withColumn("_twin", twin("_id"))
-    joined = keyed.join(copies.where("copies > 0").hint("merge"), ["_id", "_tie", "_twin"])
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[F.col(f"`{c}`") for c in columns])
+    joined = keyed.join(copies.where("_copies > 0").hint("merge"), ["_id", "_tie", "_twin"])
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*[F.col(f"`{c}`") for c in columns])

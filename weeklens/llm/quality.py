@@ -11,7 +11,7 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -213,24 +213,27 @@ def train(docs: DataFrame, labels: DataFrame, config: QualityConfig = QualityCon
     return fit(texts, y, share, config)
 
 
-def scored(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with held_out, score and predicted; the text alone decides, read whole.
-
-    A null or blank text is scored as a text of no words. Without labels of both classes every text scores the share of
-    label 1. Repeated rows are scored alike, and extra columns pass through.
-    """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+def score_column(spark: SparkSession, model: QualityModel, text: str = "text") -> Column:
+    sent = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf(T.DoubleType())
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield from score_texts(sent.value, batches)
 
-    return docs.withColumns({"held_out": fold_of() == 0, "score": score("text")}).withColumn(
+    return score(text)
+
+
+def scored(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with held_out, score and predicted, which replace columns of these names; the text alone decides, read whole.
+
+    A null or blank text is scored as a text of no words. Without labels of both classes every text scores the share of
+    label 1. Repeated rows are scored alike, and extra columns pass through.
+    """
+    return docs.withColumns({"held_out": fold_of() == 0, "score": score_column(docs.sparkSession, model)}).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int")
     )
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that score at least the threshold, with the columns they came with."""
-    kept = scored(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "text"), train(docs, labels), threshold)
-    return kept.where("predicted = 1").select("_row.*")
+    return docs.where(score_column(docs.sparkSession, train(docs, labels)) >= threshold)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weeklens.llm import decontaminate, mixing, oracles, quality, recurrent_lm, sharding, simhash, toxicity, warc, weak_rules
+from weeklens.llm import decontaminate, mixing, oracles, quality, recurrent_lm, sharding, simhash, token_count, toxicity, warc, weak_rules
 from weeklens.llm.common import table
 
 
@@ -42,6 +43,11 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[F.col(f"_{c}").alias(c) for c in digest])
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_count.with_token_counts(docs).select("doc_id", "n_tokens")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -57,10 +63,11 @@ def op10_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (
-        op1_warc_index, op2_toxicity, op3_mix_sources, op4_kd_shards, op5_weak_rules, op6_decontaminate, op8_quality, op9_simhash_groups,
-        op10_recurrent_lm,
-    )}
+    operators = (
+        op1_warc_index, op2_toxicity, op3_mix_sources, op4_kd_shards, op5_weak_rules, op6_decontaminate, op7_token_counts,
+        op8_quality, op9_simhash_groups, op10_recurrent_lm,
+    )
+    return {f.__name__: f for f in operators} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

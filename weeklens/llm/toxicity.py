@@ -167,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, config: ToxicConfig = ToxicConfig(
 
 
 def scored(docs: DataFrame, model: ToxicModel, threshold: float = 0.5) -> DataFrame:
-    """``docs`` with held_out, score and predicted.
+    """``docs`` with held_out, score and predicted, which replace columns of these names.
 
     The text alone decides. A null or blank text, and one without any known n-gram, scores the share of label 1. Without
     labels of both classes every text does. Extra columns pass through.
