@@ -20,20 +20,21 @@ COORDINATE_BITS, HASH_BITS, DIGIT = 20, 43, 16
 DIMENSIONS = ("by_lang", "by_source", "by_size")
 #: Copies of one text are parted only where they weigh more than this share of a leaf.
 GROUP_SHARE = 0.05
+NONE, ALL = -1, (1 << 63) - 1
 
 
 @dataclass
 class Node:
-    """A leaf of ``leaves`` = 1, or rows up to ``key`` on ``dimension`` to the left and the others to the right.
+    """A leaf of ``leaves`` = 1, or rows below ``key`` on ``dimension`` to the left and those above it to the right.
 
-    Rows whose key is ``key`` itself go left if their row hash, from 0 to 1, is below ``part``.
+    Of the rows whose key is ``key`` itself, those with a row hash of at most ``part`` go left.
     """
 
     leaves: int
     first: int
     dimension: str = ""
     key: int = 0
-    part: float = 1.0
+    part: int = -1
     left: Node | None = None
     right: Node | None = None
 
@@ -58,7 +59,7 @@ def points(docs: DataFrame) -> DataFrame:
         (F.octet_length(text_or_empty()) + OVERHEAD).cast("bigint").alias("size"),
         F.crc32(payload).cast("bigint").alias("text_crc32"),
         F.sha2(payload, 256).alias("digest"),
-        (F.shiftrightunsigned(F.xxhash64("doc_id", "lang", "source", "n_chars"), 11) / float(1 << 53)).alias("spread"),
+        F.shiftrightunsigned(F.xxhash64("doc_id", "lang", "source", "n_chars"), 1).alias("spread"),
     )
     narrow = written(narrow, "points")
     shared = narrow.groupBy("digest").agg(F.min("lang").alias("group_lang"), F.min("source").alias("group_source"), F.count("*").alias("copies"))
@@ -88,7 +89,7 @@ def shard_of(node: Node) -> Column:
     if node.left is None:
         return F.lit(node.first)
     key = F.col(node.dimension)
-    goes_left = (key < node.key) | ((key == node.key) & (F.col("spread") < node.part))
+    goes_left = (key < node.key) | ((key == node.key) & (F.col("spread") <= node.part))
     return F.when(goes_left, shard_of(node.left)).otherwise(shard_of(node.right))
 
 
@@ -143,6 +144,7 @@ def grow(rows: DataFrame, leaves: int, group_share: float = GROUP_SHARE) -> Node
         widest = _widest(placed)
         goals = {k: (widest[k][0], widest[k][1] * (n.leaves // 2) / n.leaves) for k, n in nodes.items() if k in widest}
         medians = _medians(placed, goals) if goals else {}
+        heavy: dict[int, tuple[Node, float]] = {}
         for k, n in nodes.items():
             half = n.leaves // 2
             n.left, n.right = Node(half, n.first), Node(n.leaves - half, n.first + half)
@@ -151,8 +153,16 @@ def grow(rows: DataFrame, leaves: int, group_share: float = GROUP_SHARE) -> Node
                 continue
             key, below, here = medians[k]
             n.dimension, n.key = goals[k][0], key
-            wanted = (goals[k][1] - below) / here
-            n.part = wanted if here > group_share * total / leaves else float(wanted >= 0.5)
+            wanted = goals[k][1] - below
+            n.part = ALL if 2 * wanted >= here else NONE
+            if here > group_share * total / leaves:
+                heavy[k] = (n, wanted)
+        if heavy:
+            at_key = F.lit(False)
+            for k, (n, _) in heavy.items():
+                at_key = at_key | ((F.col("node") == k) & (F.col(n.dimension) == n.key))
+            for k, (part, _, _) in _medians(placed.where(at_key), {k: ("spread", wanted) for k, (_, wanted) in heavy.items()}).items():
+                heavy[k][0].part = part
     return root
 
 
@@ -170,7 +180,7 @@ def sharded(docs: DataFrame, shards: int = SHARDS, target_bytes: int | None = No
     placed = rows.withColumn("shard", shard_of(grow(rows, shards))).withColumn("range", F.substring("digest", 1, 3))
     # Numbers within a shard: ranges of the text's hash are counted first, so no shard is numbered in one task, and rows
     # of one text are spread further by their own hash.
-    placed = placed.withColumn("part", F.floor(F.col("spread") * 64).cast("int"))
+    placed = placed.withColumn("part", F.shiftright("spread", 57).cast("int"))
     counts = placed.groupBy("shard", "range", "part").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("shard").orderBy("range", "part").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("shard", "range", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))

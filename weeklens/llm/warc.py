@@ -114,7 +114,8 @@ def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
 class _Writer:
     """Files of one task in a shared folder. Names carry the attempt, so a task that runs again never meets old files."""
 
-    def __init__(self, folder: str, kind: str):
+    def __init__(self, folder: str, kind: str, file_bytes: int = FILE_BYTES):
+        self.most = file_bytes
         self.fs, root = _filesystem(folder)
         self.root = f"{root}/{kind}"
         self.kind, self.folder, self.out, self.at, self.count = kind, folder, None, 0, 0
@@ -122,7 +123,7 @@ class _Writer:
         self.fs.create_dir(self.root, recursive=True)
 
     def write(self, data: bytes, roll: bool = True) -> tuple[str, int, int]:
-        if self.out is None or roll and self.at >= FILE_BYTES:
+        if self.out is None or roll and self.at >= self.most:
             self.end()
             self.name = f"{self.kind}/{self.tag}-{self.count:04d}.gz"
             self.out, self.at, self.count = self.fs.open_output_stream(f"{self.root}/{self.name.split('/')[1]}", compression=None), 0, self.count + 1
@@ -209,8 +210,8 @@ def key_of() -> Column:
 class _IndexWriter:
     """Index files of one task: compressed blocks of lines, then the file's block directory and its length."""
 
-    def __init__(self, folder: str, lines_a_block: int):
-        self.files, self.most = _Writer(folder, "index"), lines_a_block
+    def __init__(self, folder: str, lines_a_block: int, file_bytes: int):
+        self.files, self.most = _Writer(folder, "index", file_bytes), lines_a_block
         self.lines: list[str] = []
         self.blocks: list[tuple] = []
         self.first, self.count, self.name = "", 0, ""
@@ -228,7 +229,7 @@ class _IndexWriter:
         self.blocks.append((self.first, offset, length))
         self.count += len(self.lines)
         self.lines = []
-        return self.end_file() if self.files.at >= FILE_BYTES else None
+        return self.end_file() if self.files.at >= self.files.most else None
 
     def end_file(self) -> dict | None:
         if self.lines:
@@ -243,8 +244,8 @@ class _IndexWriter:
         return row
 
 
-def _write_index(batches: Iterator[pa.RecordBatch], folder: str, lines_a_block: int) -> Iterator[pa.RecordBatch]:
-    writer = _IndexWriter(folder, lines_a_block)
+def _write_index(batches: Iterator[pa.RecordBatch], folder: str, lines_a_block: int, file_bytes: int) -> Iterator[pa.RecordBatch]:
+    writer = _IndexWriter(folder, lines_a_block, file_bytes)
     for batch in batches:
         done = [writer.add(r["key"], [r["page_id"], r["file"], r["offset"], r["length"]]) for r in batch.to_pylist()]
         if any(done):
@@ -253,13 +254,14 @@ def _write_index(batches: Iterator[pa.RecordBatch], folder: str, lines_a_block:
         yield pa.RecordBatch.from_pylist([last], _schema(_INDEX_FILE))
 
 
-def write_index(places: DataFrame, folder: str, lines_a_block: int = BLOCK_LINES) -> DataFrame:
+def write_index(places: DataFrame, folder: str, lines_a_block: int = BLOCK_LINES, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Sorts the captures by key over all tasks and writes them below ``folder``/index; returns a row for each index file.
 
     Equal keys are in one task, so they stand side by side, in one file or in files that follow one another.
     """
     ordered = places.withColumn("key", key_of()).repartitionByRange("key").sortWithinPartitions("key", "offset", "file")
-    return written(ordered.mapInArrow(lambda batches: _write_index(batches, folder, lines_a_block), _INDEX_FILE), "index")
+    files = ordered.mapInArrow(lambda batches: _write_index(batches, folder, lines_a_block, file_bytes), _INDEX_FILE)
+    return written(files, "index")
 
 
 class Index:
