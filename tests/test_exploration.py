@@ -112,9 +112,12 @@ def test_pacf_solves_yule_walker(make_weekly, wave):
         assert rows[k] == pytest.approx(np.linalg.solve(toeplitz, r[1 : k + 1])[-1])
 
 
-def test_pacf_needs_enough_values(make_weekly):
-    with pytest.raises(Exception, match="more than twice"):
-        correlation.pacf(make_weekly({"A": [1.0, 3.0, 2.0, 5.0]}), nlags=2).collect()
+def test_pacf_of_a_short_series_is_null_with_an_error(make_weekly):
+    frame = correlation.pacf(make_weekly({"A": [1.0, 3.0, 2.0, 5.0], "B": [1.0, 3.0, 2.0, 5.0, 4.0]}), nlags=2)
+    rows = frame.collect()
+    assert [r.lag for r in rows if r.series_id == "A"] == [0, 1, 2]
+    assert all((r.pacf is None) == (r.error is not None) == (r.series_id == "A") for r in rows)
+    assert {r.pacf for r in frame.select("series_id", "pacf").where("series_id = 'A'").collect()} == {None}
 
 
 def test_ljung_box(make_weekly):

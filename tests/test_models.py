@@ -1,7 +1,6 @@
 import numpy as np
 import pytest
 from conftest import values, week
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from weeklens.config import RETAIL_STATES, AdditiveConfig, SeasonalArConfig, WindowConfig
@@ -162,9 +161,22 @@ def test_window_forecast_equals_a_loop(labelled, series):
 def test_window_history_and_short_seed(labelled, make_weekly):
     model = window_model.window_fit(labelled, WindowConfig(window=8), solver="l-bfgs")
     assert len(model.losses) > 1 and model.losses[-1] <= model.losses[0]
-    short = make_weekly({"CA_1__A": [1, 2, 3]})
-    with pytest.raises(PySparkException, match="history shorter than the window"):
-        window_model.window_forecast(short, split.scaler_params(labelled), model, 3).collect()
+    short = make_weekly({"CA_1__A": [1, 2, 3], "CA_9__Z": range(20)})
+    rows = window_model.window_forecast(short, split.scaler_params(labelled), model, 3).collect()
+    assert sorted((r.series_id, r.horizon) for r in rows) == [(s, h) for s in ("CA_1__A", "CA_9__Z") for h in (1, 2, 3)]
+    assert all(r.predicted_value is None for r in rows)  # one is short, the other has no scaler
+
+
+def test_short_series_keep_their_rows(make_weekly):
+    weekly = make_weekly({"long": [float(i % 7 + i % 52) for i in range(160)], "short": range(30), "none": [None] * 3 + [1.0]})
+    params = sar.sar_fit(weekly)
+    assert {r.series_id: r.n_used > 0 for r in params.collect()} == {"long": True, "short": False, "none": False}
+    rows = sar.sar_forecast(weekly, params.where("series_id <> 'none'"), 4).collect()
+    assert len(rows) == 12 and {r.series_id for r in rows if r.predicted_value is not None} == {"long"}
+    model = window_model.window_fit_trees(split.temporal_split(weekly.where("series_id = 'long'")), WindowConfig(window=8), rounds=2)
+    scaler = split.scaler_params(split.temporal_split(weekly.where("series_id = 'long'")))
+    rows = window_model.window_forecast_trees(weekly, scaler, model, 2, size=8).collect()
+    assert len(rows) == 6 and sum(r.predicted_value is not None for r in rows) == 2
 
 
 def test_tree_forecast(labelled):

@@ -68,6 +68,24 @@ def test_latest_version_ties(spark):
     assert latest_version(a.unionByName(b)).first().model_version == "v2"
 
 
+def test_every_run_is_decided_also_without_a_score(spark):
+    rows = [(i, "A", "m", v) for i, v in enumerate([1.0, float("nan"), 5.0, None, 0.9])] + [(0, "B", "m", None), (1, "B", "m", 3.0)]
+    scores = spark.createDataFrame(rows, "seq bigint, series_id string, model_type string, val_mase double")
+    runs = registry.candidate_runs(scores)
+    got = {(r.series_id, r.seq): (r.promoted, r.reason, r.champion_mase) for r in registry.replay(runs).collect()}
+    assert got == {
+        ("A", 0): (True, "first", None), ("A", 1): (False, "no score", 1.0), ("A", 2): (False, "worse", 1.0),
+        ("A", 3): (False, "no score", 1.0), ("A", 4): (True, "not worse", 1.0),
+        ("B", 0): (True, "first", None), ("B", 1): (True, "champion without score", None),
+    }
+    current = runs.limit(0).select("series_id", "model_type", "run_id", "val_mase")
+    for seq in range(5):  # the step by step join comes to the same decisions
+        decided = registry.promote(current, runs.where(f"seq = {seq}")).persist()
+        for r in decided.collect():
+            assert (r.promoted, r.reason, r.champion_mase) == got[r.series_id, seq]
+        current = spark.createDataFrame(registry.next_champions(current, decided).collect(), current.schema)
+
+
 def python_promotions(mases):
     kept, out = None, []
     for m in mases:
@@ -142,9 +160,21 @@ def test_full_run_on_star_tables(spark, tmp_path):
     assert len(results) == 100 and all(r.MAE >= 0 for r in results)
     assert spark.read.parquet(f"{out}/forecasts").count() == 4 * 25 * 13
     assert spark.read.parquet(f"{out}/stages").where("stage = 'production'").count() == 75
-    assert spark.read.option("header", True).csv(f"{out}/evaluation_results").count() == 100
+    assert spark.read.option("header", True).csv(f"{out}/evaluation_results/v1").count() == 100
     stored = jobs.stored_sar(spark, f"{out}/params")
     assert stored.count() == 25
+    # A second run into the same folder takes the new sales and is judged on its own forecasts alone.
+    tenfold = inputs.dense.withColumn("total_sales", F.col("total_sales") * 10)
+    with pytest.raises(ValueError, match="not above the last run"):
+        jobs.run_all(spark, tenfold, inputs.calendar, catalog.STATES, out, stamp("2001-11-12"), with_eda=False)
+    again = jobs.run_all(spark, tenfold, inputs.calendar, catalog.STATES, out, stamp("2001-11-12"), with_eda=False, seq=2).collect()
+    first = {(r.series_id, r.model): r for r in results}
+    assert len(again) == 100
+    for r in again:
+        if r.model in ("sar", "seasonal_naive"):
+            assert r.MAE == pytest.approx(10 * first[r.series_id, r.model].MAE, rel=1e-2)
+    assert spark.read.parquet(f"{out}/champions/v2").count() == 75
+    assert spark.read.parquet(f"{out}/stages").count() == 150
 
 
 def test_drift_job_modes(spark, make_weekly):

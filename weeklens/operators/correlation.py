@@ -77,18 +77,23 @@ def _levinson(r: Column, nlags: int) -> Column:
 
 
 def pacf(df: DataFrame, nlags: int = 60, alpha: float = 0.05, value: str = "total_sales") -> DataFrame:
-    """Partial autocorrelation (Yule-Walker, biased) with the +-z/sqrt(n) band; needs nlags < n / 2."""
+    """Partial autocorrelation (Yule-Walker, biased) with the +-z/sqrt(n) band.
+
+    A series of at most twice as many values as lags keeps its rows, with NULL values and an ``error``.
+    """
     return pacf_rows(autocorrelations(df, nlags, value), nlags, alpha)
 
 
 def pacf_rows(correlations: DataFrame, nlags: int = 60, alpha: float = 0.05) -> DataFrame:
     """``pacf`` from a frame of ``autocorrelations`` with at least ``nlags`` lags."""
     z = z_value(1 - alpha / 2)
-    short = F.concat(F.lit("pacf needs more than twice as many values as lags: "), F.col("series_id"))
-    checked = F.when(F.col("n") > 2 * nlags, F.col("n")).otherwise(F.raise_error(short).cast("bigint"))
+    long_enough = F.col("n") > 2 * nlags
+    values = F.concat(F.array(F.lit(1.0)), _levinson(F.col("r"), nlags))
+    unknown = F.array_repeat(F.lit(None).cast("double"), nlags + 1)
+    error = F.when(~long_enough, F.format_string("%d values do not exceed twice %d lags", F.col("n"), F.lit(nlags)))
     rows = correlations.select(
-        "series_id", checked.alias("n"), F.concat(F.array(F.lit(1.0)), _levinson(F.col("r"), nlags)).alias("p")
-    ).select("series_id", "n", F.posexplode("p").alias("lag", "pacf"))
+        "series_id", "n", error.alias("error"), F.when(long_enough, values).otherwise(unknown).alias("p")
+    ).select("series_id", "n", "error", F.posexplode("p").alias("lag", "pacf"))
     half = F.when(F.col("lag") == 0, F.lit(0.0)).otherwise(F.lit(z) / F.sqrt(F.col("n").cast("double")))
     return rows.select(
         "series_id",
@@ -96,6 +101,7 @@ def pacf_rows(correlations: DataFrame, nlags: int = 60, alpha: float = 0.05) ->
         "pacf",
         (F.col("pacf") - half).alias("pacf_lower"),
         (F.col("pacf") + half).alias("pacf_upper"),
+        "error",
     )
 
 

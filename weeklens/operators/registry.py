@@ -8,9 +8,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from weeklens.config import ROLLBACK_DEGRADATION
 from weeklens.functions.checks import require_columns
+from weeklens.functions.numeric import null_if_nan
 from weeklens.sources.files import path_exists
 
 KEY = ("series_id", "model_type")
@@ -30,7 +32,7 @@ RUN_SCHEMA = T.StructType(
 )
 DECIDED_SCHEMA = (
     "seq bigint, series_id string, model_type string, run_id string, val_mase double, "
-    "promoted boolean, champion_run string, champion_mase double"
+    "promoted boolean, champion_run string, champion_mase double, reason string"
 )
 
 
@@ -39,8 +41,12 @@ def run_id(*parts: str) -> Column:
 
 
 def candidate_runs(scores: DataFrame) -> DataFrame:
-    """Run rows at stage ``candidate`` from (seq, series_id, model_type, val_mase [, params, metrics])."""
+    """Run rows at stage ``candidate`` from (seq, series_id, model_type, val_mase [, params, metrics]).
+
+    A score that is not a number is no score: NULL.
+    """
     require_columns(scores, ("seq", *KEY, "val_mase"), "model run")
+    scores = scores.withColumn("val_mase", null_if_nan(F.col("val_mase").cast("double")))
     params = F.create_map(F.lit("series_id"), F.col("series_id"), F.lit("model_type"), F.col("model_type"))
     metrics = F.create_map(F.lit("val_mase"), F.col("val_mase"))
     if "params" in scores.columns:
@@ -79,53 +85,91 @@ def _degradation(new: Column, current: Column) -> Column:
     return (new - current) / (current + F.lit(_TINY))
 
 
+#: Why a run was promoted or rolled back.
+FIRST, UNSCORED_CHAMPION, HOLDS, WORSE, UNSCORED = "first", "champion without score", "not worse", "worse", "no score"
+PROMOTING = (FIRST, UNSCORED_CHAMPION, HOLDS)
+
+
+def decision_reason(mase: Column, champion_run: Column, champion_mase: Column) -> Column:
+    return (
+        F.when(champion_run.isNull(), F.lit(FIRST))
+        .when(mase.isNull(), F.lit(UNSCORED))
+        .when(champion_mase.isNull(), F.lit(UNSCORED_CHAMPION))
+        .when(_degradation(mase, champion_mase) > ROLLBACK_DEGRADATION, F.lit(WORSE))
+        .otherwise(F.lit(HOLDS))
+    )
+
+
 def promote(champions: DataFrame, candidates: DataFrame) -> DataFrame:
     """One decision per candidate against the current champion of its key: a join, no history.
 
     ``champions`` (series_id, model_type, run_id, val_mase). Without a champion the candidate is promoted;
-    with one it is rolled back only when its MASE is more than 5 % worse.
+    with one it is rolled back only when its MASE is more than 5 % worse. A candidate without a score never
+    replaces a champion, and a champion without a score gives way to any candidate that has one.
     """
     current = champions.select(*KEY, F.col("run_id").alias("champion_run"), F.col("val_mase").alias("champion_mase"))
-    worse = _degradation(F.col("val_mase"), F.col("champion_mase")) > ROLLBACK_DEGRADATION
+    reason = decision_reason(F.col("val_mase"), F.col("champion_run"), F.col("champion_mase"))
     return candidates.select("seq", *KEY, "run_id", "val_mase").join(current, list(KEY), "left").select(
         "seq",
         *KEY,
         "run_id",
         "val_mase",
-        (F.col("champion_mase").isNull() | ~worse).alias("promoted"),
+        reason.isin(*PROMOTING).alias("promoted"),
         "champion_run",
         "champion_mase",
+        reason.alias("reason"),
     )
 
 
+def next_champions(current: DataFrame, decided: DataFrame) -> DataFrame:
+    """Champions after the decisions: promoted runs, and those of before where none was promoted."""
+    new = decided.where("promoted").select(*KEY, "run_id", "val_mase")
+    kept = current.join(new.select(*KEY), list(KEY), "left_anti")
+    return new.unionByName(kept.select(*KEY, "run_id", "val_mase"))
+
+
 def replay(runs: DataFrame) -> DataFrame:
     """Decisions of a whole run history in sequence: each run meets the champion its predecessors left.
 
     Each decision depends on the one before, so a key is walked in order. Rows arrive sorted and stream
-    through with one champion as state; no key is ever held in memory, however long its history.
+    through with one champion as state; no key is ever held in memory, however long its history. This is the
+    audit of past runs; jobs decide new runs by ``promote``. Every run gets a decision, also one without a score.
     """
 
+    def reason_of(mase: float | None, champion: tuple[str, float | None] | None) -> str:
+        if champion is None:
+            return FIRST
+        if mase is None:
+            return UNSCORED
+        if champion[1] is None:
+            return UNSCORED_CHAMPION
+        return WORSE if (mase - champion[1]) / (champion[1] + _TINY) > ROLLBACK_DEGRADATION else HOLDS
+
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key: tuple | None = None
-        champion: tuple[str, float] | None = None
+        champion: tuple[str, float | None] | None = None
         for batch in batches:
-            promoted, before_run, before_mase = [], [], []
+            reasons, before_run, before_mase = [], [], []
             for series, model, run, mase in zip(
                 batch["series_id"], batch["model_type"], batch["run_id"], batch["val_mase"]
             ):
+                mase = None if mase is None or mase != mase else mase
                 if (series, model) != key:
                     key, champion = (series, model), None
                 before_run.append(champion[0] if champion else None)
                 before_mase.append(champion[1] if champion else None)
-                wins = champion is None or not (mase - champion[1]) / (champion[1] + _TINY) > ROLLBACK_DEGRADATION
-                promoted.append(wins)
-                if wins:
+                reasons.append(reason_of(mase, champion))
+                if reasons[-1] in PROMOTING:
                     champion = (run, mase)
-            yield batch.assign(promoted=promoted, champion_run=before_run, champion_mase=before_mase)
+            promoted = [r in PROMOTING for r in reasons]
+            scores = pd.Series(before_mase, dtype=object)
+            yield batch.assign(
+                val_mase=batch["val_mase"].astype(object).where(batch["val_mase"].notna(), None),
+                promoted=promoted, champion_run=before_run, champion_mase=scores.values, reason=reasons,
+            )
 
     ordered = (
-        runs.select("seq", *KEY, "run_id", "val_mase")
-        .where(F.col("val_mase").isNotNull())
+        runs.select("seq", *KEY, "run_id", null_if_nan(F.col("val_mase")).alias("val_mase"))
         .repartition(*KEY)
         .sortWithinPartitions(*KEY, "seq")
     )
@@ -134,13 +178,13 @@ def replay(runs: DataFrame) -> DataFrame:
 
 def stages(decided: DataFrame) -> DataFrame:
     """Stage of every run: rolled_back, production for the last promoted one of its key, else archived."""
-    last = decided.where("promoted").groupBy(*KEY).agg(F.max("seq").alias("last_seq"))
+    last = F.max(F.when(F.col("promoted"), F.col("seq"))).over(Window.partitionBy(*KEY))
     stage = (
         F.when(~F.col("promoted"), F.lit("rolled_back"))
-        .when(F.col("seq") == F.col("last_seq"), F.lit("production"))
+        .when(F.col("seq") == last, F.lit("production"))
         .otherwise(F.lit("archived"))
     )
-    return decided.join(last, list(KEY), "left").select("seq", *KEY, "run_id", "val_mase", stage.alias("stage"))
+    return decided.select("seq", *KEY, "run_id", "val_mase", stage.alias("stage"))
 
 
 def champions(staged: DataFrame) -> DataFrame:
@@ -159,9 +203,10 @@ def list_production(staged: DataFrame) -> DataFrame:
 
 
 def rollback_alerts(decided: DataFrame) -> DataFrame:
-    """Rows for human review: one per rolled-back run."""
+    """Rows for human review: one per rolled-back run; the degradation of a run without a score is NULL."""
     degradation = _degradation(F.col("val_mase"), F.col("champion_mase"))
-    message = F.format_string(
+    unscored = F.concat(F.concat_ws("/", "series_id", "model_type"), F.lit(": new run has no MASE"))
+    worse = F.format_string(
         "%s: new MASE %.4f against %.4f in production, %.1f%% worse",
         F.concat_ws("/", "series_id", "model_type"),
         F.col("val_mase"),
@@ -175,5 +220,5 @@ def rollback_alerts(decided: DataFrame) -> DataFrame:
         F.lit("rollback").alias("alert_type"),
         degradation.alias("metric_value"),
         F.col("champion_run").alias("kept_run"),
-        message.alias("message"),
+        F.when(F.col("val_mase").isNull(), unscored).otherwise(worse).alias("message"),
     )

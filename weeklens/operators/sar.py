@@ -33,25 +33,33 @@ def differenced(history: DataFrame, season: int, value: str = "total_sales") ->
     return history.select("series_id", "week_start", y.alias("y"), change.alias("w"))
 
 
-def _regression_rows(history: DataFrame, season: int) -> DataFrame:
+def _lagged_rows(history: DataFrame, season: int) -> DataFrame:
     w = F.col("w")
-    rows = differenced(history, season).select(
+    return differenced(history, season).select(
         "series_id",
         "week_start",
         "w",
         F.lag(w, 1).over(series_window()).alias("w1"),
         F.lag(w, season).over(series_window()).alias("ws"),
     )
-    return rows.where(F.col("ws").isNotNull() & F.col("w1").isNotNull())
+
+
+def _regression_rows(history: DataFrame, season: int) -> DataFrame:
+    return _lagged_rows(history, season).where(F.col("ws").isNotNull() & F.col("w1").isNotNull())
 
 
 def sar_fit(train: DataFrame, config: SeasonalArConfig = SeasonalArConfig()) -> DataFrame:
-    """phi1, phi_s, sigma2, n_used, aic, bic per series; NULL coefficients where the system is singular."""
+    """phi1, phi_s, sigma2, n_used, aic, bic for every series of ``train``.
+
+    Coefficients are NULL where the system is singular, and for a series too short for a single regression row.
+    """
+    used = F.col("ws").isNotNull() & F.col("w1").isNotNull()
     sums = (
-        _regression_rows(train, config.season)
+        _lagged_rows(train, config.season)
+        .withColumns({c: F.when(used, F.col(c)) for c in ("w", "w1", "ws")})
         .groupBy("series_id")
         .agg(
-            F.count(F.lit(1)).alias("n_used"),
+            F.count("ws").alias("n_used"),
             F.sum(F.col("w1") * F.col("w1")).alias("s11"),
             F.sum(F.col("ws") * F.col("ws")).alias("sss"),
             F.sum(F.col("w1") * F.col("ws")).alias("s1s"),
@@ -68,7 +76,7 @@ def sar_fit(train: DataFrame, config: SeasonalArConfig = SeasonalArConfig()) ->
     )
     rss = F.col("sww") - F.col("phi1") * F.col("s1w") - F.col("phi_s") * F.col("ssw")
     n = F.col("n_used").cast("double")
-    variance = solved.withColumn("sigma2", F.greatest(F.lit(0.0), rss) / n)
+    variance = solved.withColumn("sigma2", F.when(rss.isNotNull(), F.greatest(F.lit(0.0), rss) / n))
     deviance = n * (F.ln(F.lit(2 * math.pi) * F.col("sigma2")) + 1.0)
     return variance.select(
         "series_id",
@@ -115,7 +123,8 @@ def sar_forecast(
 ) -> DataFrame:
     """Forecast frame with (1 - alpha) intervals from the last history row of each series.
 
-    The state is the last season + 1 levels and differences, so nothing longer is ever gathered.
+    The state is the last season + 1 levels and differences, so nothing longer is ever gathered. Every series of
+    ``history`` gets its ``steps`` rows; their values are NULL where it is shorter than that or has no coefficients.
     """
     season = config.season
     recent = last_rows(differenced(history, season), season + 1)
@@ -124,10 +133,10 @@ def sar_forecast(
         ordered_values("week_start", "y").alias("levels"),
         F.transform(ordered_values("week_start", "w"), lambda v: F.coalesce(v, F.lit(0.0))).alias("changes"),
     )
-    fitted = state.where(F.size("levels") == season + 1).join(
-        params.select("series_id", "phi1", "phi_s", "sigma2"), "series_id"
-    )
-    points = F.slice(_extend(F.col("levels"), F.col("changes"), steps, season), season + 2, steps)
+    fitted = state.join(params.select("series_id", "phi1", "phi_s", "sigma2"), "series_id", "left")
+    extended = F.slice(_extend(F.col("levels"), F.col("changes"), steps, season), season + 2, steps)
+    unknown = F.array_repeat(F.lit(None).cast("double"), steps)
+    points = F.when((F.size("levels") == season + 1) & F.col("phi1").isNotNull(), extended).otherwise(unknown)
     weights = F.slice(_extend(_impulse(season + 1), _impulse(season), steps - 1, season), season + 1, steps)
     folded = fitted.select("series_id", "last_week", "sigma2", points.alias("points"), weights.alias("weights"))
     rows = folded.select("series_id", "last_week", "sigma2", "weights", F.posexplode("points").alias("i", "point"))

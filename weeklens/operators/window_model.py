@@ -82,20 +82,21 @@ def window_fit_trees(
 
 
 def _seeds(history: DataFrame, scaler: DataFrame, size: int) -> DataFrame:
-    """(series_id, last_week, data_min, span, values): the last ``size`` values of each series."""
+    """(series_id, last_week, data_min, span, values): the last ``size`` values of each series.
+
+    A series that has fewer, or no scaler, keeps its row; all its values, and so its forecasts, are NULL.
+    """
     seed = last_rows(history, size).groupBy("series_id").agg(
         F.max("week_start").alias("last_week"), ordered_values("week_start", "total_sales").alias("values")
     )
     span = F.when(F.col("data_max") == F.col("data_min"), F.lit(1.0)).otherwise(F.col("data_max") - F.col("data_min"))
-    short = F.concat(F.lit("history shorter than the window: "), F.col("series_id"))
-    return seed.join(scaler, "series_id").select(
+    unknown = F.array_repeat(F.lit(None).cast("double"), size)
+    return seed.join(scaler, "series_id", "left").select(
         "series_id",
         "last_week",
         "data_min",
         span.alias("span"),
-        F.when(F.size("values") == size, F.col("values"))
-        .otherwise(F.raise_error(short).cast("array<double>"))
-        .alias("values"),
+        F.when(F.size("values") == size, F.col("values").cast("array<double>")).otherwise(unknown).alias("values"),
     )
 
 
@@ -111,7 +112,7 @@ def _dated(rows: DataFrame, model_type: str) -> DataFrame:
 
 
 def window_forecast(history: DataFrame, scaler: DataFrame, model: WindowModel, steps: int) -> DataFrame:
-    """Feeds predictions back into the window. A series shorter than the window is an error."""
+    """Feeds predictions back into the window. A series shorter than the window gets NULL forecasts."""
     size = model.window
     ready = _seeds(history, scaler, size)
     scaled = F.transform("values", lambda v: (v - F.col("data_min")) / F.col("span"))
@@ -135,7 +136,11 @@ def window_forecast_trees(
     Every few rounds a checkpoint cuts the plan.
     """
     scaled = F.transform("values", lambda v: (v - F.col("data_min")) / F.col("span"))
-    state = _seeds(history, scaler, size).select("series_id", "last_week", "data_min", "span", scaled.alias("path"))
+    seeds = _seeds(history, scaler, size).select("series_id", "last_week", "data_min", "span", scaled.alias("path"))
+    known = F.col("path")[0].isNotNull()
+    unknown = F.array_repeat(F.lit(None).cast("double"), size + steps)
+    short = seeds.where(~known).withColumn("path", unknown)
+    state = seeds.where(known)
     for step in range(steps):
         latest = F.slice("path", F.size("path") - (size - 1), F.lit(size))
         scored = model.transform(state.withColumn("features", array_to_vector(latest)))
@@ -143,7 +148,7 @@ def window_forecast_trees(
         state = scored.select("series_id", "last_week", "data_min", "span", grown)
         if (step + 1) % _ROUNDS_PER_CUT == 0:
             state = checkpointed(state)
-    rows = state.select(
+    rows = state.unionByName(short).select(
         "series_id", "last_week", "data_min", "span", F.posexplode(F.slice("path", size + 1, steps)).alias("i", "point")
     )
     return _dated(rows, TREE_MODEL)

@@ -8,8 +8,9 @@ from functools import cached_property, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from weeklens.config import TEST_WEEKS, SeasonalArConfig, work_path
+from weeklens.config import SEASON, TEST_WEEKS, SeasonalArConfig, work_path
 from weeklens.functions.numeric import chi_square_tail
 from weeklens.operators import (
     additive, correlation, decompose, features, forecasts, inventory, metrics, monitoring, registry, sar, split,
@@ -214,7 +215,7 @@ def _dates(df: DataFrame) -> DataFrame:
 def wide_scan(d: Inputs) -> DataFrame:
     path = d.wide_csv()
     files.require_sources(d.spark, [path])
-    return weekly.melt_wide(files.read_wide_sales(d.spark, path)).where(F.col("sales") > 0)
+    return weekly.melt_wide(files.read_wide_sales(d.spark, path))
 
 
 def wide_to_weekly(d: Inputs) -> DataFrame:
@@ -241,7 +242,11 @@ def sell_prices_scan(d: Inputs) -> DataFrame:
 def weekly_cached(d: Inputs) -> DataFrame:
     path = work_path(d.spark, "weekly_sales")
     files.read_through(d.spark, path, lambda: d.weekly)
-    return files.read_through(d.spark, path, lambda: d.weekly.limit(0))
+
+    def missed() -> DataFrame:
+        raise RuntimeError(f"no finished table in {path}")
+
+    return files.read_through(d.spark, path, missed)
 
 
 def calendar_cached(d: Inputs) -> DataFrame:
@@ -296,7 +301,7 @@ def results_csv(d: Inputs) -> DataFrame:
     path = work_path(d.spark, "results_csv")
     files.write_results_csv(metrics.results_table(d.results, 3), path)
     schema = "series_id string, model string, MASE double, RMSE double, MAE double, ME double"
-    return d.spark.read.option("header", True).schema(schema).csv(path).select("series_id", "model")
+    return d.spark.read.option("header", True).schema(schema).csv(path)
 
 
 def retrain_source(d: Inputs) -> DataFrame:
@@ -408,6 +413,32 @@ def monitoring_source(d: Inputs) -> DataFrame:
     return monitoring.proxy_history(rows).select("series_id", "model_type", "forecast_date", "error", "mase")
 
 
+def unscored_decisions(d: Inputs) -> DataFrame:
+    """The run history with some scores missing: NULL in every fifth quarter, not a number in the one after."""
+    mase = (
+        F.when(F.col("seq") % 5 == 0, F.lit(None).cast("double"))
+        .when(F.col("seq") % 5 == 1, F.lit(float("nan")))
+        .otherwise(F.col("val_mase"))
+    )
+    decided = registry.replay(registry.candidate_runs(d.runs.select("seq", *registry.KEY, mase.alias("val_mase"))))
+    return decided.select("seq", *registry.KEY, "val_mase", "promoted", "champion_mase", "reason")
+
+
+def model_coverage(d: Inputs) -> DataFrame:
+    """Forecast rows and values of every series where three of them are only 32 weeks long."""
+    week = F.row_number().over(Window.partitionBy("series_id").orderBy("week_start"))
+    cut = d.stored.withColumn("at", week).where(~F.col("series_id").isin(*SERIES_LIST) | (F.col("at") <= 32)).drop("at")
+    weights = window_model.WindowModel((1.0 / SEASON,) * SEASON, 0.0, ())
+    scaler = d.labelled.select("series_id").distinct().withColumns({"data_min": F.lit(0.0), "data_max": F.lit(1.0)})
+    rows = sar.sar_forecast(cut, sar.sar_fit(cut), TEST_WEEKS).unionByName(
+        window_model.window_forecast(cut, scaler, weights, TEST_WEEKS), allowMissingColumns=True
+    ).select("series_id", F.col("model_type").alias("model"), F.col("predicted_value").alias("value"))
+    lags = correlation.pacf(cut).select("series_id", F.lit("pacf").alias("model"), F.col("pacf").alias("value"))
+    return rows.unionByName(lags).groupBy("series_id", "model").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("value").alias("n_values")
+    )
+
+
 def demand_limits(d: Inputs) -> DataFrame:
     return decompose.control_limits(d.parts)
 
@@ -599,6 +630,8 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "champion_runs": lambda d: registry.list_production(d.staged),
     "champion_of_series": lambda d: registry.production_run(d.staged, ONE_SERIES, "seasonal_naive"),
     "promotion_step": promotion_step,
+    "unscored_decisions": unscored_decisions,
+    "model_coverage": model_coverage,
     "rollback_alerts": lambda d: registry.rollback_alerts(d.decided).select(
         "seq", "series_id", "alert_type", "metric_value", "kept_run"
     ),

@@ -195,28 +195,46 @@ def eda_report(weekly: DataFrame, calendar: DataFrame, path: str) -> dict[str, D
     }
 
 
+def decide(spark: SparkSession, candidates: DataFrame, out: str, seq: int, last_seq: int | None) -> DataFrame:
+    """Decisions on the candidates of run ``seq`` against the champions of run ``last_seq``; writes both tables."""
+    if last_seq is None:
+        current = candidates.select(*registry.KEY, "run_id", "val_mase").limit(0)
+    else:
+        current = spark.read.parquet(f"{out}/champions/v{last_seq}")
+    path = f"{out}/decisions/v{seq}"
+    registry.promote(current, candidates).write.mode("overwrite").parquet(path)
+    decided = spark.read.parquet(path)
+    registry.next_champions(current, decided).write.mode("overwrite").parquet(f"{out}/champions/v{seq}")
+    return decided
+
+
 def run_all(
     spark: SparkSession, weekly: DataFrame, calendar: DataFrame, states: dict[str, str], out: str,
     generated_at: Column, with_eda: bool = True, seq: int = 1, defaults: ModelDefaults = ModelDefaults(),
 ) -> DataFrame:
     """Features, reports, retraining, champion selection, test scores, store and alerts; returns the results.
 
-    Models are judged on val after training on train, then refitted on train + val before the test weeks.
+    Models are judged on val after training on train, then refitted on train + val before the test weeks. A folder
+    takes any number of runs, each with a ``seq`` above those before: inputs are written anew, candidates meet the
+    champions that the last run left, and results are those of this run's forecasts.
     """
-    weekly = read_through(spark, f"{out}/weekly_sales", lambda: weekly)
-    calendar = read_through(spark, f"{out}/calendar", lambda: calendar)
+    runs = registry.RunTable(spark, f"{out}/runs")
+    last_seq = runs.scan().agg(F.max("seq")).first()[0]
+    if last_seq is not None and seq <= last_seq:
+        raise ValueError(f"run {seq} is not above the last run, {last_seq}")
+    weekly_in, calendar_in = weekly, calendar
+    weekly = read_through(spark, f"{out}/inputs/v{seq}/weekly_sales", lambda: weekly_in, force_reload=True)
+    calendar = read_through(spark, f"{out}/inputs/v{seq}/calendar", lambda: calendar_in, force_reload=True)
     features(weekly, states).write.mode("overwrite").parquet(f"{out}/features")
     labelled = temporal_split(weekly)
     if with_eda:
         eda_report(weekly, calendar, f"{out}/eda")
 
-    runs = registry.RunTable(spark, f"{out}/runs")
     _, candidates = retrain(labelled, calendar, states, seq, defaults)
+    decided = decide(spark, candidates, out, seq, last_seq)
     runs.log(candidates)
-    registry.replay(runs.scan()).write.mode("overwrite").parquet(f"{out}/decisions")
-    decided = spark.read.parquet(f"{out}/decisions")
-    registry.stages(decided).write.mode("overwrite").parquet(f"{out}/stages")
-    registry.rollback_alerts(decided).write.mode("overwrite").parquet(f"{out}/alerts/rollback")
+    registry.stages(spark.read.parquet(f"{out}/decisions/*")).write.mode("overwrite").parquet(f"{out}/stages")
+    registry.rollback_alerts(decided).write.mode("overwrite").parquet(f"{out}/alerts/rollback/v{seq}")
 
     known = _as_training(labelled, "train", "val")
     refitted = fit_models(known, calendar, states, defaults).stored(spark, f"{out}/models")
@@ -227,12 +245,13 @@ def run_all(
     )
     store = ForecastTable(spark, f"{out}/forecasts")
     store.append(predicted.withColumn("model_version", F.lit(f"v{seq}")), generated_at)
-    pairs = with_actuals(store.scan(), test)
+    own = store.scan().where(F.col("model_version") == f"v{seq}")
+    pairs = with_actuals(own, test)
     results = metrics.results_table(metrics.evaluate_models(pairs, known))
-    path = f"{out}/evaluation_results"
+    path = f"{out}/evaluation_results/v{seq}"
     write_results_csv(results, path)
-    _, alerts = drift_job(store.scan(), weekly, known)
-    alerts.write.mode("overwrite").parquet(f"{out}/alerts/drift")
+    _, alerts = drift_job(own, weekly, known)
+    alerts.write.mode("overwrite").parquet(f"{out}/alerts/drift/v{seq}")
     return spark.read.option("header", True).schema(results.schema).csv(path)
 
 

@@ -314,6 +314,20 @@ TABLES: dict[str, str] = {
                      NOT ((o.val_mase - w.kept_mase) / (w.kept_mase + 1e-9) > 0.05) AS wins
               FROM walked w JOIN ordered_runs o
                    ON o.series_id = w.series_id AND o.model_type = w.model_type AND o.step = w.step + 1)""",
+    "unscored_runs": """
+        SELECT seq, series_id, model_type, run_id, step, CASE WHEN seq % 5 >= 2 THEN val_mase END AS val_mase FROM ordered_runs""",
+    "unscored_walk": """
+        SELECT seq, series_id, model_type, val_mase, step, true AS promoted, CAST(NULL AS DOUBLE) AS champion_mase,
+               'first' AS reason, val_mase AS kept_mase
+        FROM unscored_runs WHERE step = 1
+        UNION ALL
+        SELECT seq, series_id, model_type, val_mase, step, reason NOT IN ('worse', 'no score'), kept_mase, reason,
+               CASE WHEN reason NOT IN ('worse', 'no score') THEN val_mase ELSE kept_mase END
+        FROM (SELECT o.seq, o.series_id, o.model_type, o.val_mase, o.step, w.kept_mase,
+                     CASE WHEN o.val_mase IS NULL THEN 'no score' WHEN w.kept_mase IS NULL THEN 'champion without score'
+                          WHEN (o.val_mase - w.kept_mase) / (w.kept_mase + 1e-9) > 0.05 THEN 'worse' ELSE 'not worse' END AS reason
+              FROM unscored_walk w JOIN unscored_runs o
+                   ON o.series_id = w.series_id AND o.model_type = w.model_type AND o.step = w.step + 1)""",
     "staged": """
         SELECT seq, series_id, model_type, run_id, val_mase,
                CASE WHEN NOT promoted THEN 'rolled_back'
@@ -349,7 +363,11 @@ def _windows(source: str, keep: str) -> str:
 _STATEMENTS: dict[str, tuple[str, str]] = {
     "wide_scan": (
         """SELECT item_id || '_' || store_id AS id, item_id, cat_id || '_1' AS dept_id, cat_id, store_id, state_id, d,
-                  CAST(sum(sales) AS INTEGER) AS sales FROM fact JOIN cal USING (date) GROUP BY ALL""", ""),
+                  CAST(coalesce(sum(sales), 0) AS INTEGER) AS sales
+           FROM (SELECT DISTINCT item_id, cat_id, store_id, state_id FROM fact) CROSS JOIN cal
+           LEFT JOIN (SELECT item_id AS i, store_id AS s, cat_id AS c, date, sales FROM fact) sold
+                ON sold.i = item_id AND sold.s = store_id AND sold.c = cat_id AND sold.date = cal.date
+           GROUP BY ALL""", ""),
     "wide_to_weekly": (
         f"""SELECT series_id, store_id, cat_id, week_id, week_start, total_sales, {_list(FLAGS)}
             FROM dense""", ""),
@@ -378,7 +396,9 @@ _STATEMENTS: dict[str, tuple[str, str]] = {
         "SELECT series_id, 'sar' AS model_type, 'monthly' AS version, phi1, phi_s, sigma2 FROM sar_params", "phi1 phi_s sigma2"),
     "scaler_scan": ("SELECT * FROM scaler", "data_min data_max"),
     "scaler_params": ("SELECT * FROM scaler", "data_min data_max"),
-    "results_csv": ("SELECT series_id, model FROM results", ""),
+    "results_csv": (
+        """SELECT series_id, model, round("MASE", 3) AS "MASE", round("RMSE", 3) AS "RMSE", round("MAE", 3) AS "MAE",
+                  round("ME", 3) AS "ME" FROM results""", "MASE RMSE MAE ME"),
     "retrain_source": (
         """SELECT series_id, count(*) FILTER (split = 'train') AS n_train, count(*) FILTER (split = 'val') AS n_val,
                   count(*) FILTER (split = 'test') AS n_test FROM labelled GROUP BY series_id""", ""),
@@ -510,7 +530,8 @@ _STATEMENTS: dict[str, tuple[str, str]] = {
     "pacf": (
         f"""SELECT series_id, CAST(k AS INTEGER) AS lag, pacf,
                pacf - CASE WHEN k = 0 THEN 0 ELSE {Z95!r} / sqrt(n) END AS pacf_lower,
-               pacf + CASE WHEN k = 0 THEN 0 ELSE {Z95!r} / sqrt(n) END AS pacf_upper FROM levinson""",
+               pacf + CASE WHEN k = 0 THEN 0 ELSE {Z95!r} / sqrt(n) END AS pacf_upper,
+               CAST(NULL AS VARCHAR) AS error FROM levinson""",
         "pacf pacf_lower pacf_upper"),
     "sar_fit": ("SELECT * FROM sar_params", "phi1 phi_s sigma2 aic bic"),
     "sar_residuals": ("SELECT * FROM sar_res", "residual"),
@@ -605,6 +626,12 @@ _STATEMENTS: dict[str, tuple[str, str]] = {
         "SELECT seq, series_id, model_type, run_id, val_mase, 'candidate' AS stage FROM ordered_runs", "val_mase"),
     "run_decisions": (
         "SELECT seq, series_id, model_type, val_mase, promoted, champion_mase FROM walked", "val_mase champion_mase"),
+    "unscored_decisions": (
+        "SELECT seq, series_id, model_type, val_mase, promoted, champion_mase, reason FROM unscored_walk", "val_mase champion_mase"),
+    "model_coverage": (
+        f"""SELECT series_id, model, n_rows, CASE WHEN series_id IN {tuple(SERIES_LIST)!r} THEN 0 ELSE n_rows END AS n_values
+            FROM (SELECT DISTINCT series_id FROM weekly)
+            CROSS JOIN (VALUES ('sar', 13), ('window', 13), ('pacf', 61)) m(model, n_rows)""", ""),
     "run_stages": ("SELECT seq, series_id, model_type, stage FROM staged", ""),
     "champion_runs": (
         "SELECT series_id, model_type, run_id, val_mase FROM staged WHERE stage = 'production'", "val_mase"),
@@ -612,7 +639,8 @@ _STATEMENTS: dict[str, tuple[str, str]] = {
         f"""SELECT series_id, model_type, run_id, val_mase FROM staged WHERE stage = 'production' AND series_id = '{ONE_SERIES}'""",
         "val_mase"),
     "promotion_step": (
-        """SELECT seq, series_id, model_type, run_id, val_mase, promoted, champion_run, champion_mase FROM walked
+        """SELECT seq, series_id, model_type, run_id, val_mase, promoted, champion_run, champion_mase,
+                  CASE WHEN champion_run IS NULL THEN 'first' WHEN promoted THEN 'not worse' ELSE 'worse' END AS reason FROM walked
            WHERE seq = (SELECT max(seq) FROM runs)""", "val_mase champion_mase"),
     "rollback_alerts": (
         """SELECT seq, series_id, 'rollback' AS alert_type, (val_mase - champion_mase) / (champion_mase + 1e-9) AS metric_value,

@@ -149,7 +149,13 @@ def latest_params(params: DataFrame) -> DataFrame:
 
 
 def require_params(wanted: DataFrame, params: DataFrame, keys: tuple[str, ...] = ("series_id",)) -> None:
-    """Forecasting a series that was never fitted is an error that lists examples."""
-    missing = wanted.select(*keys).distinct().join(params.select(*keys), list(keys), "left_anti").limit(20).collect()
-    if missing:
-        raise RuntimeError("not fitted: " + ", ".join("/".join(str(v) for v in row) for row in missing))
+    """Forecasting a series that was never fitted is an error that tells how many there are and names the first."""
+    missing = missing_params(wanted, params, keys)
+    found = missing.agg(F.count(F.lit(1)).alias("n"), F.min(F.concat_ws("/", *keys)).alias("first")).first()
+    if found["n"]:
+        raise RuntimeError(f"not fitted: {found['n']} keys, the first is {found['first']}")
+
+
+def missing_params(wanted: DataFrame, params: DataFrame, keys: tuple[str, ...] = ("series_id",)) -> DataFrame:
+    """All keys of ``wanted`` without parameters."""
+    return wanted.select(*keys).distinct().join(params.select(*keys), list(keys), "left_anti")
