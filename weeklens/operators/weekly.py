@@ -139,10 +139,21 @@ def snap_flag(states: dict[str, str], store: str = "store_id") -> Column:
     return chosen.cast("tinyint")
 
 
+def _in_series(df: DataFrame, wanted: Iterable[str]) -> Column:
+    """Rows of the wanted series. Where store and category are columns they are compared too: unlike the joined key,
+    these filters move below joins and aggregates and down to the scans."""
+    wanted = list(wanted)
+    keep = F.col("series_id").isin(wanted)
+    if {"store_id", "cat_id"} <= set(df.columns):
+        stores, categories = ({w.split("__", 1)[i] for w in wanted if "__" in w} for i in (0, 1))
+        keep = keep & F.col("store_id").isin(sorted(stores)) & F.col("cat_id").isin(sorted(categories))
+    return keep
+
+
 def restrict_series(weekly: DataFrame, wanted: Iterable[str] | None = None, first_n: int | None = None) -> DataFrame:
     """Keeps the requested series, then the first ``first_n`` ids in order."""
     if wanted:
-        weekly = weekly.where(F.col("series_id").isin(list(wanted)))
+        weekly = weekly.where(_in_series(weekly, wanted))
     if first_n:
         ids = weekly.select("series_id").distinct().orderBy("series_id").limit(first_n)
         weekly = weekly.join(ids, "series_id", "left_semi")
@@ -150,7 +161,7 @@ def restrict_series(weekly: DataFrame, wanted: Iterable[str] | None = None, firs
 
 
 def one_series(df: DataFrame, series_id: str, order: str = "week_start") -> DataFrame:
-    return df.where(F.col("series_id") == series_id).orderBy(order)
+    return df.where(_in_series(df, [series_id])).orderBy(order)
 
 
 def series_ids(df: DataFrame) -> DataFrame:

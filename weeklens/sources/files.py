@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,14 +16,9 @@ DAY_PREFIX = "d_"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether any file lies under ``path``; works on every file system Spark can list."""
-    try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        return True
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    """Whether ``path`` exists: one call to its file system, whatever lies below."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
 def require_sources(spark: SparkSession, paths: Iterable[str]) -> None:
