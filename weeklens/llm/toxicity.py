@@ -22,7 +22,7 @@ CACHED_WORDS = 300_000
 class ToxicConfig:
     """``rows`` of either class and ``max_chars`` bound the labelled sample that the model is fitted on."""
 
-    rows: int = 2500
+    rows: int = 1800
     max_chars: int = 60_000
     features: int = 60_000
     dim: int = 4
