@@ -153,7 +153,7 @@ def require_params(wanted: DataFrame, params: DataFrame, keys: tuple[str, ...] =
     missing = missing_params(wanted, params, keys)
     found = missing.agg(F.count(F.lit(1)).alias("n"), F.min(F.concat_ws("/", *keys)).alias("first")).first()
     if found["n"]:
-        raise RuntimeError(f"not fitted: {found['n']} keys, the first is {found['first']}")
+        raise RuntimeError(f"not fitted: {found['first']}" + (f" and {found['n'] - 1} more" if found["n"] > 1 else ""))
 
 
 def missing_params(wanted: DataFrame, params: DataFrame, keys: tuple[str, ...] = ("series_id",)) -> DataFrame:
