@@ -139,6 +139,9 @@ def test_gru_carries_state_over_windows_and_sums_to_one():
     texts = [np.array(rng.integers(0, 8, n), np.int32) for n in (40, 1, 17, 33, 2)]
     whole = gru.log_likelihood(net, shape, texts, width=5, window=64)
     assert np.allclose(whole, gru.log_likelihood(net, shape, texts, width=2, window=3), atol=1e-4)
+    uneven = [*texts * 8, np.array(rng.integers(0, 8, 3000), np.int32)]
+    one_by_one = np.concatenate([gru.log_likelihood(net, shape, [t], 1, 16) for t in uneven])
+    assert np.allclose(gru.log_likelihood(net, shape, uneven, width=64, window=32), one_by_one, rtol=1e-4, atol=1e-3)
     prefix = texts[2]
     ends = [np.append(prefix, np.int32(i)) for i in range(8)]
     rest = gru.log_likelihood(net, shape, ends, 8, 16) - gru.log_likelihood(net, shape, [prefix], 1, 16)

@@ -169,9 +169,21 @@ def _windows(ends: np.ndarray, window: int):
 
 
 def log_likelihood(net: Net, shape: Shape, texts: list[np.ndarray], width: int = 512, window: int = 32) -> np.ndarray:
-    """Natural log-probability of each whole text (one token at least), the state carried from window to window."""
+    """Natural log-probability of each whole text (one token at least), the state carried from window to window.
+
+    Texts much longer than a stream's share are scored by themselves, so memory follows the tokens and not the longest
+    text times the streams.
+    """
     if not texts:
         return np.zeros(0)
+    lengths = np.array([len(t) for t in texts])
+    long = lengths > 4 * lengths.sum() / min(width, len(texts))
+    if long.any():
+        out = np.empty(len(texts))
+        for part in (long, ~long):
+            at = np.flatnonzero(part)
+            out[at] = log_likelihood(net, shape, [texts[i] for i in at], width, window)
+        return out
     read, target, ends, places = streams(texts, width, shape.begin)
     state = np.zeros((read.shape[1], shape.hidden), F32)
     upto = np.zeros((len(read) + 1, read.shape[1]))
