@@ -9,8 +9,8 @@ from weeklens.operators import correlation, decompose
 
 @pytest.fixture(scope="module")
 def wave():
-    t = np.arange(104)
-    return 100 + 0.5 * t + 10 * np.sin(2 * np.pi * t / 52) + np.random.default_rng(0).standard_normal(104)
+    t = np.arange(130)
+    return 240 - 0.3 * t + 17 * np.cos(2 * np.pi * (t - 9) / 52) + np.random.default_rng(6).normal(0, 0.8, 130)
 
 
 @pytest.fixture(scope="module")
@@ -36,12 +36,13 @@ def test_moving_average_parts(make_weekly, long_wave):
 def test_stl_parts_add_up_and_separate(make_weekly, wave):
     df = decompose.decompose_stl(make_weekly({"A": wave, "short": [1.0, 2.0, 3.0]}))
     rows = df.where("series_id = 'A'").orderBy("week_start").collect()
-    assert len(rows) == 104
+    assert len(rows) == 130
     assert all(r.trend + r.seasonal + r.residual == pytest.approx(r.observed) for r in rows)
     trend = np.array([r.trend for r in rows])
-    assert np.abs(trend - (100 + 0.5 * np.arange(104)))[20:-20].max() < 4
+    assert np.abs(trend - (240 - 0.3 * np.arange(130)))[20:-20].max() < 4
     assert np.std([r.residual for r in rows]) < 2
-    assert {r.trend for r in df.where("series_id = 'short'").collect()} == {None}
+    assert {(r.trend, r.error) for r in df.where("series_id = 'short'").collect()} == {(None, "3 values are less than two periods of 52")}
+    assert df.where("series_id = 'A' and error is not null").count() == 0
 
 
 def test_stl_batch_equals_single(long_wave, wave):
@@ -72,14 +73,14 @@ def test_loess_against_weighted_least_squares():
 
 
 def test_anomalies(spark, make_weekly):
-    sales = [10, 12, 11, 100, 13, 11, 10, 12, 11, 12]
-    residual = [0, 1, 0, 80, 2, 0, -1, 1, 0, 1]
+    sales = [31, 29, 33, 4, 30, 32, 28, 31, 30, 29, 33, 30]
+    residual = [1, -1, 2, -27, 0, 1, -2, 0, -1, 0, 2, -1]
     rows = [("A", week(i), float(s), float(r)) for i, (s, r) in enumerate(zip(sales, residual))]
     parts = spark.createDataFrame(rows, "series_id string, week_start date, observed double, residual double")
-    events = spark.createDataFrame([(week(3), "MockEvent")], "week_start date, event_name string")
+    events = spark.createDataFrame([(week(3), "StoreRefit")], "week_start date, event_name string")
     out = decompose.detect_anomalies(parts, events, sigmas=1.5).orderBy("week_start").collect()
-    assert [r.is_anomaly for r in out] == [i == 3 for i in range(10)]
-    assert (out[3].anomaly_class, out[3].event_label) == ("explainable", "MockEvent")
+    assert [r.is_anomaly for r in out] == [i == 3 for i in range(12)]
+    assert (out[3].anomaly_class, out[3].event_label) == ("explainable", "StoreRefit")
     assert (out[0].anomaly_class, out[0].event_label) == ("normal", "")
     for shift, kind in ((1, "explainable"), (-1, "explainable"), (2, "unexplained")):
         moved = spark.createDataFrame([(week(3 + shift), "E")], "week_start date, event_name string")
@@ -99,7 +100,7 @@ def test_acf_and_band(make_weekly, wave):
     rows = correlation.acf(make_weekly({"A": wave}), nlags=20).orderBy("lag").collect()
     r = brute_acf(wave, 20)
     assert [x.acf for x in rows] == pytest.approx(list(r))
-    half = 1.959963984540054 * np.sqrt((1 + 2 * (r[1:5] ** 2).sum()) / 104)
+    half = 1.959963984540054 * np.sqrt((1 + 2 * (r[1:5] ** 2).sum()) / 130)
     assert rows[5].acf_upper - rows[5].acf == pytest.approx(half)
     assert rows[0].acf_lower == rows[0].acf_upper == 1
 

@@ -27,6 +27,7 @@ EVENT_FLAGS = ("is_holiday", "is_thanksgiving", "is_black_friday")
 RETAIL_STATES = {"CA": "snap_CA", "TX": "snap_TX", "WI": "snap_WI"}
 
 
+# Fixed values, like those above: the defaults of the three model configurations.
 @dataclass(frozen=True)
 class SeasonalArConfig:
     """Differenced seasonal autoregression: lags 1 and ``season`` of (1-B)(1-B^season)y."""

@@ -144,7 +144,7 @@ def decompose_stl(
 ) -> DataFrame:
     """STL of every series. Arrow batches carry many series; those of one length are smoothed together.
 
-    A series shorter than two periods keeps NULL parts and does not stop the others.
+    A series shorter than two periods keeps its rows with NULL parts and an ``error``, and does not stop the others.
     """
 
     def smooth(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -172,6 +172,7 @@ def decompose_stl(
         F.element_at("trend", at).alias("trend"),
         F.element_at("seasonal", at).alias("seasonal"),
         (F.element_at("values", at) - F.element_at("trend", at) - F.element_at("seasonal", at)).alias("residual"),
+        F.when(F.size("values") < 2 * period, F.format_string("%d values are less than two periods of %d", F.size("values"), F.lit(period))).alias("error"),
     )
 
 

@@ -201,7 +201,7 @@ def mase_warnings(history: DataFrame) -> DataFrame:
     """Text lines of the rolling-MASE alerts only."""
     raised = mase_check(history).where("mase_alert")
     line = F.format_string(
-        "%s: Rolling 4-week MASE = %.3f (threshold: 1.15)", F.concat_ws("/", "series_id", "model_type"), F.col("rolling_mase")
+        "%s: MASE of the last 4 weeks is %.3f, above 1.15", F.concat_ws("/", "series_id", "model_type"), F.col("rolling_mase")
     )
     return raised.select(*KEY, line.alias("message"))
 

@@ -602,7 +602,7 @@ _STATEMENTS: dict[str, tuple[str, str]] = {
            UNION ALL SELECT series_id, 'seasonal_naive', 'psi_alert', 'retrain', score FROM shift WHERE score > 0.2""", "metric_value"),
     "mase_warnings": (
         """SELECT series_id, model_type,
-                  printf('%s/%s: Rolling 4-week MASE = %.3f (threshold: 1.15)', series_id, model_type, rolling_mase) AS message
+                  printf('%s/%s: MASE of the last 4 weeks is %.3f, above 1.15', series_id, model_type, rolling_mase) AS message
            FROM checks WHERE mase_alert""", ""),
     "health_table": ("SELECT * FROM health", "mase_4w bias"),
     "health_counts": ("SELECT status, count(*) AS n FROM health GROUP BY status", ""),

@@ -25,7 +25,7 @@ def require_sources(spark: SparkSession, paths: Iterable[str]) -> None:
     """One error that names every missing path."""
     missing = [p for p in paths if not path_exists(spark, p)]
     if missing:
-        raise FileNotFoundError("Missing sales dataset files:\n  " + "\n  ".join(missing))
+        raise FileNotFoundError("no such input: " + ", ".join(missing))
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
