@@ -1,4 +1,5 @@
 import datetime as dt
+import shutil
 
 import numpy as np
 import pytest
@@ -215,3 +216,19 @@ def test_drift_stream_rechecks_touched_series(spark, tmp_path):
     got = {r.series_id: (r.mase_alert, r.bias_alert) for r in stream.read_checks(spark, checks).collect()}
     assert got == {"A": (True, True), "B": (False, False)}
     assert spark.read.parquet(f"{checks}/batch=1").count() == 1
+
+
+def test_drift_stream_keeps_a_bounded_state(spark, tmp_path):
+    """A repeated date counts once, by its later row, and a batch reads only the state before it."""
+    schema = "series_id string, model_type string, forecast_date date, error double, mase double, mean_demand double"
+    inbox, state, checks, mark = (str(tmp_path / n) for n in ("in", "state", "checks", "mark"))
+    for turn in range(4):
+        rows = [("A", "m", week(turn * 2 + i), float(turn), 0.5, 100.0) for i in range(4)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(inbox)
+        stream.drain_drift_monitor(spark.readStream.schema(schema).parquet(inbox), state, checks, mark, weeks=6)
+        if turn > 1:  # what an older batch left is not needed any more
+            shutil.rmtree(f"{state}/batch={turn - 2}")
+    left = spark.read.parquet(f"{state}/batch=3").orderBy("forecast_date").collect()
+    assert [(r.forecast_date, r.error) for r in left] == [
+        (week(4), 2.0), (week(5), 2.0), (week(6), 3.0), (week(7), 3.0), (week(8), 3.0), (week(9), 3.0)
+    ]

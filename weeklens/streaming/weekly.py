@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from weeklens.operators import monitoring
+from weeklens.sources.files import path_exists
 
 WEEK_OFFSET = "4 days"  # the epoch is a Thursday, weeks start on Monday
 
@@ -56,20 +58,30 @@ def read_weekly_totals(spark: SparkSession, sink: str, key: str) -> DataFrame:
     )
 
 
-def drain_drift_monitor(errors: DataFrame, history_path: str, checks_path: str, checkpoint: str, weeks: int = 12) -> None:
-    """Appends new error rows and checks again the series they touch.
+def drain_drift_monitor(errors: DataFrame, state_path: str, checks_path: str, checkpoint: str, weeks: int = 12) -> None:
+    """Takes in new error rows and checks again the series they touch.
 
-    ``errors`` streams series_id, model_type, forecast_date, error, mase, mean_demand. A batch costs its own
-    rows plus the history of its keys (semi-join); nothing else is read into the check.
+    ``errors`` streams series_id, model_type, forecast_date, error, mase, mean_demand. The state after a batch is the
+    last ``weeks`` rows of every key, one for each forecast date (the one that came last). A batch reads the state that
+    the batch before it left and its own rows, so its cost follows the number of keys and not the length of the history.
+    A batch that is run again starts from the same state.
     """
 
     def check(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{history_path}/batch={batch_id}")
-        touched = spark.read.parquet(f"{history_path}/batch={batch_id}").select(*monitoring.KEY).distinct()
-        everything = spark.read.option("basePath", history_path).parquet(history_path).drop("batch")
-        rows = monitoring.recent(everything.join(touched, list(monitoring.KEY), "left_semi"), weeks)
-        monitoring.drift_checks(rows).write.mode("overwrite").parquet(f"{checks_path}/batch={batch_id}")
+        before, after = (f"{state_path}/batch={i}" for i in (batch_id - 1, batch_id))
+        rest = [c for c in batch.columns if c not in (*monitoring.KEY, "forecast_date")]
+        rows = batch.withColumn("_batch", F.lit(batch_id).cast("bigint"))
+        if path_exists(spark, before):
+            rows = rows.unionByName(spark.read.parquet(before).drop("rank"))
+        latest = F.max(F.struct("_batch", *rest))
+        once = rows.groupBy(*monitoring.KEY, "forecast_date").agg(latest.alias("s"))
+        kept = monitoring.recent(once.select(*monitoring.KEY, "forecast_date", "s.*"), weeks)
+        kept.write.mode("overwrite").parquet(after)
+        stored = spark.read.parquet(after)
+        touched = F.max("_batch").over(Window.partitionBy(*monitoring.KEY)) == batch_id
+        again = stored.withColumn("_touched", touched).where("_touched").drop("_touched", "_batch")
+        monitoring.drift_checks(again).write.mode("overwrite").parquet(f"{checks_path}/batch={batch_id}")
 
     query = (
         errors.writeStream.foreachBatch(check)
