@@ -86,9 +86,12 @@ def reference_ridge(x, y, config, n_holidays):
     return np.linalg.solve(x.T @ x + np.diag(additive._penalties(config, n_holidays)), x.T @ y)
 
 
-@pytest.mark.parametrize("limit", [64, 0])
-def test_additive_fit_is_ridge(make_weekly, calendar, series, limit, monkeypatch):
-    monkeypatch.setattr(additive, "BROADCAST_SPANS", limit)
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_additive_fit_is_ridge(spark, make_weekly, calendar, series, threshold, request):
+    """The same coefficients whether Spark sends the solutions to the series or shuffles both."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before))
     config = AdditiveConfig(changepoints=5, fourier_order=3)
     df = make_weekly(series)
     rows = {r.series_id: r for r in additive.additive_fit(df, calendar, RETAIL_STATES, config).collect()}

@@ -24,9 +24,6 @@ from weeklens.sources.calendar import holiday_table
 
 MODEL = "additive"
 SPAN = ("state", "first_week", "n")
-# A solution takes about 250 kB for ten years of weeks, so this many are safe to broadcast.
-BROADCAST_SPANS = 64
-SALTS = 64
 _TREND_PENALTY = 1 / 25.0
 
 
@@ -106,8 +103,8 @@ def additive_fit(
 ) -> DataFrame:
     """(series_id, state, first_week, n, names, coef, sigma2) for dense training series.
 
-    The spans are counted first. Few of them, as with dense series, are broadcast to the series; with many
-    the key is salted, because a common span may belong to most of the series.
+    Series meet the solution of their span in one join, whatever the number of spans. A common span may belong to most
+    series: adaptive execution measures both sides, then sends small solutions to the series or splits the large span.
     """
     series = train.groupBy("series_id").agg(
         F.min("week_start").alias("first_week"),
@@ -122,12 +119,7 @@ def additive_fit(
         .distinct()
     )
     solutions = span_solutions(spans, week_holidays(calendar, states), config)
-    if spans.limit(BROADCAST_SPANS + 1).count() <= BROADCAST_SPANS:
-        joined = placed.join(F.broadcast(solutions), list(SPAN))
-    else:
-        salt = F.pmod(F.xxhash64("series_id"), F.lit(SALTS)).cast("int")
-        spread = solutions.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = placed.withColumn("salt", salt).join(spread, [*SPAN, "salt"])
+    joined = placed.join(solutions, list(SPAN))
     fitted = joined.select(
         "series_id", *SPAN, "names", "y", "design", F.transform("solution", lambda row: dot(row, F.col("y"))).alias("coef")
     )
