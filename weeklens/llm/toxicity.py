@@ -44,23 +44,27 @@ def subwords(word: str) -> list[str]:
 def sample(
     docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_chars: int, folds: int = 5
 ) -> tuple[list[str], np.ndarray, float]:
-    """Texts and labels of at most ``per_class`` rows of either class, the first by a hash, and the share of label 1.
+    """Texts and labels of at most ``per_class`` ids of either class, the first by a hash, and the share of label 1.
 
     Only labelled rows outside the held-out fold may be learned from. Several labels of one id count as the largest; null
-    labels and null ids are left out. The choice is made on ids and sizes alone, and only the chosen texts reach the
-    driver, ``2 * per_class * max_chars`` characters at most. The share is counted over all rows.
+    labels and null ids are left out. Of each id one text is learned, that of the smallest hash among its texts of at most
+    ``max_chars`` characters, however often its rows repeat. The choice is made on ids, sizes and hashes alone, and only the
+    chosen texts reach the driver, ``2 * per_class * max_chars`` characters at most. The share is counted over all rows.
     """
     given = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold_of("doc_id", folds) != 0))
     given = given.groupBy("doc_id").agg(F.max(label).cast("int").alias("y")).where("y in (0, 1)")
     chars = F.coalesce(F.length("text"), F.lit(0))
-    sizes = docs.select("doc_id", chars.alias("chars"), F.xxhash64("doc_id").alias("h"))
-    sizes = written(sizes.join(given, "doc_id"), "labelled")
-    counts = {r["y"]: r["n"] for r in sizes.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    fits = sizes.where(F.col("chars") <= max_chars)
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    sizes = docs.select("doc_id", F.when(chars <= max_chars, text_hash).alias("t"))
+    by_id = sizes.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("t").alias("t"))
+    by_id = written(by_id.join(given, "doc_id").withColumn("h", F.xxhash64("doc_id")), "labelled")
+    counts = {r["y"]: r["n"] for r in by_id.groupBy("y").agg(F.sum("n").alias("n")).collect()}
+    fits = by_id.where(F.col("t").isNotNull())
     picks = [fits.where(F.col("y") == y).orderBy("h", "doc_id").limit(per_class) for y in (0, 1)]
-    chosen = picks[0].union(picks[1]).select("doc_id", "y").distinct()
-    got = docs.select("doc_id", "text").where(chars <= max_chars).join(F.broadcast(chosen), "doc_id")
-    frame = got.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y").toPandas().sort_values(["doc_id", "text"])
+    chosen = picks[0].union(picks[1]).select("doc_id", "t", "y")
+    texts = docs.where(chars <= max_chars).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), text_hash.alias("t"))
+    got = texts.join(F.broadcast(chosen), ["doc_id", "t"]).groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
+    frame = got.toPandas().sort_values(["doc_id", "text"])
     share = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
     return list(frame["text"]), frame["y"].to_numpy(np.int64), share
 
