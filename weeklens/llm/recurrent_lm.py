@@ -35,15 +35,12 @@ LN10 = math.log(10)
 class LmConfig:
     """words: with numbers of their own; sent: whose counts go to the tasks, at most; tails: classes of all other words.
 
-    ``share`` of the training documents, chosen by a hash, train the network, or as many as hold about ``least_tokens``
-    if that is more; counts are over all of them.
+    All training documents train the network, each in one of the ``rounds``, at every size; counts are over all of them too.
     """
 
     words: int = 1008
     tails: int = 24
     sent: int = 200_000
-    share: float = 0.08
-    least_tokens: int = 2_000_000
     rounds: int = 2
     width: int = 64
     window: int = 20
@@ -159,18 +156,15 @@ _PART = T.StructType([T.StructField("part", T.LongType()), T.StructField("tokens
 def train_network(training: DataFrame, lex: Lexicon, config: LmConfig) -> gru.Net:
     """Rounds of local training: every task trains its own copy on its documents, then the copies are averaged.
 
+    A hash deals every document to one round, so together the rounds are one pass over all of them.
     Averages are taken of ``group`` copies at a time, weighted by their tokens, until one group is left; neither a task
     nor the driver holds more copies than that.
     """
     spark = training.sparkSession
     net = gru.fresh(lex.shape, lex.numbers, config.seed)
-    share = min(1.0, max(config.share, config.least_tokens / max(1, lex.total)))
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
+    round_of = F.pmod(F.xxhash64("doc_id", "text"), F.lit(config.rounds))
     for turn in range(config.rounds):
-        low, high = share * turn / config.rounds, share * (turn + 1) / config.rounds
-        if share == 1.0:
-            low, high = 0.0, 1.0
-        chosen = training.where((draw >= low) & (draw < high)).select("text")
+        chosen = training.where(round_of == turn).select("text")
         sent = spark.sparkContext.broadcast((lex, gru.packed(net)))
         parts = chosen.mapInPandas(lambda frames, sent=sent: _train_part(frames, *sent.value, config), _PART)
         parts = written(parts.withColumn("part", F.spark_partition_id().cast("bigint")), "nets")
