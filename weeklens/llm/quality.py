@@ -21,6 +21,8 @@ from weeklens.llm.toxicity import sample
 THRESHOLD = 0.3
 CACHED_WORDS = 100_000
 _RUNS = re.compile(r"[^\W\d_]+|\d+")
+_PARTS = re.compile(r"Aa|.", re.DOTALL)
+LONG_SHAPE = 40
 _BLOCK = 1 << 15
 AGAIN = "<again>"
 
@@ -56,10 +58,16 @@ def _kind(run: re.Match) -> str:
 
 
 def units(word: str) -> tuple[str, str]:
-    """A word's letters in lower case, and its shape: runs of letters and digits by kind, other characters as they are."""
+    """A word's letters in lower case, and its shape: runs of letters and digits by kind, other characters as they are.
+
+    Of a shape longer than ``LONG_SHAPE`` the distinct parts stay, in the order in which they come first.
+    """
     if word.isalpha():
         return word.lower(), "#a" if word.islower() else "#A" if word.isupper() else "#Aa"
-    return "".join(c for c in word if c.isalpha()).lower(), "#" + _RUNS.sub(_kind, word[:40])
+    shape = _RUNS.sub(_kind, word)
+    if len(shape) > LONG_SHAPE:
+        shape = "".join(dict.fromkeys(_PARTS.findall(shape)))
+    return "".join(c for c in word if c.isalpha()).lower(), "#" + shape
 
 
 def repeats(words: list[str]) -> int:
