@@ -7,6 +7,7 @@ model's parameters, two per rule and one prior.
 from __future__ import annotations
 
 import math
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -152,12 +153,12 @@ def _told(good: list[float], bad: list[float]) -> tuple[tuple[float, ...], tuple
     return tuple(x / sum(g) for x in g), tuple(x / sum(b) for x in b)
 
 
-def estimate(votes: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = 40, tolerance: float = 1e-5, smooth: float = 0.002) -> VoteModel:
+def estimate(votes: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = 400, tolerance: float = 1e-5, smooth: float = 0.002) -> VoteModel:
     """Expectation-maximisation over the distinct vote patterns and their counts.
 
     A pattern is one of 3 to the power of the number of rules, so the table is small whatever the corpus, and it counts
     every document. The start trusts each rule alike. Pseudo-counts of ``smooth`` times all documents keep shares off
-    zero.
+    zero. Rounds go on to the tolerance; a warning says if it was not reached.
     """
     names = [f"v{i}" for i in range(len(rules))]
     patterns = written(votes.groupBy(*names).agg(F.count("*").alias("n")), "votes")
@@ -177,7 +178,7 @@ def estimate(votes: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = 40
             (r[f"{name}_{side}_{v}"] + extra * START[k][i]) / (r[side] + extra) for i, v in enumerate(VOTES)
         ]
         tables = [_told(share(name, "good", 0), share(name, "bad", 1)) for name in names]
-        prior = min(0.99, max(0.5, r["good"] / total))
+        prior = min(0.99, max(0.01, r["good"] / total))
         new = VoteModel(prior, tuple(g for g, _ in tables), tuple(b for _, b in tables))
         moved = max(
             [abs(new.prior - model.prior)]
@@ -185,7 +186,8 @@ def estimate(votes: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = 40
         )
         model = new
         if moved < tolerance:
-            break
+            return model
+    warnings.warn(f"vote shares still moved by {moved:.1e} after {rounds} rounds", stacklevel=2)
     return model
 
 
