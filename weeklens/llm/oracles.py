@@ -79,5 +79,47 @@ FROM owned
 """
 
 
+FILTER_AUDIT = r"""
+WITH letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters a JOIN letters b ON b.x <> a.x JOIN letters c ON c.x NOT IN (a.x, b.x)
+  JOIN letters d ON d.x NOT IN (a.x, b.x, c.x) JOIN letters e ON e.x NOT IN (a.x, b.x, c.x, d.x)
+), told AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+), worded AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), failing AS (
+  SELECT w.doc_id, part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         (CASE WHEN len(w) < 100 THEN 'A' ELSE '' END)
+         || (CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END)
+         || (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END)
+         || (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END)
+         || (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END) AS f
+  FROM worded w LEFT JOIN told USING (doc_id)
+), counted AS (SELECT part, f, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failing GROUP BY part, f),
+steps AS (
+  SELECT part, f, n, good, toxic, filter_order, step, substr(filter_order, step, 1) AS x,
+         translate(substr(filter_order, 1, step - 1), f, '') <> substr(filter_order, 1, step - 1) AS gone
+  FROM counted, orders, unnest(range(1, 6)) AS s(step)
+), summed AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, x,
+         coalesce(sum(n) FILTER (NOT gone AND NOT contains(f, x)), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (NOT gone AND contains(f, x)), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (gone AND contains(f, x)), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (f = x), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (NOT gone AND contains(f, x)), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (NOT gone AND contains(f, x)), 0)::BIGINT AS toxic_lost
+  FROM steps GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM summed
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_index": WARC, "op3_mix_sources": MIX, "op6_decontaminate": DECONTAMINATE}
+    return {"op1_warc_index": WARC, "op3_mix_sources": MIX, "op6_decontaminate": DECONTAMINATE, "op12_filter_audit": FILTER_AUDIT}
