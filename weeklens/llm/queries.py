@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weeklens.llm import decontaminate, filter_audit, mixing, oracles, quality, recurrent_lm, sharding, simhash, token_count, toxicity, warc, weak_rules
+from weeklens.llm import decontaminate, filter_audit, mixing, oracles, pii, quality, recurrent_lm, sharding, simhash, spelling, token_count, toxicity, warc, weak_rules
 from weeklens.llm.common import table
 
 
@@ -62,14 +62,23 @@ def op10_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recurrent_lm.scored(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.found(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = (
         op1_warc_index, op2_toxicity, op3_mix_sources, op4_kd_shards, op5_weak_rules, op6_decontaminate, op7_token_counts,
-        op8_quality, op9_simhash_groups, op10_recurrent_lm, op12_filter_audit,
+        op8_quality, op9_simhash_groups, op10_recurrent_lm, op11_spelling_variants,
+        op12_filter_audit, op13_contextual_pii,
     )
     return {f.__name__: f for f in operators} | {"pipeline": corpus_pipeline.run}
 
