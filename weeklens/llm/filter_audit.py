@@ -12,6 +12,8 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import permutations
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -24,8 +26,9 @@ from weeklens.llm.common import written
 
 LETTERS = "ABCDE"
 DUPLICATE = 1 << LETTERS.index("E")
-#: Prefixes have BASE, 2 * BASE, 4 * BASE, ... bytes; one that more than PREFIX_BYTES of text share is doubled.
-BASE, PREFIX_BYTES = 8, 32 << 20
+#: Prefixes have BASE, 2 * BASE, 4 * BASE, ... bytes; one that more than PREFIX_BYTES of text share is doubled. Beyond 8 TB
+#: of distinct texts the border grows, so that no more than PREFIXES prefixes of one length lie above it.
+BASE, PREFIX_BYTES, PREFIXES = 8, 16 << 20, 500_000
 #: A task's own tries are handed on when they hold this much text.
 LOCAL_BYTES = 16 << 20
 #: A partition of the range deal holds about this much text.
@@ -135,7 +138,7 @@ def _local(batches: Iterator[pa.RecordBatch], limits: Limits, schema: pa.Schema)
     def rows(trie: Trie) -> Iterator[pa.RecordBatch]:
         out, size = [], 0
         for text, (least,) in trie.terminals():
-            out.append((text, hashlib.sha256(text).hexdigest(), failures(text, limits), least, _marks(text)))
+            out.append((text, hashlib.sha256(text).digest(), failures(text, limits), least, _marks(text)))
             size += len(text)
             if size >= LOCAL_BYTES // 4:
                 yield _batch(out, schema)
@@ -170,18 +173,29 @@ def _payload() -> Column:
     return F.coalesce(F.col("text"), F.lit("")).cast("binary")
 
 
-def _prefixes(local: DataFrame) -> DataFrame:
+def _prefixes(local: DataFrame, bytes_: int) -> DataFrame:
     """``local`` with ``prefix``: the shortest of a text's prefixes of BASE * 2^i bytes that isn't overfull.
 
-    A prefix is overfull if more than PREFIX_BYTES of text share it. A text that itself makes its prefix overfull gets
-    all of its bytes as the prefix. Only the digests of texts under overfull prefixes are joined back.
+    A prefix is overfull if more than PREFIX_BYTES of text share it; a text that makes all of its prefixes overfull gets
+    all its bytes. The hashes of overfull prefixes go to every task: one length has PREFIXES of them at most, and a
+    prefix can only be overfull if the shorter ones are.
     """
-    marks = local.select("digest", F.octet_length("text").alias("bytes"), F.posexplode("marks").alias("level", "mark"))
-    full = marks.groupBy("level", "mark").agg(F.sum("bytes").alias("bytes")).where(F.col("bytes") > PREFIX_BYTES)
-    deep = marks.join(full.select("level", "mark"), ["level", "mark"], "left_semi").groupBy("digest").agg(F.max("level").alias("full"))
-    joined = local.join(written(deep, "deep-prefixes"), "digest", "left")
-    prefix = F.expr(f"substring(text, 1, {BASE} * shiftleft(1, coalesce(full + 1, 0)))")
-    return joined.select("digest", "text", "mask", "least", prefix.alias("prefix"))
+    border = max(PREFIX_BYTES, bytes_ // PREFIXES)
+    marks = local.select(F.octet_length("text").alias("bytes"), F.posexplode("marks").alias("level", "mark"))
+    full = marks.groupBy("level", "mark").agg(F.sum("bytes").alias("bytes")).where(F.col("bytes") > border)
+    overfull = local.sparkSession.sparkContext.broadcast(np.sort(np.array([r["mark"] for r in full.select("mark").toLocalIterator()], np.int64)))
+
+    @F.pandas_udf(T.IntegerType())
+    def level(marks: pd.Series) -> pd.Series:
+        sizes = marks.str.len().to_numpy()
+        flat = np.concatenate(marks.to_list()) if len(marks) else np.zeros(0, np.int64)
+        known = overfull.value
+        at = np.searchsorted(known, flat)
+        there = known[np.minimum(at, len(known) - 1)] == flat if len(known) else np.zeros(len(flat), bool)
+        return pd.Series(np.add.reduceat(there, np.cumsum([0, *sizes[:-1]])) if len(sizes) else [], dtype="int32")
+
+    prefix = F.expr(f"substring(text, 1, {BASE} * shiftleft(1, level))")
+    return local.withColumn("level", level("marks")).select("digest", "text", "mask", "least", prefix.alias("prefix"))
 
 
 def distinct_texts(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -190,13 +204,13 @@ def distinct_texts(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     Null texts are empty texts. A null id counts as larger than any other.
     """
     ident = docs.schema["doc_id"].dataType
-    merged_type = T.StructType().add("digest", T.StringType()).add("mask", T.IntegerType()).add("least", ident)
+    merged_type = T.StructType().add("digest", T.BinaryType()).add("mask", T.IntegerType()).add("least", ident)
     local_type = T.StructType([T.StructField("text", T.BinaryType()), *merged_type, T.StructField("marks", T.ArrayType(T.LongType()))])
     local_schema, merged_schema = to_arrow_schema(local_type), to_arrow_schema(merged_type)
     rows = docs.select("doc_id", _payload().alias("text"))
     local = written(rows.mapInArrow(lambda b: _local(b, limits, local_schema), local_type), "local-tries")
     bytes_ = local.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    dealt = _prefixes(local).repartitionByRange(max(1, -(-bytes_ // RANGE_BYTES)), "prefix").sortWithinPartitions("prefix")
+    dealt = _prefixes(local, bytes_).repartitionByRange(max(1, -(-bytes_ // RANGE_BYTES)), "prefix").sortWithinPartitions("prefix")
     return written(dealt.mapInArrow(lambda b: _merge(b, merged_schema), merged_type), "distinct-texts")
 
 
@@ -207,7 +221,7 @@ def flagged(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     E if another row with a smaller id has the same text, so rows that repeat one another, ids included, stay together
     on either side; rows without an id come last. Ids are integers or strings.
     """
-    rows = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("part"), F.sha2(_payload(), 256).alias("digest"))
+    rows = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("part"), F.unhex(F.sha2(_payload(), 256)).alias("digest"))
     again = F.col("least").isNotNull() & (F.col("doc_id").isNull() | (F.col("doc_id") > F.col("least")))
     joined = rows.join(distinct_texts(docs, limits), "digest")
     return joined.select("doc_id", "part", F.col("mask").bitwiseOR(F.when(again, DUPLICATE).otherwise(0)).alias("mask"))
