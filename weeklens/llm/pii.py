@@ -8,6 +8,7 @@ fill, an identifier as good as its best trusted pattern. Trusted patterns discov
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -110,26 +111,20 @@ def _normal(word: str) -> str:
     return word.translate(_LOW).strip(_TRIM)
 
 
-def _before(text: str, at: int) -> list[str]:
-    """The last word before ``at`` and the last two, as patterns; none if fewer words stand there.
+class _Words:
+    """The words of a text, and the patterns before a place in it."""
 
-    A word that ``at`` itself is part of is left out, so the pattern is what stands before the identifier's own word.
-    """
-    words: list[str] = []
-    end = at
-    while end > 0 and text[end - 1] not in _SPACES:
-        end -= 1
-    while len(words) < 2:
-        while end > 0 and text[end - 1] in _SPACES:
-            end -= 1
-        start = end
-        while start > 0 and text[start - 1] not in _SPACES:
-            start -= 1
-        if start == end:
-            break
-        words.append(_normal(text[start:end]))
-        end = start
-    return ["1 " + words[0], f"2 {words[1]} {words[0]}"][: len(words)] if words else []
+    def __init__(self, text: str):
+        self.text, self.spans = text, [m.span() for m in _WORD.finditer(text)]
+        self.starts, self.known = [s for s, _ in self.spans], {}
+
+    def before(self, at: int) -> list[str]:
+        """The last word before the place's own word, and the last two, as patterns; fewer where the text begins."""
+        own = bisect_right(self.starts, at) - 1
+        if own not in self.known:
+            words = [_normal(self.text[s:e]) for s, e in self.spans[max(0, own - 2) : max(0, own)]]
+            self.known[own] = [f"{n} " + " ".join(words[-n:]) for n in range(1, len(words) + 1)]
+        return self.known[own]
 
 
 def _others(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, list[int]]]:
@@ -162,7 +157,7 @@ def _others(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int,
     for start, end in sorted(spans):
         while i < len(taken) and taken[i][1] <= start:
             i += 1
-        if start < kept or start >= end or any(s < end and e > start for s, e in taken[i : i + 8]):
+        if start < kept or start >= end or i < len(taken) and taken[i][0] < end:
             continue
         shown = text[start:end]
         n = len(_digits(shown))
@@ -174,17 +169,23 @@ def _others(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int,
             yield start, end, kinds
 
 
+def _row(words: _Words, start: int, end: int, kinds: list[int]) -> dict:
+    return {
+        "kind": KINDS[kinds[0]], "start": start, "end": end, "identifier": _identifier(kinds[0], words.text[start:end]),
+        "patterns": words.before(start), "kinds": [KINDS[k] for k in kinds],
+    }
+
+
 def _extract(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         base, others = [], []
         for text in batch.column("text").to_pylist():
             text = text or ""
             spans = base_spans(text)
-            row = lambda k, s, e, kinds: {
-                "kind": KINDS[k], "start": s, "end": e, "identifier": _identifier(k, text[s:e]), "patterns": _before(text, s), "kinds": [KINDS[x] for x in kinds],
-            }
-            base.append([row(k, s, e, [k]) for k, s, e in spans])
-            others.append([row(kinds[0], s, e, kinds) for s, e, kinds in _others(text, spans)])
+            rest = list(_others(text, spans))
+            words = _Words(text) if spans or rest else None
+            base.append([_row(words, s, e, [k]) for k, s, e in spans])
+            others.append([_row(words, s, e, kinds) for s, e, kinds in rest])
         columns = [batch.column("doc_id")] + [pa.array(c, schema.field(n).type) for c, n in ((base, "base"), (others, "others"))]
         yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
@@ -230,8 +231,9 @@ def _places(batches: Iterator[pa.RecordBatch], bitmap: np.ndarray) -> Iterator[p
 
 def _bitmap(patterns: DataFrame) -> np.ndarray:
     """One bit for each induced pattern's hash, gathered in 256 pieces of 4 kB."""
-    at = F.pmod(F.xxhash64("pattern"), F.lit(BITS))
-    pieces = patterns.select(at.alias("at")).groupBy(F.bitmap_bucket_number(F.col("at") + 1).alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    from_one = F.pmod(F.xxhash64("pattern"), F.lit(BITS)) + 1
+    pieces = patterns.select(from_one.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("piece"))
+    pieces = pieces.agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
     whole = np.zeros(BITS // 8, np.uint8)
     for r in pieces.collect():
         at = (r["piece"] - 1) * 4096
