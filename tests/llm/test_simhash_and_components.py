@@ -1,6 +1,7 @@
 import random
 import re
 
+import pytest
 import xxhash
 
 from weeklens.llm import simhash
@@ -14,7 +15,7 @@ def plain_print(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def plain_groups(prints):
+def plain_groups(prints, distance=2):
     root = {i: i for i in range(len(prints))}
 
     def find(x):
@@ -24,7 +25,7 @@ def plain_groups(prints):
 
     for a in range(len(prints)):
         for b in range(a):
-            if (prints[a] ^ prints[b]).bit_count() <= 2:
+            if (prints[a] ^ prints[b]).bit_count() <= distance:
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     return [find(i) for i in range(len(prints))]
@@ -46,6 +47,26 @@ def test_groups_equal_all_pairs(spark):
     assert pairs <= {(True, True), (False, False)}
 
 
+def dense(seed=4, bits=10):
+    """A large group whose fingerprints differ in a few places only, so its halves are shared by very many, and strays."""
+    rng = random.Random(seed)
+    base, places = rng.getrandbits(64), rng.sample(range(64), bits)
+    group = {base ^ sum(1 << b for b in rng.sample(places, rng.randint(0, bits))) for _ in range(150)}
+    return sorted(group) + [rng.getrandbits(64) for _ in range(20)]
+
+
+@pytest.mark.parametrize("distance, hot", [(1, 4), (2, 64), (2, 3), (3, 64), (3, 5), (4, 64), (4, 2)])
+def test_hot_segments_and_other_distances_equal_all_pairs(spark, distance, hot):
+    prints = dense(seed=distance, bits=11)
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    frame = spark.createDataFrame([(p,) for p in signed], "fp bigint")
+    found = [(r["a"] & (2**64 - 1), r["b"] & (2**64 - 1)) for r in simhash.links(frame, distance, hot).collect()]
+    assert all(0 < (a ^ b).bit_count() <= distance for a, b in found)
+    root = {r["node"]: r["root"] for r in components(spark.createDataFrame([(a - (1 << 64) if a >> 63 else a, b - (1 << 64) if b >> 63 else b) for a, b in found], "a bigint, b bigint")).collect()} if found else {}
+    got, want = [root.get(p, p) for p in signed], plain_groups(prints, distance)
+    assert {(got[i] == got[j], want[i] == want[j]) for i in range(len(prints)) for j in range(i)} <= {(True, True), (False, False)}
+
+
 def test_balls_list_each_value_once(spark):
     row = spark.range(1).select(simhash.segment_balls(simhash.F.lit(5).cast("bigint")).alias("x")).first()["x"]
     assert len(row) == len(set(row)) == 65 and all(((v ^ 5) & (2**64 - 1)).bit_count() <= 1 for v in row)

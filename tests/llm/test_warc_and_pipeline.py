@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from weeklens.config import work_path
+from tests.llm.conftest import EXTRA
 from weeklens.llm import queries, warc
 
 SF = "/root/testdata/sf0.001"
@@ -96,3 +97,4 @@ def test_stages_take_odd_rows(spark, odd_docs, no_docs):
             docs = corpus_pipeline.written(stage(spark, docs, SF), "stage")
             if name != "sharding":
                 assert docs.columns == rows.columns
+                assert {tuple(r)[5:] for r in docs.collect()} <= {EXTRA}

@@ -37,10 +37,8 @@ def bound(value: Column, body) -> Column:
 
 
 def row_key(df: DataFrame) -> DataFrame:
-    """Adds ``_id`` and ``_tie``: the id and a hash of all columns, equal only for rows that repeat one another."""
-    return df.withColumns(
-        {
-            "_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
-            "_tie": F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]),
-        }
+    """(row, id, tie): the row as a struct, so no name clashes; its doc_id as text; a hash that rows alike share."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return df.select(
+        F.struct(*columns).alias("row"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.xxhash64(*columns).alias("tie")
     )

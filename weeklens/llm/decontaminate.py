@@ -195,7 +195,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_tes
     tasks over runs of whole documents, so nothing is shuffled. Test items are sent to the tasks in portions of about
     ``max_test_chars`` characters; a larger benchmark takes one pass over the documents per portion.
     """
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, docs.drop("_n_words", "_spans")
     chars = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
     portions = max(1, -(-chars // max_test_chars))
     items = benchmark.select("item_id", "text", F.pmod(F.xxhash64("item_id", "text"), F.lit(portions)).alias("portion"))
@@ -213,6 +213,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_tes
 def judged(docs: DataFrame, benchmark: DataFrame, keep_text: bool = True, share: int = 20) -> DataFrame:
     """``docs`` with n_words, n_hit, n_items, items_sha256 and contaminated, under names that start with an underscore.
 
+    They, ``_spans`` and ``_items`` replace columns of these names.
+
     A word is hit if it lies inside a match. A document is contaminated if at least one word in ``share`` is hit. Null
     and empty texts have no words; null and empty items have no window; items with the same id are one item; a null
     item_id counts as the empty name. Rows are judged one by one, so repeated rows stay and extra columns pass through.
@@ -239,5 +241,11 @@ def judged(docs: DataFrame, benchmark: DataFrame, keep_text: bool = True, share:
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that are not contaminated, with the columns they came with."""
-    return judged(docs, benchmark).where(~F.col("_contaminated")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that are not contaminated, with the columns they came with, whatever their names.
+
+    Rows without words are clean; rows that repeat one another go or stay together; an empty table stays empty, and
+    without items every row stays.
+    """
+    packed = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("_row"))
+    clean = judged(packed, benchmark).where(~F.col("_contaminated"))
+    return clean.select(*[F.col("text") if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns])

@@ -71,14 +71,14 @@ def _positions(sized: DataFrame) -> DataFrame:
         F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("words_before"),
         F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("rows_before"),
     )
-    within = Window.partitionBy("ord", "range").orderBy("h", "_id", "_tie")
+    within = Window.partitionBy("ord", "range").orderBy("h", "id", "tie")
     own = keyed.select(
         "*",
         (F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")).alias("words_here"),
         F.row_number().over(within).alias("row_here"),
     )
     return own.join(offsets, ["ord", "range"]).select(
-        "ord", "doc_id", "_id", "_tie", "size",
+        "ord", "doc_id", "id", "tie", "size",
         (F.col("words_before") + F.col("words_here")).alias("start"),
         (F.col("rows_before") + F.col("row_here")).alias("pos"),
     )
@@ -136,7 +136,7 @@ def mix(docs: DataFrame, cap: int = CAP, most_slots: int = MOST_SLOTS, least_blo
     0 and nothing is taken of them; a null source is a source of its own; repeated rows are rows of their own. Column
     names other than doc_id, text and source play no part.
     """
-    narrow = row_key(docs).select("doc_id", "source", "_id", "_tie", word_count().alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("h"))
+    narrow = row_key(docs).select("row.doc_id", "row.source", "id", "tie", word_count("row.text").alias("size"), F.md5("id").alias("h"))
     sized = written(narrow, "sized")
     targets = written(source_targets(sized, cap), "targets")
     total = int(targets.agg(F.sum("source_size")).first()[0] or 0)
@@ -166,7 +166,7 @@ def mix(docs: DataFrame, cap: int = CAP, most_slots: int = MOST_SLOTS, least_blo
         .join(opened, ["ord", "_block"], "left")
         .join(targets.select("ord", "source", "source_size", "target"), "ord")
         .select(
-            "doc_id", "_id", "_tie", "source", "size", "source_size", "target",
+            "doc_id", "id", "tie", "source", "size", "source_size", "target",
             F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"), copies.cast("bigint").alias("copies"),
         )
     )
@@ -176,11 +176,11 @@ def mix(docs: DataFrame, cap: int = CAP, most_slots: int = MOST_SLOTS, least_blo
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """``docs`` as the mix reads them: a row is there as often as the mix reads its first word.
 
-    Rows that repeat one another are told apart by a number, in either table.
+    Rows that repeat one another are told apart by a number, in either table. Rows without words are not read, so an
+    empty table stays empty. Columns of any name pass through.
     """
-    columns = docs.columns
-    twin = lambda order: F.row_number().over(Window.partitionBy("_id", "_tie").orderBy(order))
-    copies = mix(docs).rows.select("_id", "_tie", F.col("copies").alias("_copies")).withColumn("_twin", twin(F.desc("_copies")))
-    keyed = row_key(docs).withColumn("_twin", twin("_id"))
-    joined = keyed.join(copies.where("_copies > 0").hint("merge"), ["_id", "_tie", "_twin"])
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*[F.col(f"`{c}`") for c in columns])
+    twin = lambda order: F.row_number().over(Window.partitionBy("id", "tie").orderBy(order))
+    copies = mix(docs).rows.select("id", "tie", "copies").withColumn("twin", twin(F.desc("copies")))
+    keyed = row_key(docs).withColumn("twin", twin("id"))
+    joined = keyed.join(copies.where("copies > 0").hint("merge"), ["id", "tie", "twin"])
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")

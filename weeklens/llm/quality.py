@@ -243,5 +243,8 @@ def scored(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that score at least the threshold, with the columns they came with."""
+    """The documents that score at least the threshold, with the columns they came with, whatever their names.
+
+    Null, blank and empty texts score as texts of no words; rows that repeat one another go or stay together.
+    """
     return docs.where(score_column(docs.sparkSession, train(docs, labels)) >= threshold)
