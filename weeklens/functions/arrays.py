@@ -22,3 +22,23 @@ def ordered_values(order: str, value: str) -> Column:
     """Aggregate: values of a group as an array in ``order``. Use only on groups bounded by the calendar."""
     pairs = F.array_sort(F.collect_list(F.struct(F.col(order).alias("k"), F.col(value).cast("double").alias("v"))))
     return F.transform(pairs, lambda p: p["v"])
+
+
+def solve(system: Column) -> Column:
+    """Solution of a positive definite system, given as rows of coefficients that end in their right-hand side.
+
+    Gauss-Jordan elimination as a fold over the pivots. The result is NULL for a NULL system, and has NULL elements
+    where a pivot is zero.
+    """
+
+    def eliminate(rows: Column, j: Column) -> Column:
+        def spread(pivot: Column) -> Column:
+            def reduced(row: Column, i: Column) -> Column:
+                return F.when(i == j, pivot).otherwise(F.zip_with(row, pivot, lambda a, p: a - row[j] * p))
+
+            return F.transform(rows, reduced)
+
+        return let(F.transform(rows[j], lambda v: v / F.nullif(rows[j][j], F.lit(0.0))), spread)
+
+    pivots = F.sequence(F.lit(0), F.size(system) - 1)
+    return F.transform(F.aggregate(pivots, system, eliminate), lambda row: F.element_at(row, -1))

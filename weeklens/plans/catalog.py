@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from weeklens.config import SEASON, TEST_WEEKS, SeasonalArConfig, work_path
 from weeklens.functions.numeric import chi_square_tail
 from weeklens.operators import (
-    additive, correlation, decompose, features, forecasts, inventory, metrics, monitoring, registry, sar, split,
+    additive, correlation, decompose, features, forecasts, inventory, metrics, monitoring, registry, sar, sma, split,
     weekly, window_model,
 )
 from weeklens.plans import jobs
@@ -141,6 +141,10 @@ class Inputs:
     def sar_params(self) -> DataFrame:
         return sar.sar_fit(self.known)
 
+    @cached_property
+    def sma_params(self) -> DataFrame:
+        return self.written(sma.sma_fit(self.known), "sma_params")
+
     @cached_property
     def additive_params(self) -> DataFrame:
         return additive.additive_fit(self.known, self.calendar, STATES)
@@ -329,6 +333,20 @@ def sar_evaluation(d: Inputs) -> DataFrame:
     return metrics.evaluate_models(forecasts.with_actuals(predicted, d.test), d.train)
 
 
+def sma_coefficients(d: Inputs) -> DataFrame:
+    return d.sma_params.select("series_id", *sma.COEFFICIENTS, "sigma2", "n_used", "aic", "bic", "error")
+
+
+def sma_diagnostics(d: Inputs) -> DataFrame:
+    tested = correlation.ljung_box(sma.sma_residuals(d.known, d.sma_params))
+    return tested.join(d.sma_params.select("series_id", "aic", "bic"), "series_id")
+
+
+def sma_evaluation(d: Inputs) -> DataFrame:
+    predicted = sma.sma_forecast(d.known, d.sma_params, TEST_WEEKS)
+    return metrics.evaluate_models(forecasts.with_actuals(predicted, d.test), d.train)
+
+
 def additive_future(d: Inputs) -> DataFrame:
     ahead = forecasts.future_weeks(d.known, TEST_WEEKS)
     return additive.additive_forecast(ahead, d.additive_params, d.calendar, STATES)
@@ -587,6 +605,11 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "sar_evaluation": sar_evaluation,
     "sar_diagnostics": sar_diagnostics,
     "sar_residual_acf": sar_residual_acf,
+    "sma_fit": sma_coefficients,
+    "sma_residuals": lambda d: sma.sma_residuals(d.known, d.sma_params),
+    "sma_forecast": lambda d: sma.sma_forecast(d.known, d.sma_params, TEST_WEEKS),
+    "sma_evaluation": sma_evaluation,
+    "sma_diagnostics": sma_diagnostics,
     "design_input": lambda d: additive.design_input(d.train),
     "holiday_table": lambda d: holiday_table(d.calendar, STATES),
     "additive_fit": lambda d: d.additive_params.select("series_id", "n", "coef", "sigma2"),

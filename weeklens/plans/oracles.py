@@ -11,6 +11,7 @@ import re
 from statistics import NormalDist
 
 from weeklens.config import PSI_BINS, SEASON, TEST_WEEKS
+from weeklens.plans import model_oracles
 from weeklens.plans.catalog import DIGITS, ONE_SERIES, SERIES_LIST
 from weeklens.sources.star import BENEFIT_DAYS, REGION_STATES
 
@@ -661,24 +662,28 @@ _STATEMENTS: dict[str, tuple[str, str]] = {
 }
 
 
+#: Common tables of this module and of the models' one, which builds on them.
+_EVERY = TABLES | model_oracles.TABLES
+
+
 def _needed(statement: str) -> list[str]:
     """Common tables a statement uses, directly or through others, in definition order."""
     found: set[str] = set()
     pending = [statement]
     while pending:
         words = set(re.findall(r"\b(?:FROM|JOIN)\s+([a-z_]+)", pending.pop()))
-        new = (words & TABLES.keys()) - found
+        new = (words & _EVERY.keys()) - found
         found |= new
-        pending += [TABLES[t] for t in new]
-    return [t for t in TABLES if t in found]
+        pending += [_EVERY[t] for t in new]
+    return [t for t in _EVERY if t in found]
 
 
 def _compose(statement: str, doubles: str) -> str:
-    ctes = [f"{name} AS ({TABLES[name]})" for name in _needed(statement)]
+    ctes = [f"{name} AS ({_EVERY[name]})" for name in _needed(statement)]
     rounding = ", ".join(f'round("{c}", {DIGITS}) + 0.0 AS "{c}"' for c in doubles.split())
     outer = f"SELECT * REPLACE ({rounding}) FROM (\n{statement})" if rounding else statement
     return (f"WITH RECURSIVE {',\n'.join(ctes)}\n" if ctes else "") + outer
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: _compose(*parts) for name, parts in _STATEMENTS.items()}
+    return {name: _compose(*parts) for name, parts in (_STATEMENTS | model_oracles.STATEMENTS).items()}
