@@ -1,8 +1,10 @@
 import datetime as dt
 
 import numpy as np
+import plain_adf
 import pytest
 from conftest import values, week
+from pyspark.sql import functions as F
 
 from weeklens.operators import correlation, decompose
 
@@ -142,21 +144,37 @@ def test_adf(make_weekly):
     assert 0 <= rows["walk"].lags_used <= 16
 
 
-def test_adf_statistic_is_the_ols_t_value():
-    y = np.random.default_rng(11).standard_normal(80).cumsum()
-    stat, _, lags, n = correlation.adf_values(y)
-    dy = np.diff(y)
-    x = np.column_stack([np.ones(n), y[lags:-1]] + [dy[lags - k : len(dy) - k] for k in range(1, lags + 1)])
-    target = dy[lags:]
-    beta = np.linalg.solve(x.T @ x, x.T @ target)
-    s2 = ((target - x @ beta) ** 2).sum() / (n - x.shape[1])
-    assert stat == pytest.approx(beta[1] / np.sqrt(s2 * np.linalg.inv(x.T @ x)[1, 1]))
-
-
-def test_p_value_at_critical_points():
-    for stat, p in ((-3.43, 0.01), (-2.86, 0.05), (-2.57, 0.10)):
-        assert correlation._unit_root_p(stat) == pytest.approx(p, abs=0.002)
-    assert correlation._unit_root_p(3.0) == 1 and correlation._unit_root_p(-20.0) == 0
+def test_adf_equals_least_squares_for_every_order(make_weekly):
+    rng = np.random.default_rng(11)
+    noise = lambda n: rng.standard_normal(n)
+    series = {
+        "walk80": noise(80).cumsum(), "walk400": 1000 + 30 * noise(400).cumsum(), "noise": 5 + noise(200), "short": noise(9),
+        "shorter": noise(5), "trend": np.arange(120) + noise(120), "season": 400 + 100 * np.sin(np.arange(357) / 8) + 20 * noise(357),
+        "four": noise(4).cumsum(),
+    }
+    got = {r.series_id: r for r in correlation.adf_test(make_weekly(series)).collect()}
+    for name, y in series.items():
+        if name in ("shorter", "four"):
+            continue
+        stat, p, lags, n = plain_adf.adf_values(y)
+        assert (got[name].lags_used, got[name].n_used) == (lags, n), name
+        assert got[name].test_stat == pytest.approx(stat, rel=1e-9, abs=1e-9) and got[name].p_value == pytest.approx(p, abs=1e-9)
+    assert got["shorter"].lags_used == 0 and got["four"].series_id == "four"
+    assert set(got) == set(series)
+
+
+def test_p_value_at_critical_points(spark):
+    p = lambda stat: spark.range(1).select(correlation.unit_root_p(F.lit(stat)).alias("p")).first().p
+    for stat, share in ((-3.43, 0.01), (-2.86, 0.05), (-2.57, 0.10)):
+        assert p(stat) == pytest.approx(share, abs=0.002)
+    assert p(3.0) == 1 and p(-20.0) == 0
+    for stat in (-18.0, -9.5, -4.0, -1.61, -1.6, 0.0, 1.5, 2.7):
+        assert p(stat) == pytest.approx(plain_adf.unit_root_p(stat), abs=1e-12)
+
+
+def test_adf_stays_in_the_jvm(make_weekly):
+    plan = correlation.adf_test(make_weekly({"a": range(30)}))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "MapInPandas" not in plan
 
 
 def test_control_limits(spark):

@@ -3,16 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 from functools import reduce
-from statistics import NormalDist
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weeklens.functions.arrays import dot, let
+from weeklens.functions.arrays import dot, let, ordered_values
 from weeklens.functions.numeric import chi_square_tail, ratio, z_value
 from weeklens.operators.weekly import series_window
 
@@ -126,66 +122,134 @@ _ADF_CRITICAL = {
 }
 
 
-def _unit_root_p(statistic: float) -> float:
-    if statistic > _ADF_MAX:
-        return 1.0
-    if statistic < _ADF_MIN:
-        return 0.0
-    surface = _ADF_SMALL_P if statistic <= _ADF_SPLIT else _ADF_LARGE_P
-    return NormalDist().cdf(sum(c * statistic**i for i, c in enumerate(surface)))
+def normal_share(z: Column) -> Column:
+    """Standard normal distribution function."""
+    half_tail = chi_square_tail(z * z, 1) / 2.0
+    return F.when(z < 0, half_tail).otherwise(1.0 - half_tail)
 
 
-def _adf_regression(y: np.ndarray, lags: int, trim: int) -> tuple[float, float]:
-    """AIC and t value of the level term: dy on level, ``lags`` lagged changes and a constant."""
-    dy = np.diff(y)
-    target = dy[trim:]
-    columns = [y[trim:-1], *[dy[trim - k : len(dy) - k] for k in range(1, lags + 1)], np.ones(len(target))]
-    x = np.column_stack(columns)
-    coef, _, rank, _ = np.linalg.lstsq(x, target, rcond=None)
-    rss = float(((target - x @ coef) ** 2).sum())
-    n, p = x.shape
-    aic = n * (math.log(2 * math.pi) + math.log(rss / n) + 1) + 2 * p if rss > 0 else -math.inf
-    variance = rss / (n - p) * np.linalg.pinv(x.T @ x)[0, 0]
-    return aic, float(coef[0] / math.sqrt(variance)) if variance > 0 else -math.inf
+def unit_root_p(statistic: Column) -> Column:
+    """P-value of a Dickey-Fuller statistic by the response surface."""
+    surface = lambda coefficients: reduce(lambda acc, c: acc * statistic + F.lit(c), reversed(coefficients[:-1]), F.lit(coefficients[-1]))
+    z = F.when(statistic <= _ADF_SPLIT, surface(_ADF_SMALL_P)).otherwise(surface(_ADF_LARGE_P))
+    return F.when(statistic > _ADF_MAX, F.lit(1.0)).when(statistic < _ADF_MIN, F.lit(0.0)).otherwise(normal_share(z))
 
 
-def adf_values(y: np.ndarray) -> tuple[float, float, int, int]:
-    """Statistic, p-value, chosen lags and sample size of one series."""
-    max_lag = min(len(y) // 2 - 2, math.ceil(12 * (len(y) / 100) ** 0.25))
-    if max_lag < 0 or np.ptp(y) == 0:
-        raise ValueError("series too short or constant")
-    lags = min(range(max_lag + 1), key=lambda k: _adf_regression(y, k, max_lag)[0])
-    statistic = _adf_regression(y, lags, lags)[1]
-    return statistic, _unit_root_p(statistic), lags, len(y) - 1 - lags
+def _sum_of(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda s, v: s + v)
 
 
-ADF_SCHEMA = (
-    "series_id string, test_stat double, p_value double, lags_used int, n_used int, "
-    "critical_values map<string,double>, status string, error string"
-)
+#: A pivot below this share of its own sum of squares is a column that the ones before it explain.
+_PIVOT = 1e-12
+
+
+def _normal_sums(df: DataFrame, trim: Column, lags: Column) -> DataFrame:
+    """Adds the sums of products that regressions of ``d`` on the level ``y`` and ``lags`` earlier changes are made of.
+
+    ``d`` is the array of changes, ``y`` that of levels before them; rows start behind ``trim`` changes. s[i][j] sums
+    d[t - i] d[t - j]: its first row is summed, and each further row follows from the one before by its two ends.
+    """
+    n, t = F.size("d"), F.col("trim")
+    steps = F.when(F.col("lags") > 0, F.sequence(F.lit(1), F.col("lags"))).otherwise(F.array().cast("array<int>"))
+    at_lag = lambda k: F.slice("d", t - k + 1, F.col("rows"))
+    every = F.sequence(F.lit(0), F.col("lags"))
+    framed = df.withColumns({"trim": trim.cast("int"), "lags": lags.cast("int")}).withColumn("rows", n - t)
+    summed = framed.withColumns(
+        {
+            "first": F.transform(every, lambda k: dot(at_lag(F.lit(0)), at_lag(k))),
+            "level_d": F.transform(every, lambda k: dot(F.slice("y", t + 1, F.col("rows")), at_lag(k))),
+            "one_d": F.transform(every, lambda k: _sum_of(at_lag(k))),
+            "level_1": _sum_of(F.slice("y", t + 1, F.col("rows"))),
+            "level_2": dot(F.slice("y", t + 1, F.col("rows")), F.slice("y", t + 1, F.col("rows"))),
+        }
+    )
+
+    def below(rows: Column, i: Column) -> Column:
+        d = lambda k: F.col("d")[k]
+        ends = lambda v, j: v + d(t - i) * d(t - 1 - j) - d(n - i) * d(n - 1 - j)
+        moved = F.transform(F.slice(F.element_at(rows, -1), F.lit(1), F.col("lags")), ends)
+        return F.concat(rows, F.array(F.concat(F.array(F.col("first")[i]), moved)))
+
+    return summed.withColumn("s", F.aggregate(steps, F.array(F.col("first")), below))
+
+
+def _swept(matrix: str, pivots: Column) -> Column:
+    """(m, left): the matrix with the columns of the first ``pivots`` rows removed, and its last element at each step.
+
+    A column that earlier ones explain is passed over, so the last element, the squares left to explain, stays.
+    """
+    zero = F.struct(F.col(matrix).alias("m"), F.array().cast("array<double>").alias("left"))
+
+    def step(state: Column, j: Column) -> Column:
+        m = state["m"]
+
+        def reduced(row: Column, i: Column) -> Column:
+            free = (i > j) & (m[j][j] > _PIVOT * F.col(matrix)[j][j])
+            return F.when(free, F.zip_with(row, m[j], lambda a, p: a - row[j] / m[j][j] * p)).otherwise(row)
+
+        def collect(rows: Column) -> Column:
+            last = F.element_at(F.element_at(rows, -1), -1)
+            return F.struct(rows.alias("m"), F.concat(state["left"], F.array(last)).alias("left"))
+
+        return let(F.transform(m, reduced), collect)
+
+    return F.aggregate(F.sequence(F.lit(0), pivots - 1), zero, step)
+
+
+def _matrix(level_last: bool) -> Column:
+    """Rows for the constant, the level and the lags, and last for the changes that they explain."""
+    lagged = lambda c: F.slice(c, F.lit(2), F.col("lags"))
+    own = lambda c: F.slice(c, F.lit(1), F.lit(1))
+    ordered = lambda one, level, lags: F.concat(one, lags, level) if level_last else F.concat(one, level, lags)
+    single = lambda c: F.array(c)
+    count = F.col("rows").cast("double")
+    row = lambda one, level, products: F.concat(ordered(single(one), single(level), lagged(products)), own(products))
+    constant = row(count, F.col("level_1"), F.col("one_d"))
+    level = row(F.col("level_1"), F.col("level_2"), F.col("level_d"))
+    rows = F.transform("s", lambda products, k: row(F.col("one_d")[k], F.col("level_d")[k], products))
+    return F.concat(ordered(single(constant), single(level), F.slice(rows, F.lit(2), F.col("lags"))), F.slice(rows, F.lit(1), F.lit(1)))
 
 
 def adf_test(weekly: DataFrame, significance: float = 0.05, value: str = "total_sales") -> DataFrame:
-    """Augmented Dickey-Fuller test with AIC lag choice; one bounded array per series, many per Arrow batch."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for series, values in zip(batch["series_id"], batch["values"]):
-                try:
-                    stat, p, lags, n = adf_values(np.asarray(values, dtype=float))
-                    critical = {
-                        level: sum(c / n**i for i, c in enumerate(surface)) for level, surface in _ADF_CRITICAL.items()
-                    }
-                    status = "STATIONARY" if p < significance else "NON-STATIONARY"
-                    rows.append((series, stat, p, lags, n, critical, status, None))
-                except (ValueError, np.linalg.LinAlgError) as problem:
-                    rows.append((series, None, None, None, None, None, None, str(problem)))
-            names = ["series_id", "test_stat", "p_value", "lags_used", "n_used", "critical_values", "status", "error"]
-            yield pd.DataFrame(rows, columns=names)
-
-    points = F.array_sort(F.collect_list(F.struct("week_start", F.col(value).cast("double").alias("y"))))
-    arrays = weekly.where(F.col(value).isNotNull()).groupBy("series_id").agg(
-        F.transform(points, lambda p: p["y"]).alias("values")
+    """Augmented Dickey-Fuller test with a constant and AIC lag choice, on one bounded array per series.
+
+    All lag orders share one set of normal equations: removing the columns of the constant, the level and then one lag
+    after another leaves the squared errors of every order. The statistic is that of the chosen order on all its rows.
+    A series that is constant or too short keeps its row, with NULL values and an ``error``.
+    """
+    known = weekly.where(F.col(value).isNotNull()).groupBy("series_id").agg(ordered_values("week_start", value).alias("v"))
+    n = F.size("v")
+    most = F.least(F.floor(n / 2) - 2, F.ceil(12 * F.pow(n / 100, F.lit(0.25)))).cast("int")
+    told = known.withColumn("most", F.when(F.array_max("v") > F.array_min("v"), most).otherwise(-1))
+    # Centred levels leave the statistic as it is and the sums well conditioned.
+    centred = let(_sum_of(F.col("v")) / n, lambda mean: F.transform("v", lambda x: x - mean))
+    tested = told.where("most >= 0").select("series_id", "most", centred.alias("y"))
+    tested = tested.withColumn("d", F.zip_with(F.slice("y", F.lit(2), F.size("y") - 1), F.slice("y", F.lit(1), F.size("y") - 1), lambda a, b: a - b))
+    orders = _normal_sums(tested, F.col("most"), F.col("most")).withColumn("x", _matrix(level_last=False))
+    left = F.slice(_swept("x", F.col("most") + 2)["left"], F.lit(2), F.col("most") + 1)
+    rows, total = F.col("rows").cast("double"), F.element_at("first", 1)
+    none_left = lambda rss: rss <= _PIVOT * total
+    aic = F.transform(left, lambda rss, k: F.when(none_left(rss), F.lit(-math.inf)).otherwise(rows * (F.lit(math.log(2 * math.pi)) + F.ln(rss / rows) + 1) + 2 * (k + 2)))
+    chosen = orders.select("series_id", "y", "d", aic.alias("aic")).select(
+        "series_id", "y", "d", (F.array_position("aic", F.array_min("aic")) - 1).cast("int").alias("chosen")
+    )
+    final = _normal_sums(chosen, F.col("chosen"), F.col("chosen")).withColumn("x", _matrix(level_last=True))
+    m = _swept("x", F.col("lags") + 1)["m"]
+    size = F.col("lags") + 2
+    final = final.select(
+        "series_id", "lags", "rows", F.element_at("first", 1).alias("total"),
+        m[size - 1][size - 1].alias("a"), m[size - 1][size].alias("b"), m[size][size].alias("c"),
+    )
+    rss = F.col("c") - F.col("b") * F.col("b") / F.col("a")
+    spread = rss / (F.col("rows") - F.col("lags") - 2) / F.col("a")
+    stat = F.when(rss <= _PIVOT * F.col("total"), F.lit(-math.inf)).otherwise(F.col("b") / F.col("a") / F.sqrt(spread))
+    scored = final.select("series_id", stat.alias("test_stat"), F.col("lags").alias("lags_used"), F.col("rows").alias("n_used"))
+    scored = scored.withColumn("p_value", unit_root_p(F.col("test_stat")))
+    over = lambda surface: reduce(lambda acc, c: acc / F.col("n_used") + F.lit(c), reversed(surface[:-1]), F.lit(surface[-1]))
+    critical = F.create_map(*[x for level, surface in _ADF_CRITICAL.items() for x in (F.lit(level), over(surface))])
+    status = F.when(F.col("p_value") < significance, "STATIONARY").otherwise("NON-STATIONARY")
+    scored = scored.withColumns({"critical_values": critical, "status": status})
+    error = F.when(F.col("most") < 0, F.lit("series too short or constant"))
+    return told.select("series_id", error.alias("error")).join(scored, "series_id", "left").select(
+        "series_id", "test_stat", "p_value", "lags_used", "n_used", "critical_values", "status", "error"
     )
-    return arrays.mapInPandas(run, ADF_SCHEMA)

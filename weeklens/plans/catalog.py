@@ -595,8 +595,8 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "acf": lambda d: correlation.acf(d.series),
     "pacf": lambda d: correlation.pacf(d.series),
     "adf_test": lambda d: correlation.adf_test(d.series).select(
-        "series_id", "test_stat", "p_value", "lags_used", "status",
-        F.col("critical_values")["5%"].alias("critical_5"), "error",
+        "series_id", "test_stat", "p_value", "lags_used", "n_used", "status",
+        *[F.col("critical_values")[f"{level}%"].alias(f"critical_{level}") for level in (1, 5, 10)], "error",
     ),
     # models
     "sar_fit": lambda d: d.sar_params,

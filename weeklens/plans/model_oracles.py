@@ -111,6 +111,48 @@ TABLES: dict[str, str] = {
               GROUP BY ALL) GROUP BY series_id""",
 }
 
+# -- unit-root test -------------------------------------------------------------------------------
+
+_REMOVED = """
+    list_transform(m, lambda line, i: CASE WHEN i > j + 1 THEN list_transform(line, lambda v, c: v - line[j + 1] / m[j + 1][j + 1] * m[j + 1][c])
+                                           ELSE line END)"""
+_PRODUCTS = "list_transform(v, lambda a: list_transform(v, lambda b: list_inner_product(a, b)))"
+_LAGGED = "list_transform(range(1, {0} + 1), lambda i: d[{0} - i + 1:n - 1 - i])"
+_ONES = "list_transform(range(n - 1 - {0}), lambda i: 1::DOUBLE)"
+
+TABLES |= {
+    "adf_base": """
+        SELECT series_id, n, CAST(least(n // 2 - 2, ceil(12 * pow(n / 100, 0.25))) AS BIGINT) AS k, list(v - mean ORDER BY week_start) AS y
+        FROM (SELECT series_id, week_start, CAST(total_sales AS DOUBLE) AS v, count(*) OVER s AS n, avg(total_sales) OVER s AS mean
+              FROM dense WINDOW s AS (PARTITION BY series_id)) GROUP BY ALL""",
+    "adf_changes": "SELECT *, list_transform(range(1, n), lambda i: y[i + 1] - y[i]) AS d FROM adf_base",
+    "adf_orders": f"""
+        SELECT series_id, n, k, y, d, {_PRODUCTS} AS m FROM (
+            SELECT *, list_concat([{_ONES.format("k")}, y[k + 1:n - 1]], {_LAGGED.format("k")}, [d[k + 1:n - 1]]) AS v FROM adf_changes)""",
+    "adf_left": f"""
+        SELECT series_id, n, k, 0 AS j, m FROM adf_orders
+        UNION ALL SELECT series_id, n, k, j + 1, {_REMOVED} FROM adf_left WHERE j < k + 2""",
+    "adf_chosen": """
+        SELECT series_id, arg_min(j - 2, o * (ln(2 * pi()) + ln(m[-1][-1] / o) + 1) + 2 * j) AS l
+        FROM (SELECT *, n - 1 - k AS o FROM adf_left) WHERE j >= 2 GROUP BY series_id""",
+    "adf_last": f"""
+        SELECT series_id, n, l, {_PRODUCTS} AS m FROM (
+            SELECT *, list_concat([{_ONES.format("l")}], {_LAGGED.format("l")}, [y[l + 1:n - 1], d[l + 1:n - 1]]) AS v
+            FROM adf_changes JOIN adf_chosen USING (series_id))""",
+    "adf_done": f"""
+        SELECT series_id, n, l, 0 AS j, m FROM adf_last
+        UNION ALL SELECT series_id, n, l, j + 1, {_REMOVED} FROM adf_done WHERE j < l + 1""",
+    "adf_stat": """
+        SELECT series_id, n - 1 - l AS o, l, b / a / sqrt((c - b * b / a) / (n - 1 - l - l - 2) / a) AS t
+        FROM (SELECT *, m[l + 2][l + 2] AS a, m[l + 2][l + 3] AS b, m[l + 3][l + 3] AS c FROM adf_done WHERE j = l + 1)""",
+    "adf_share": """
+        SELECT *, CASE WHEN t > 2.74 THEN 1.0 WHEN t < -18.83 THEN 0.0 ELSE 0.5 + sign(z) * exp(-z * z / 2) / sqrt(2 * pi()) *
+                  list_sum(list_transform(range(400), lambda i: exp((2 * i + 1) * ln(abs(z) + 1e-300) + ln(sqrt(pi())) - (i + 1) * ln(2) - lgamma(i + 1.5))))
+                  END AS p
+        FROM (SELECT *, CASE WHEN t <= -1.61 THEN 2.1659 + 1.4412 * t + 0.038269 * t * t
+                             ELSE 1.7339 + 0.93202 * t - 0.12745 * t * t - 0.010368 * t * t * t END AS z FROM adf_stat)""",
+}
+
 #: Query name: statement and the columns that are doubles.
 STATEMENTS: dict[str, tuple[str, str]] = {
     "sma_fit": (
@@ -132,4 +174,11 @@ STATEMENTS: dict[str, tuple[str, str]] = {
                SELECT *, exp(-lb_stat / 2) * (1 + lb_stat / 2 + pow(lb_stat / 2, 2) / 2 + pow(lb_stat / 2, 3) / 6
                                               + pow(lb_stat / 2, 4) / 24) AS lb_pvalue FROM sma_ljung)
            JOIN sma_params USING (series_id)""", "lb_stat lb_pvalue aic bic"),
+    "adf_test": (
+        """SELECT series_id, t AS test_stat, p AS p_value, CAST(l AS INTEGER) AS lags_used, CAST(o AS INTEGER) AS n_used,
+                  CASE WHEN p < 0.05 THEN 'STATIONARY' ELSE 'NON-STATIONARY' END AS status,
+                  -3.43035 - 6.5393 / o - 16.786 / (o * o) - 79.433 / (o * o * o) AS critical_1,
+                  -2.86154 - 2.8903 / o - 4.234 / (o * o) - 40.040 / (o * o * o) AS critical_5,
+                  -2.56677 - 1.5384 / o - 2.809 / (o * o) AS critical_10, CAST(NULL AS VARCHAR) AS error FROM adf_share""",
+        "test_stat p_value critical_1 critical_5 critical_10"),
 }
