@@ -42,3 +42,28 @@ def solve(system: Column) -> Column:
 
     pivots = F.sequence(F.lit(0), F.size(system) - 1)
     return F.transform(F.aggregate(pivots, system, eliminate), lambda row: F.element_at(row, -1))
+
+
+def lag_products(x: Column, start: Column, rows: Column, lags: Column) -> Column:
+    """Array of arrays: element [i][j] sums x[t - i] x[t - j] over ``rows`` positions t from ``start``, for i, j up to ``lags``.
+
+    The first row is summed; each further one follows from the one before by what its two ends add and drop.
+    """
+    at_lag = lambda k: F.slice(x, start - k + 1, rows)
+    steps = F.when(lags > 0, F.sequence(F.lit(1), lags)).otherwise(F.array().cast("array<int>"))
+
+    def rest(first: Column) -> Column:
+        def below(done: Column, i: Column) -> Column:
+            back, last = start - i, start + rows - i
+            ends = lambda v, j: v + x[back] * x[start - 1 - j] - x[last] * x[start + rows - 1 - j]
+            moved = F.transform(F.slice(F.element_at(done, -1), F.lit(1), lags), ends)
+            return F.concat(done, F.array(F.concat(F.array(first[i]), moved)))
+
+        return F.aggregate(steps, F.array(first), below)
+
+    return let(F.transform(F.sequence(F.lit(0), lags), lambda k: dot(at_lag(F.lit(0)), at_lag(k))), rest)
+
+
+def total(values: Column) -> Column:
+    """Sum of an array of doubles."""
+    return F.aggregate(values, F.lit(0.0), lambda s, v: s + v)

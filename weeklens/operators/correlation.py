@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weeklens.functions.arrays import dot, let, ordered_values
+from weeklens.functions.arrays import dot, lag_products, let, ordered_values, total
 from weeklens.functions.numeric import chi_square_tail, ratio, z_value
 from weeklens.operators.weekly import series_window
 
@@ -135,10 +135,6 @@ def unit_root_p(statistic: Column) -> Column:
     return F.when(statistic > _ADF_MAX, F.lit(1.0)).when(statistic < _ADF_MIN, F.lit(0.0)).otherwise(normal_share(z))
 
 
-def _sum_of(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda s, v: s + v)
-
-
 #: A pivot below this share of its own sum of squares is a column that the ones before it explain.
 _PIVOT = 1e-12
 
@@ -146,32 +142,23 @@ _PIVOT = 1e-12
 def _normal_sums(df: DataFrame, trim: Column, lags: Column) -> DataFrame:
     """Adds the sums of products that regressions of ``d`` on the level ``y`` and ``lags`` earlier changes are made of.
 
-    ``d`` is the array of changes, ``y`` that of levels before them; rows start behind ``trim`` changes. s[i][j] sums
-    d[t - i] d[t - j]: its first row is summed, and each further row follows from the one before by its two ends.
+    ``d`` is the array of changes, ``y`` that of levels before them; rows start behind ``trim`` changes.
     """
     n, t = F.size("d"), F.col("trim")
-    steps = F.when(F.col("lags") > 0, F.sequence(F.lit(1), F.col("lags"))).otherwise(F.array().cast("array<int>"))
-    at_lag = lambda k: F.slice("d", t - k + 1, F.col("rows"))
     every = F.sequence(F.lit(0), F.col("lags"))
     framed = df.withColumns({"trim": trim.cast("int"), "lags": lags.cast("int")}).withColumn("rows", n - t)
-    summed = framed.withColumns(
+    at_lag = lambda k: F.slice("d", t - k + 1, F.col("rows"))
+    level = F.slice("y", t + 1, F.col("rows"))
+    return framed.withColumns(
         {
-            "first": F.transform(every, lambda k: dot(at_lag(F.lit(0)), at_lag(k))),
-            "level_d": F.transform(every, lambda k: dot(F.slice("y", t + 1, F.col("rows")), at_lag(k))),
-            "one_d": F.transform(every, lambda k: _sum_of(at_lag(k))),
-            "level_1": _sum_of(F.slice("y", t + 1, F.col("rows"))),
-            "level_2": dot(F.slice("y", t + 1, F.col("rows")), F.slice("y", t + 1, F.col("rows"))),
+            "s": lag_products(F.col("d"), t, F.col("rows"), F.col("lags")),
+            "level_d": F.transform(every, lambda k: dot(level, at_lag(k))),
+            "one_d": F.transform(every, lambda k: total(at_lag(k))),
+            "level_1": total(level),
+            "level_2": dot(level, level),
         }
     )
 
-    def below(rows: Column, i: Column) -> Column:
-        d = lambda k: F.col("d")[k]
-        ends = lambda v, j: v + d(t - i) * d(t - 1 - j) - d(n - i) * d(n - 1 - j)
-        moved = F.transform(F.slice(F.element_at(rows, -1), F.lit(1), F.col("lags")), ends)
-        return F.concat(rows, F.array(F.concat(F.array(F.col("first")[i]), moved)))
-
-    return summed.withColumn("s", F.aggregate(steps, F.array(F.col("first")), below))
-
 
 def _swept(matrix: str, pivots: Column) -> Column:
     """(m, left): the matrix with the columns of the first ``pivots`` rows removed, and its last element at each step.
@@ -222,13 +209,13 @@ def adf_test(weekly: DataFrame, significance: float = 0.05, value: str = "total_
     most = F.least(F.floor(n / 2) - 2, F.ceil(12 * F.pow(n / 100, F.lit(0.25)))).cast("int")
     told = known.withColumn("most", F.when(F.array_max("v") > F.array_min("v"), most).otherwise(-1))
     # Centred levels leave the statistic as it is and the sums well conditioned.
-    centred = let(_sum_of(F.col("v")) / n, lambda mean: F.transform("v", lambda x: x - mean))
+    centred = let(total(F.col("v")) / n, lambda mean: F.transform("v", lambda x: x - mean))
     tested = told.where("most >= 0").select("series_id", "most", centred.alias("y"))
     tested = tested.withColumn("d", F.zip_with(F.slice("y", F.lit(2), F.size("y") - 1), F.slice("y", F.lit(1), F.size("y") - 1), lambda a, b: a - b))
     orders = _normal_sums(tested, F.col("most"), F.col("most")).withColumn("x", _matrix(level_last=False))
     left = F.slice(_swept("x", F.col("most") + 2)["left"], F.lit(2), F.col("most") + 1)
-    rows, total = F.col("rows").cast("double"), F.element_at("first", 1)
-    none_left = lambda rss: rss <= _PIVOT * total
+    rows, squares = F.col("rows").cast("double"), F.col("s")[0][0]
+    none_left = lambda rss: rss <= _PIVOT * squares
     aic = F.transform(left, lambda rss, k: F.when(none_left(rss), F.lit(-math.inf)).otherwise(rows * (F.lit(math.log(2 * math.pi)) + F.ln(rss / rows) + 1) + 2 * (k + 2)))
     chosen = orders.select("series_id", "y", "d", aic.alias("aic")).select(
         "series_id", "y", "d", (F.array_position("aic", F.array_min("aic")) - 1).cast("int").alias("chosen")
@@ -237,12 +224,12 @@ def adf_test(weekly: DataFrame, significance: float = 0.05, value: str = "total_
     m = _swept("x", F.col("lags") + 1)["m"]
     size = F.col("lags") + 2
     final = final.select(
-        "series_id", "lags", "rows", F.element_at("first", 1).alias("total"),
+        "series_id", "lags", "rows", F.col("s")[0][0].alias("squares"),
         m[size - 1][size - 1].alias("a"), m[size - 1][size].alias("b"), m[size][size].alias("c"),
     )
     rss = F.col("c") - F.col("b") * F.col("b") / F.col("a")
     spread = rss / (F.col("rows") - F.col("lags") - 2) / F.col("a")
-    stat = F.when(rss <= _PIVOT * F.col("total"), F.lit(-math.inf)).otherwise(F.col("b") / F.col("a") / F.sqrt(spread))
+    stat = F.when(rss <= _PIVOT * F.col("squares"), F.lit(-math.inf)).otherwise(F.col("b") / F.col("a") / F.sqrt(spread))
     scored = final.select("series_id", stat.alias("test_stat"), F.col("lags").alias("lags_used"), F.col("rows").alias("n_used"))
     scored = scored.withColumn("p_value", unit_root_p(F.col("test_stat")))
     over = lambda surface: reduce(lambda acc, c: acc / F.col("n_used") + F.lit(c), reversed(surface[:-1]), F.lit(surface[-1]))

@@ -352,6 +352,21 @@ def additive_future(d: Inputs) -> DataFrame:
     return additive.additive_forecast(ahead, d.additive_params, d.calendar, STATES)
 
 
+def window_path(d: Inputs) -> DataFrame:
+    """One row for each penalty, and which of them the validation weeks choose."""
+    best = F.min_by("penalty", F.struct("val_loss", -F.col("penalty"))).over(Window.partitionBy(F.lit(0)))
+    return window_model.window_path(d.labelled).select(
+        "penalty", "train_loss", "val_loss", "intercept", (F.col("penalty") == best).alias("chosen")
+    )
+
+
+def window_weights(d: Inputs) -> DataFrame:
+    """Weights of the model that the validation weeks choose."""
+    path = window_model.window_path(d.labelled).agg(F.min_by("weights", F.struct("val_loss", -F.col("penalty"))).alias("weights"))
+    size = F.size("weights")
+    return path.select(size.alias("n"), F.posexplode("weights").alias("at", "weight")).select((F.col("n") - F.col("at")).alias("weeks_back"), "weight")
+
+
 def window_future(d: Inputs) -> DataFrame:
     return window_model.window_forecast(d.known, split.scaler_params(d.labelled), d.window_model, TEST_WEEKS)
 
@@ -616,6 +631,8 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "additive_forecast": additive_future,
     "additive_components": lambda d: additive.additive_components(d.stored, d.additive_params, d.calendar, STATES),
     "additive_in_sample": lambda d: additive.additive_in_sample(d.known, d.additive_params, d.calendar, STATES),
+    "window_path": window_path,
+    "window_weights": window_weights,
     "window_losses": lambda d: window_model.window_losses(d.labelled, d.window_model),
     "window_forecast": window_future,
     "window_forecast_trees": window_future_trees,

@@ -76,12 +76,15 @@ class Fitted:
 def fit_models(
     labelled: DataFrame, calendar: DataFrame, states: dict[str, str], defaults: ModelDefaults = ModelDefaults()
 ) -> Fitted:
-    """Fits all models on the training rows of a dense split frame."""
+    """Fits all models on the training rows of a dense split frame.
+
+    The window learner takes the penalty of the smallest validation loss; without validation weeks the configured one.
+    """
     train = train_rows(labelled)
     return Fitted(
         sar.sar_fit(train, defaults.sar),
         additive.additive_fit(train, calendar, states, defaults.additive),
-        window_model.window_fit(labelled, defaults.window),
+        window_model.window_choose(labelled, defaults.window),
         scaler_params(labelled),
     )
 
@@ -230,13 +233,14 @@ def run_all(
     if with_eda:
         eda_report(weekly, calendar, f"{out}/eda")
 
-    _, candidates = retrain(labelled, calendar, states, seq, defaults)
+    judged, candidates = retrain(labelled, calendar, states, seq, defaults)
     decided = decide(spark, candidates, out, seq, last_seq)
     runs.log(candidates)
     registry.stages(spark.read.parquet(f"{out}/decisions/*")).write.mode("overwrite").parquet(f"{out}/stages")
     registry.rollback_alerts(decided).write.mode("overwrite").parquet(f"{out}/alerts/rollback/v{seq}")
 
     known = _as_training(labelled, "train", "val")
+    defaults = replace(defaults, window=replace(defaults.window, reg_param=judged.window.penalty))
     refitted = fit_models(known, calendar, states, defaults).stored(spark, f"{out}/models")
     write_params(refitted.params(f"v{seq}", generated_at), f"{out}/params")
     test = labelled.where(F.col("split") == "test")

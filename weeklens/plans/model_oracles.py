@@ -153,6 +153,51 @@ TABLES |= {
                              ELSE 1.7339 + 0.93202 * t - 0.12745 * t * t - 0.010368 * t * t * t END AS z FROM adf_stat)""",
 }
 
+# -- window learner: one row of sums for each split, a path of penalties, and its chosen weights --
+
+_LAMBDAS = ("1e-6", "1e-5", "1e-4", "1e-3", "1e-2", "1e-1")
+
+TABLES |= {
+    "win_arrays": """
+        SELECT series_id, max(week_start) AS last_week, list(scaled ORDER BY week_start) AS x, count(*) FILTER (split = 'train') AS t
+        FROM scaled WHERE split <> 'test' GROUP BY series_id""",
+    "win_spans": """
+        SELECT * FROM (SELECT series_id, x, 'train' AS split, 52 AS a, t AS b FROM win_arrays
+                       UNION ALL SELECT series_id, x, 'val', greatest(52, t), len(x) FROM win_arrays) WHERE b > a""",
+    "win_products": f"""
+        SELECT split, {_PRODUCTS} AS m FROM (
+            SELECT split, list_concat([list_transform(range(b - a), lambda i: 1::DOUBLE)],
+                                      list_transform(range(0, 53), lambda k: x[a - k + 1:b - k])) AS v FROM win_spans)""",
+    "win_sums": """
+        SELECT split, list(line ORDER BY i) AS m FROM (
+            SELECT split, i, list(s ORDER BY c) AS line FROM (
+                SELECT split, i, c, sum(m[i][c]) AS s FROM win_products, range(1, 55) r(i), range(1, 55) q(c) GROUP BY ALL) GROUP BY ALL)
+        GROUP BY split""",
+    "win_systems": f"""
+        SELECT penalty, list_transform(range(1, 53), lambda i: list_transform(range(1, 54), lambda c:
+               CASE WHEN c = 53 THEN m[i + 2][2] / m[1][1] - m[i + 2][1] / m[1][1] * (m[2][1] / m[1][1])
+                    ELSE m[i + 2][c + 2] / m[1][1] - m[i + 2][1] / m[1][1] * (m[c + 2][1] / m[1][1]) + CASE WHEN i = c THEN penalty ELSE 0 END END)) AS m
+        FROM win_sums, (SELECT CAST(unnest([{", ".join(_LAMBDAS)}]) AS DOUBLE) AS penalty) WHERE split = 'train'""",
+    "win_solved": eliminated("win_systems", 52, "penalty").format(self="win_solved"),
+    "win_models": """
+        SELECT penalty, g.m[2][1] / g.m[1][1] - list_inner_product(s.back, list_transform(range(3, 55), lambda i: g.m[i][1] / g.m[1][1])) AS a,
+               list_reverse(back) AS weights
+        FROM (SELECT penalty, list_transform(m, lambda line: line[53]) AS back FROM win_solved WHERE j = 52) s JOIN win_sums g ON g.split = 'train'""",
+    "win_missed": """
+        SELECT split, penalty, x[pos + 1] - a - list_inner_product(x[pos - 51:pos], weights) AS r
+        FROM (SELECT split, x, unnest(range(a, b)) AS pos FROM win_spans) JOIN win_models ON true""",
+    "win_path": """
+        SELECT penalty, train_loss, val_loss, a AS intercept, penalty = arg_min(penalty, val_loss) OVER () AS chosen, weights
+        FROM (SELECT penalty, avg(r * r) FILTER (split = 'train') AS train_loss, avg(r * r) FILTER (split = 'val') AS val_loss
+              FROM win_missed GROUP BY penalty) JOIN win_models USING (penalty)""",
+    "win_ahead": f"""
+        SELECT series_id, last_week, data_min, CASE WHEN data_max = data_min THEN 1 ELSE data_max - data_min END AS spread, a, weights, 0 AS h, x
+        FROM win_arrays JOIN scaler USING (series_id) JOIN win_models ON penalty = 1e-4
+        UNION ALL
+        SELECT series_id, last_week, data_min, spread, a, weights, h + 1, list_append(x, a + list_inner_product(x[len(x) - 51:len(x)], weights))
+        FROM win_ahead WHERE h < {TEST_WEEKS}""",
+}
+
 #: Query name: statement and the columns that are doubles.
 STATEMENTS: dict[str, tuple[str, str]] = {
     "sma_fit": (
@@ -174,6 +219,15 @@ STATEMENTS: dict[str, tuple[str, str]] = {
                SELECT *, exp(-lb_stat / 2) * (1 + lb_stat / 2 + pow(lb_stat / 2, 2) / 2 + pow(lb_stat / 2, 3) / 6
                                               + pow(lb_stat / 2, 4) / 24) AS lb_pvalue FROM sma_ljung)
            JOIN sma_params USING (series_id)""", "lb_stat lb_pvalue aic bic"),
+    "window_path": ("SELECT penalty, train_loss, val_loss, intercept, chosen FROM win_path", "penalty train_loss val_loss intercept"),
+    "window_weights": (
+        """SELECT CAST(53 - k AS INTEGER) AS weeks_back, weights[k] AS weight FROM win_path, range(1, 53) r(k) WHERE chosen""", "weight"),
+    "window_losses": (
+        "SELECT split, avg(r * r) AS loss, count(*) AS n_windows FROM win_missed WHERE penalty = 1e-4 GROUP BY split", "loss"),
+    "window_forecast": (
+        """SELECT series_id, 'window' AS model_type, CAST(h AS INTEGER) AS horizon, CAST(last_week + 7 * CAST(h AS INTEGER) AS DATE) AS forecast_date,
+                  greatest(0.0, x[-1] * spread + data_min) AS predicted_value, CAST(NULL AS DOUBLE) AS lower_bound, CAST(NULL AS DOUBLE) AS upper_bound
+           FROM win_ahead WHERE h > 0""", "predicted_value"),
     "adf_test": (
         """SELECT series_id, t AS test_stat, p AS p_value, CAST(l AS INTEGER) AS lags_used, CAST(o AS INTEGER) AS n_used,
                   CASE WHEN p < 0.05 THEN 'STATIONARY' ELSE 'NON-STATIONARY' END AS status,
