@@ -92,16 +92,16 @@ def test_additive_fit_is_ridge(spark, make_weekly, calendar, series, threshold,
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     request.addfinalizer(lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before))
-    config = AdditiveConfig(changepoints=5, fourier_order=3)
+    config = AdditiveConfig(changepoint_prior="normal", changepoints=5, fourier_order=3)
     df = make_weekly(series)
     rows = {r.series_id: r for r in additive.additive_fit(df, calendar, RETAIL_STATES, config).collect()}
     spans = df.groupBy("series_id").agg(F.min("week_start").alias("first_week"), F.count("*").alias("n")).selectExpr(
         "split_part(series_id, '_', 1) AS state", "first_week", "n"
     ).distinct()
-    solved = additive.span_solutions(spans, additive.week_holidays(calendar, RETAIL_STATES), config)
+    solved = additive.span_systems(spans, additive.week_holidays(calendar, RETAIL_STATES), config)
     for state, sid in (("CA", "CA_1__A"), ("TX", "TX_1__B")):
         s = solved.where(F.col("state") == state).first()
-        x = np.array(s.design)
+        x = np.array(s["columns"]).T
         assert x.shape == (200, 2 + 5 + 6 + len(s.names)) and "Christmas" in s.names and f"SNAP_{state}" in s.names
         beta = reference_ridge(x, series[sid], config, len(s.names))
         assert rows[sid].coef == pytest.approx(list(beta))

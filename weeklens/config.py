@@ -38,8 +38,12 @@ class SeasonalArConfig:
 
 @dataclass(frozen=True)
 class AdditiveConfig:
-    """Piecewise-linear trend + yearly Fourier terms + holiday effects, ridge penalised."""
+    """Piecewise-linear trend + yearly Fourier terms + holiday effects.
 
+    Changes of the trend have a Laplace prior, so most of them are zero, or a normal one; all other terms a normal one.
+    """
+
+    changepoint_prior: str = "laplace"
     changepoints: int = 25
     changepoint_range: float = 0.8
     fourier_order: int = 10

@@ -25,12 +25,14 @@ ONE_SERIES = "ASIA_1__BUILDING"
 SERIES_LIST = ("ASIA_1__BUILDING", "EUROPE_1__MACHINERY", "AFRICA_1__FURNITURE")
 STATES = star.REGION_STATES
 DIGITS = 6
+#: Values that come out of a solved system are compared with fewer digits.
+MODEL_DIGITS = 3
 
 
-def rounded(df: DataFrame) -> DataFrame:
+def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Doubles at a fixed number of digits and without negative zero, so engines agree on equal results."""
     doubles = {
-        f.name: F.round(f.name, DIGITS) + F.lit(0.0) for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)
+        f.name: F.round(f.name, digits) + F.lit(0.0) for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)
     }
     return df.withColumns(doubles) if doubles else df
 
@@ -147,7 +149,7 @@ class Inputs:
 
     @cached_property
     def additive_params(self) -> DataFrame:
-        return additive.additive_fit(self.known, self.calendar, STATES)
+        return self.written(additive.additive_fit(self.known, self.calendar, STATES), "additive_params")
 
     @cached_property
     def window_model(self) -> window_model.WindowModel:
@@ -347,9 +349,32 @@ def sma_evaluation(d: Inputs) -> DataFrame:
     return metrics.evaluate_models(forecasts.with_actuals(predicted, d.test), d.train)
 
 
+def additive_coefficients(d: Inputs) -> DataFrame:
+    rows = d.additive_params.select("series_id", "n", "sigma2", F.posexplode("coef").alias("pos", "coef"))
+    return rounded(rows.select("series_id", "n", (F.col("pos") + 1).alias("term"), "coef", "sigma2"), MODEL_DIGITS)
+
+
 def additive_future(d: Inputs) -> DataFrame:
     ahead = forecasts.future_weeks(d.known, TEST_WEEKS)
-    return additive.additive_forecast(ahead, d.additive_params, d.calendar, STATES)
+    return rounded(additive.additive_forecast(ahead, d.additive_params, d.calendar, STATES), MODEL_DIGITS)
+
+
+def additive_bounds(d: Inputs) -> DataFrame:
+    """Forecasts from given changes of the trend, whose size widens the intervals."""
+    n = additive.AdditiveConfig.changepoints
+    bent = F.transform(
+        "coef", lambda v, i: F.when((i >= 2) & (i < 2 + n), F.when((i + 1) % 2 == 0, -8.0).otherwise(10.0) * (i + 1)).otherwise(v)
+    )
+    ahead = forecasts.future_weeks(d.known, TEST_WEEKS)
+    return rounded(additive.additive_forecast(ahead, d.additive_params.withColumn("coef", bent), d.calendar, STATES), MODEL_DIGITS)
+
+
+def additive_parts(d: Inputs) -> DataFrame:
+    return rounded(additive.additive_components(d.stored, d.additive_params, d.calendar, STATES), MODEL_DIGITS)
+
+
+def additive_inside(d: Inputs) -> DataFrame:
+    return rounded(additive.additive_in_sample(d.known, d.additive_params, d.calendar, STATES), MODEL_DIGITS)
 
 
 def window_path(d: Inputs) -> DataFrame:
@@ -627,10 +652,11 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "sma_diagnostics": sma_diagnostics,
     "design_input": lambda d: additive.design_input(d.train),
     "holiday_table": lambda d: holiday_table(d.calendar, STATES),
-    "additive_fit": lambda d: d.additive_params.select("series_id", "n", "coef", "sigma2"),
+    "additive_fit": additive_coefficients,
     "additive_forecast": additive_future,
-    "additive_components": lambda d: additive.additive_components(d.stored, d.additive_params, d.calendar, STATES),
-    "additive_in_sample": lambda d: additive.additive_in_sample(d.known, d.additive_params, d.calendar, STATES),
+    "additive_bounds": additive_bounds,
+    "additive_components": additive_parts,
+    "additive_in_sample": additive_inside,
     "window_path": window_path,
     "window_weights": window_weights,
     "window_losses": lambda d: window_model.window_losses(d.labelled, d.window_model),

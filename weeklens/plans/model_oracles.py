@@ -198,6 +198,109 @@ TABLES |= {
         FROM win_ahead WHERE h < {TEST_WEEKS}""",
 }
 
+# -- additive model: one system for each state and span, sweeps over the changes of trend ---------
+
+_KNOTS, _ORDER = 25, 10
+_TREND, _FIXED = 2 + _KNOTS, 2 + _KNOTS + 2 * _ORDER
+_T = "(week_start - first_week) / 7.0 / greatest(n - 1, 1)"
+_DAY = "(week_start - DATE '1970-01-01') / 365.25"
+_DESIGN = f"""
+    list_concat([1::DOUBLE, {_T}], list_transform(range(1, {_KNOTS + 1}), lambda j: greatest(0, {_T} - 0.8::DOUBLE * j / {_KNOTS})),
+                flatten(list_transform(range(1, {_ORDER + 1}), lambda k: [sin(2 * pi() * k * {_DAY}), cos(2 * pi() * k * {_DAY})])),
+                list_transform(names, lambda h: CASE WHEN list_contains(coalesce(hs, []), h) THEN 1::DOUBLE ELSE 0 END))"""
+_REST_OF = f"list_concat(x[1:2], x[{_TREND + 1}:])"
+_SLOPE = "(leftover[e[1]::INT] - list_inner_product(g[e[1]::INT], acc) + g[e[1]::INT][e[1]::INT] * acc[e[1]::INT])"
+Z90 = NormalDist().inv_cdf(0.9)
+
+
+def _parts(weeks: str) -> str:
+    """Trend, yearly and holiday parts of weeks (series_id, week_start, ...), with their parameters."""
+    return f"""
+        SELECT *, list_inner_product(x[1:{_TREND}], coef[1:{_TREND}]) AS trend,
+               list_inner_product(x[{_TREND + 1}:{_FIXED}], coef[{_TREND + 1}:{_FIXED}]) AS yearly,
+               list_sum(list_transform(range({_FIXED + 1}, len(coef) + 1), lambda j: x[j] * coef[j])) AS holidays,
+               greatest(0, x[2] - 1) AS ahead, list_sum(list_transform(coef[3:{_TREND}], lambda v: abs(v))) / {_KNOTS} AS size
+        FROM (SELECT w.*, p.coef, p.sigma2, {_DESIGN} AS x FROM {weeks} w JOIN (SELECT series_id, state, coef, sigma2 FROM add_params) p ON p.series_id = w.series_id
+              LEFT JOIN add_holidays h ON h.state = p.state AND h.week = w.week_start)"""
+
+
+def _ahead(parts: str) -> str:
+    half = f"{Z90!r} * sqrt(sigma2 + 2.0 * {_KNOTS} / 3.0 * size * size * pow(ahead, 3))"
+    point = "trend + yearly + holidays"
+    return f"""
+        SELECT series_id, 'additive' AS model_type, CAST(horizon AS INTEGER) AS horizon, week_start AS forecast_date,
+               round(greatest(0.0, {point}), 3) AS predicted_value, round(greatest(0.0, {point} - {half}), 3) AS lower_bound,
+               round(greatest(0.0, {point} + {half}), 3) AS upper_bound FROM {parts}"""
+
+
+TABLES |= {
+    "add_holidays": """
+        SELECT state, CAST(date_trunc('week', ds) AS DATE) AS week, list_sort(list(DISTINCT holiday)) AS hs FROM holidays GROUP BY ALL""",
+    "add_train": """
+        SELECT series_id, split_part(series_id, '_', 1) AS state, week_start, CAST(total_sales AS DOUBLE) AS y,
+               min(week_start) OVER s AS first_week, count(*) OVER s AS n
+        FROM labelled WHERE split <> 'test' WINDOW s AS (PARTITION BY series_id)""",
+    "add_weeks": """
+        SELECT DISTINCT state, first_week, n, week_start, hs FROM add_train t
+        LEFT JOIN add_holidays h USING (state) WHERE h.week = t.week_start
+        UNION ALL
+        SELECT DISTINCT state, first_week, n, week_start, [] FROM add_train t
+        WHERE NOT EXISTS (SELECT 1 FROM add_holidays h WHERE h.state = t.state AND h.week = t.week_start)""",
+    "add_names": "SELECT state, first_week, n, list_sort(list(DISTINCT name)) AS names FROM (SELECT state, first_week, n, unnest(hs) AS name FROM add_weeks) GROUP BY ALL",
+    "add_design": f"""
+        SELECT state, first_week, n, any_value(names) AS names, list(x ORDER BY week_start) AS rows
+        FROM (SELECT *, {_DESIGN} AS x FROM add_weeks JOIN add_names USING (state, first_week, n)) GROUP BY ALL""",
+    "add_columns": f"""
+        SELECT *, list_transform(rows, lambda x: {_REST_OF}) AS rest,
+               list_transform(range(1, len(rows[1]) + 1), lambda j: list_transform(rows, lambda x: x[j])) AS cols FROM add_design""",
+    "add_split": f"""
+        SELECT * EXCLUDE (cols), cols, cols[3:{_TREND}] AS few, list_concat(cols[1:2], cols[{_TREND + 1}:]) AS others,
+               list_concat([0.04::DOUBLE, 0.04::DOUBLE], list_transform(range(len(cols) - {_TREND}), lambda i: 0.01::DOUBLE)) AS penalty FROM add_columns""",
+    "add_systems": """
+        SELECT state, first_week, n, list_transform(others, lambda a, i: list_concat(
+                   list_transform(others, lambda b, k: list_inner_product(a, b) + CASE WHEN i = k THEN penalty[i] ELSE 0 END),
+                   list_transform(others, lambda b, k: CASE WHEN i = k THEN 1::DOUBLE ELSE 0 END))) AS m FROM add_split""",
+    "add_solved": eliminated("add_systems", "len(m)", "state, first_week, n").format(self="add_solved"),
+    "add_inverse": "SELECT state, first_week, n, list_transform(m, lambda line: line[len(m) + 1:]) AS inverse FROM add_solved WHERE j = len(m)",
+    "add_weights": """
+        SELECT *, list_transform(few, lambda f: list_transform(inverse, lambda line: list_inner_product(line, list_transform(others, lambda o: list_inner_product(f, o))))) AS weights
+        FROM add_split JOIN add_inverse USING (state, first_week, n)""",
+    "add_spans": """
+        SELECT *, list_transform(few, lambda a, i: list_transform(few, lambda b: list_inner_product(a, b)
+                  - list_inner_product(weights[i], list_transform(others, lambda o: list_inner_product(o, b))))) AS g FROM add_weights""",
+    "add_series": """
+        SELECT series_id, state, first_week, n, list(y ORDER BY week_start) AS y FROM add_train GROUP BY ALL""",
+    "add_plain": """
+        SELECT *, list_transform(inverse, lambda line: list_inner_product(line, list_transform(others, lambda o: list_inner_product(o, y)))) AS plain
+        FROM add_series JOIN add_spans USING (state, first_week, n)""",
+    "add_costs": """
+        SELECT *, list_avg(list_transform(rest, lambda x, i: pow(y[i] - list_inner_product(x, plain), 2))) / (0.05 * list_max(list_transform(y, lambda v: abs(v)))) AS cost,
+               list_transform(few, lambda f, i: list_inner_product(f, y) - list_inner_product(weights[i], list_transform(others, lambda o: list_inner_product(o, y)))) AS leftover
+        FROM add_plain""",
+    "add_sweeps": f"""
+        SELECT series_id, g, leftover, cost, 0 AS k, list_transform(range({_KNOTS}), lambda i: 0::DOUBLE) AS c FROM add_costs
+        UNION ALL
+        SELECT series_id, g, leftover, cost, k + 1, list_reduce(list_prepend(c, list_transform(range(1, {_KNOTS + 1}), lambda i: [i::DOUBLE])),
+               lambda acc, e: list_transform(acc, lambda v, i: CASE WHEN i = e[1]::INT
+                   THEN sign({_SLOPE}) * greatest(0, abs({_SLOPE}) - cost) / g[i][i] ELSE v END))
+        FROM add_sweeps WHERE k < 200""",
+    "add_params": """
+        SELECT series_id, state, first_week, n, names, coef, list_avg(list_transform(rows, lambda x, i: pow(y[i] - list_inner_product(x, coef), 2))) AS sigma2
+        FROM (SELECT *, list_concat(given[1:2], c, given[3:]) AS coef
+              FROM (SELECT a.*, s.c, list_transform(plain, lambda v, i: v - list_inner_product(s.c, list_transform(weights, lambda w: w[i]))) AS given
+                    FROM add_costs a JOIN add_sweeps s ON s.series_id = a.series_id AND s.k = 200))""",
+    "add_next": f"""
+        SELECT series_id, state, first_week, n, names, h AS horizon, CAST(last_week + 7 * CAST(h AS INTEGER) AS DATE) AS week_start
+        FROM (SELECT series_id, max(week_start) AS last_week FROM add_train GROUP BY series_id) JOIN add_params USING (series_id), range(1, {TEST_WEEKS} + 1) r(h)""",
+    "add_all": "SELECT p.series_id, p.first_week, p.n, p.names, 0 AS horizon, l.week_start, l.split FROM labelled l JOIN add_params p ON p.series_id = l.series_id",
+    "add_next_parts": _parts("add_next"),
+    "add_all_parts": _parts("add_all"),
+    "add_bent": f"""
+        SELECT * REPLACE (list_transform(coef, lambda v, i: CASE WHEN i BETWEEN 3 AND {_TREND} THEN (CASE WHEN i % 2 = 0 THEN -8.0 ELSE 10.0 END) * i ELSE v END) AS coef)
+        FROM add_params""",
+    "add_bent_parts": _parts("add_next").replace("FROM add_params)", "FROM add_bent)"),
+}
+
 #: Query name: statement and the columns that are doubles.
 STATEMENTS: dict[str, tuple[str, str]] = {
     "sma_fit": (
@@ -228,6 +331,15 @@ STATEMENTS: dict[str, tuple[str, str]] = {
         """SELECT series_id, 'window' AS model_type, CAST(h AS INTEGER) AS horizon, CAST(last_week + 7 * CAST(h AS INTEGER) AS DATE) AS forecast_date,
                   greatest(0.0, x[-1] * spread + data_min) AS predicted_value, CAST(NULL AS DOUBLE) AS lower_bound, CAST(NULL AS DOUBLE) AS upper_bound
            FROM win_ahead WHERE h > 0""", "predicted_value"),
+    "additive_fit": (
+        """SELECT series_id, n, CAST(pos AS INTEGER) AS term, round(coef[pos], 3) AS coef, round(sigma2, 3) AS sigma2
+           FROM (SELECT *, unnest(range(1, len(coef) + 1)) AS pos FROM add_params)""", "coef sigma2"),
+    "additive_forecast": (_ahead("add_next_parts"), "predicted_value lower_bound upper_bound"),
+    "additive_bounds": (_ahead("add_bent_parts"), "predicted_value lower_bound upper_bound"),
+    "additive_in_sample": (_ahead("add_all_parts") + " WHERE split <> 'test'", "predicted_value lower_bound upper_bound"),
+    "additive_components": (
+        """SELECT series_id, week_start, round(trend, 3) AS trend, round(yearly, 3) AS yearly, round(holidays, 3) AS holidays,
+                  round(trend + yearly + holidays, 3) AS fitted FROM add_all_parts""", "trend yearly holidays fitted"),
     "adf_test": (
         """SELECT series_id, t AS test_stat, p AS p_value, CAST(l AS INTEGER) AS lags_used, CAST(o AS INTEGER) AS n_used,
                   CASE WHEN p < 0.05 THEN 'STATIONARY' ELSE 'NON-STATIONARY' END AS status,
