@@ -213,15 +213,19 @@ def _dated(rows: DataFrame, model_type: str) -> DataFrame:
     return forecast_frame(dated, model_type, F.col("value"))
 
 
-def window_forecast(history: DataFrame, scaler: DataFrame, model: WindowModel, steps: int) -> DataFrame:
-    """Feeds predictions back into the window. A series shorter than the window gets NULL forecasts."""
-    size = model.window
-    ready = _seeds(history, scaler, size)
+def window_rows(model: WindowModel, scaler: DataFrame) -> DataFrame:
+    """(series_id, coef, penalty, data_min, data_max): the model as a table, ``coef`` with the intercept first."""
+    coef = F.concat(F.array(F.lit(model.intercept)), model.weight_array())
+    return scaler.select("series_id", coef.alias("coef"), F.lit(model.penalty).alias("penalty"), "data_min", "data_max")
+
+
+def _folded(ready: DataFrame, weights: Column, intercept: Column, size: int, steps: int) -> DataFrame:
+    """Forecast frame of seeds (and whatever columns the weights need): predictions are fed back into the window."""
     scaled = F.transform("values", lambda v: (v - F.col("data_min")) / F.col("span"))
 
     def step(state: Column, _: Column) -> Column:
         latest = F.slice(state, F.size(state) - (size - 1), F.lit(size))
-        return F.concat(state, F.array(dot(latest, model.weight_array()) + F.lit(model.intercept)))
+        return F.concat(state, F.array(dot(latest, weights) + intercept))
 
     folded = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), scaled, step)
     rows = ready.select(
@@ -230,6 +234,23 @@ def window_forecast(history: DataFrame, scaler: DataFrame, model: WindowModel, s
     return _dated(rows, MODEL)
 
 
+def window_forecast(history: DataFrame, scaler: DataFrame, model: WindowModel, steps: int) -> DataFrame:
+    """Feeds predictions back into the window. A series shorter than the window gets NULL forecasts."""
+    ready = _seeds(history, scaler, model.window)
+    return _folded(ready, model.weight_array(), F.lit(model.intercept), model.window, steps)
+
+
+def window_forecast_rows(history: DataFrame, rows: DataFrame, steps: int, size: int = WindowConfig.window) -> DataFrame:
+    """The same from a table of ``window_rows``, where each series may have weights of its own version.
+
+    A series without a row, or with weights for another window, gets NULL forecasts.
+    """
+    ready = _seeds(history, rows.select("series_id", "data_min", "data_max"), size)
+    fitting = rows.where(F.size("coef") == size + 1).select("series_id", "coef")
+    joined = ready.join(fitting, "series_id", "left")
+    return _folded(joined, F.slice("coef", 2, size), F.col("coef")[0], size, steps)
+
+
 def window_forecast_trees(
     history: DataFrame, scaler: DataFrame, model: GBTRegressionModel, steps: int, size: int = WindowConfig.window
 ) -> DataFrame:

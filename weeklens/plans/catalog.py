@@ -155,10 +155,9 @@ class Inputs:
     def window_model(self) -> window_model.WindowModel:
         return window_model.window_fit(self.labelled)
 
-    def fitted(self) -> jobs.Fitted:
-        return jobs.Fitted(
-            self.sar_params, self.additive_params, self.window_model, split.scaler_params(self.labelled)
-        )
+    def fitted(self) -> jobs.Models:
+        rows = window_model.window_rows(self.window_model, split.scaler_params(self.labelled))
+        return jobs.Models(self.sar_params, self.additive_params, rows)
 
     def forecast_store(self) -> store.ForecastTable:
         """Two appended versions of the baseline forecasts, the later one with bounds."""
@@ -437,6 +436,32 @@ def stored_scoring(d: Inputs) -> DataFrame:
     return sar.sar_forecast(d.stored, jobs.stored_sar(d.spark, path), TEST_WEEKS)
 
 
+def saved_models(d: Inputs) -> str:
+    """A parameter table with two versions of all models; the first one's numbers are all zero."""
+    path = work_path(d.spark, "params")
+    fitted = d.fitted()
+    store.write_params(fitted.params("v2", F.lit("2001-08-06").cast("timestamp")), path)
+    older = fitted.params("v9", F.lit("2001-01-01").cast("timestamp")).withColumn("coef", F.transform("coef", lambda v: v * 0))
+    store.write_params(older, path)
+    return path
+
+
+def stored_models(d: Inputs) -> DataFrame:
+    """Forecasts by all models as they come back from the parameter table."""
+    models = jobs.load_models(d.spark, saved_models(d))
+    return rounded(jobs.forecast_models(d.known, models, TEST_WEEKS, d.calendar, STATES), MODEL_DIGITS)
+
+
+def weekly_scoring(d: Inputs) -> DataFrame:
+    """The forecast store after the scoring job has run twice with one version."""
+    out, stamp = work_path(d.spark, "scoring"), F.lit("2001-08-06").cast("timestamp")
+    history = d.written(d.known.drop("split", "too_short"), "known")
+    path = saved_models(d)
+    for _ in range(2):
+        jobs.scoring_job(d.spark, history, d.calendar, STATES, path, out, "v1", stamp)
+    return rounded(_dates(store.ForecastTable(d.spark, f"{out}/forecasts").scan()), MODEL_DIGITS)
+
+
 def eda_tables(d: Inputs) -> DataFrame:
     """Row counts of the exploratory reports."""
     reports = jobs.eda_report(d.stored, d.calendar, work_path(d.spark, "eda"))
@@ -483,14 +508,18 @@ def unscored_decisions(d: Inputs) -> DataFrame:
 
 
 def model_coverage(d: Inputs) -> DataFrame:
-    """Forecast rows and values of every series where three of them are only 32 weeks long."""
+    """Forecast rows and values of every series where three of them are only 32 weeks long and the additive model has none of these."""
     week = F.row_number().over(Window.partitionBy("series_id").orderBy("week_start"))
     cut = d.stored.withColumn("at", week).where(~F.col("series_id").isin(*SERIES_LIST) | (F.col("at") <= 32)).drop("at")
     weights = window_model.WindowModel((1.0 / SEASON,) * SEASON, 0.0, ())
     scaler = d.labelled.select("series_id").distinct().withColumns({"data_min": F.lit(0.0), "data_max": F.lit(1.0)})
-    rows = sar.sar_forecast(cut, sar.sar_fit(cut), TEST_WEEKS).unionByName(
-        window_model.window_forecast(cut, scaler, weights, TEST_WEEKS), allowMissingColumns=True
-    ).select("series_id", F.col("model_type").alias("model"), F.col("predicted_value").alias("value"))
+    fitted_for_some = additive.additive_fit(d.known.where(~F.col("series_id").isin(*SERIES_LIST)), d.calendar, STATES)
+    frames = (
+        sar.sar_forecast(cut, sar.sar_fit(cut), TEST_WEEKS), sma.sma_forecast(cut, sma.sma_fit(cut), TEST_WEEKS),
+        window_model.window_forecast(cut, scaler, weights, TEST_WEEKS),
+        additive.additive_forecast(forecasts.future_weeks(cut, TEST_WEEKS), fitted_for_some, d.calendar, STATES),
+    )
+    rows = forecasts.union_forecasts(*frames).select("series_id", F.col("model_type").alias("model"), F.col("predicted_value").alias("value"))
     lags = correlation.pacf(cut).select("series_id", F.lit("pacf").alias("model"), F.col("pacf").alias("value"))
     return rows.unionByName(lags).groupBy("series_id", "model").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("value").alias("n_values")
@@ -705,6 +734,8 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "retrain_runs": retrain_runs,
     "score_next_weeks": score_next_weeks,
     "stored_scoring": stored_scoring,
+    "stored_models": stored_models,
+    "weekly_scoring": weekly_scoring,
     "drift_job_alerts": drift_job_alerts,
     "eda_tables": eda_tables,
     "full_run": full_run,

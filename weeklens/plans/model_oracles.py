@@ -301,6 +301,20 @@ TABLES |= {
     "add_bent_parts": _parts("add_next").replace("FROM add_params)", "FROM add_bent)"),
 }
 
+_FORECAST = "series_id, model_type, horizon, forecast_date, predicted_value, lower_bound, upper_bound"
+
+TABLES |= {
+    "model_fc": f"""
+        SELECT {_FORECAST} FROM sar_fc WHERE scope = 'known'
+        UNION ALL {_ahead("add_next_parts")}
+        UNION ALL
+        SELECT series_id, 'window', CAST(h AS INTEGER), CAST(last_week + 7 * CAST(h AS INTEGER) AS DATE), v, v * (1 - 0.12::DOUBLE), v * (1 + 0.12::DOUBLE)
+        FROM (SELECT *, greatest(0.0, x[-1] * spread + data_min) AS v FROM win_ahead WHERE h > 0)""",
+    "model_fc_rounded": """
+        SELECT series_id, model_type, horizon, forecast_date, round(predicted_value, 3) AS predicted_value,
+               round(lower_bound, 3) AS lower_bound, round(upper_bound, 3) AS upper_bound FROM model_fc""",
+}
+
 #: Query name: statement and the columns that are doubles.
 STATEMENTS: dict[str, tuple[str, str]] = {
     "sma_fit": (
@@ -340,6 +354,9 @@ STATEMENTS: dict[str, tuple[str, str]] = {
     "additive_components": (
         """SELECT series_id, week_start, round(trend, 3) AS trend, round(yearly, 3) AS yearly, round(holidays, 3) AS holidays,
                   round(trend + yearly + holidays, 3) AS fitted FROM add_all_parts""", "trend yearly holidays fitted"),
+    "stored_models": ("SELECT * FROM model_fc_rounded", "predicted_value lower_bound upper_bound"),
+    "weekly_scoring": (
+        "SELECT *, 'v1' AS model_version, DATE '2001-08-06' AS generated_at FROM model_fc_rounded", "predicted_value lower_bound upper_bound"),
     "adf_test": (
         """SELECT series_id, t AS test_stat, p AS p_value, CAST(l AS INTEGER) AS lags_used, CAST(o AS INTEGER) AS n_used,
                   CASE WHEN p < 0.05 THEN 'STATIONARY' ELSE 'NON-STATIONARY' END AS status,

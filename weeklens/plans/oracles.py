@@ -632,7 +632,7 @@ _STATEMENTS: dict[str, tuple[str, str]] = {
     "model_coverage": (
         f"""SELECT series_id, model, n_rows, CASE WHEN series_id IN {tuple(SERIES_LIST)!r} THEN 0 ELSE n_rows END AS n_values
             FROM (SELECT DISTINCT series_id FROM weekly)
-            CROSS JOIN (VALUES ('sar', 13), ('window', 13), ('pacf', 61)) m(model, n_rows)""", ""),
+            CROSS JOIN (VALUES ('sar', 13), ('sma', 13), ('window', 13), ('additive', 13), ('pacf', 61)) m(model, n_rows)""", ""),
     "run_stages": ("SELECT seq, series_id, model_type, stage FROM staged", ""),
     "champion_runs": (
         "SELECT series_id, model_type, run_id, val_mase FROM staged WHERE stage = 'production'", "val_mase"),

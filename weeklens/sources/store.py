@@ -34,8 +34,13 @@ PARAMS_SCHEMA = T.StructType(
         T.StructField("generated_at", T.TimestampType()),
         T.StructField("coef", T.ArrayType(T.DoubleType())),
         T.StructField("sigma2", T.DoubleType()),
+        # What else a model needs to be rebuilt; NULL where it needs nothing.
+        T.StructField("numbers", T.MapType(T.StringType(), T.DoubleType())),
+        T.StructField("texts", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("names", T.ArrayType(T.StringType())),
     ]
 )
+PARAMS_PAYLOAD = ("numbers", "texts", "names")
 
 
 def to_forecast_rows(df: DataFrame, generated_at: Column | None = None) -> DataFrame:
@@ -134,9 +139,10 @@ def latest_forecasts(forecasts: DataFrame) -> DataFrame:
 
 
 def write_params(params: DataFrame, path: str) -> None:
-    """Appends fitted coefficients."""
-    require_columns(params, PARAMS_SCHEMA.fieldNames(), "model parameters")
-    picked = [F.col(f.name).cast(f.dataType).alias(f.name) for f in PARAMS_SCHEMA.fields]
+    """Appends fitted coefficients; payload columns that are absent are filled with NULL."""
+    require_columns(params, [c for c in PARAMS_SCHEMA.fieldNames() if c not in PARAMS_PAYLOAD], "model parameters")
+    there = lambda name: F.col(name) if name in params.columns else F.lit(None)
+    picked = [there(f.name).cast(f.dataType).alias(f.name) for f in PARAMS_SCHEMA.fields]
     params.select(*picked).write.mode("append").partitionBy("model_type").parquet(path)
 
 
@@ -144,22 +150,29 @@ def read_params(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PARAMS_SCHEMA).parquet(path).select(*PARAMS_SCHEMA.fieldNames())
 
 
+def read_params_or_none(spark: SparkSession, path: str, version: str) -> DataFrame | None:
+    """The parameters of a version, or nothing where the table hasn't got it."""
+    if not path_exists(spark, path):
+        return None
+    rows = read_params(spark, path).where(F.col("version") == version)
+    return None if rows.isEmpty() else rows
+
+
 def latest_params(params: DataFrame) -> DataFrame:
     """Parameters of the newest version per series and model, chosen by time and not by name."""
-    newest = F.max_by(F.struct("version", "generated_at", "coef", "sigma2"), F.struct("generated_at", "version"))
-    return (
-        params.groupBy("series_id", "model_type")
-        .agg(newest.alias("p"))
-        .select("series_id", "model_type", "p.version", "p.generated_at", "p.coef", "p.sigma2")
-    )
+    rest = [c for c in PARAMS_SCHEMA.fieldNames() if c not in ("series_id", "model_type")]
+    newest = F.max_by(F.struct(*rest), F.struct("generated_at", "version"))
+    return params.groupBy("series_id", "model_type").agg(newest.alias("p")).select("series_id", "model_type", *[f"p.{c}" for c in rest])
 
 
-def require_params(wanted: DataFrame, params: DataFrame, keys: tuple[str, ...] = ("series_id",)) -> None:
+def require_params(
+    wanted: DataFrame, params: DataFrame, keys: tuple[str, ...] = ("series_id",), what: str = ""
+) -> None:
     """Forecasting a series that was never fitted is an error that tells how many there are and names the first."""
     missing = missing_params(wanted, params, keys)
     found = missing.agg(F.count(F.lit(1)).alias("n"), F.min(F.concat_ws("/", *keys)).alias("first")).first()
     if found["n"]:
-        raise RuntimeError(f"not fitted: {found['first']}" + (f" and {found['n'] - 1} more" if found["n"] > 1 else ""))
+        raise RuntimeError(f"{what} not fitted: {found['first']}".lstrip() + (f" and {found['n'] - 1} more" if found["n"] > 1 else ""))
 
 
 def missing_params(wanted: DataFrame, params: DataFrame, keys: tuple[str, ...] = ("series_id",)) -> DataFrame:
