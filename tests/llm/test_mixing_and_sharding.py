@@ -1,6 +1,7 @@
 import zlib
 from collections import Counter, defaultdict
 
+from tests.llm.conftest import PLAIN
 from weeklens.llm import mixing, sharding
 
 
@@ -112,3 +113,21 @@ def test_shards_odd_cases(odd_docs, no_docs):
     assert all(r["size"] == 8 and r["text_crc32"] == 0 for r in rows if r["doc_id"] in (1, 2))
     assert sharding.sharded(no_docs).count() == 0
     assert sharding.sharded(odd_docs, target_bytes=10**9).select("shard").distinct().count() == 1
+
+
+def test_repeated_rows_are_parted_like_others(spark, docs_of):
+    """2,000 rows that repeat one another weigh more than a shard; their copies go to several."""
+    text = PLAIN[:30]
+    rows = [(1, text)] * 2000 + [(i, f"other text number {i} {'x' * (i % 40)}") for i in range(2, 402)]
+    got = sharding.sharded(docs_of(rows).repartition(6), 4).collect()
+    assert len(got) == 2400
+    loads = [sum(r["size"] for r in got if r["shard"] == s) for s in range(4)]
+    assert max(loads) <= 1.1 * sum(loads) / 4 and min(loads) >= 0.9 * sum(loads) / 4
+    for s in range(4):
+        slots = sorted(r["slot"] for r in got if r["shard"] == s)
+        assert slots == list(range(len(slots)))
+
+
+def test_shards_need_no_python(docs_of):
+    plan = sharding.sharded(docs_of([(1, "a"), (2, "b")]), 2)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "RDD" not in plan.replace("LogicalRDD", "")

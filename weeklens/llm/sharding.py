@@ -17,6 +17,8 @@ SHARDS = 24
 OVERHEAD = 8
 #: A key is 20 bits of a coordinate and 43 bits of a hash of the text; medians are found 16 bits at a time.
 COORDINATE_BITS, HASH_BITS, DIGIT = 20, 43, 16
+#: Low bits of a row's hash that come from its number in the written table.
+NUMBER_BITS = 20
 DIMENSIONS = ("by_lang", "by_source", "by_size")
 #: Copies of one text are parted only where they weigh more than this share of a leaf.
 GROUP_SHARE = 0.05
@@ -48,6 +50,12 @@ def _rank(rows: DataFrame, column: str) -> DataFrame:
     return ranked.select(F.col(column).alias("value"), "rank")
 
 
+def _spread() -> Column:
+    """63 bits that part the copies of a text: a hash of the row and, for rows that repeat one another, of its number."""
+    own = F.shiftleft(F.shiftrightunsigned(F.xxhash64("doc_id", "lang", "source", "n_chars"), 1 + NUMBER_BITS), NUMBER_BITS)
+    return own.bitwiseOR(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << NUMBER_BITS)))
+
+
 def points(docs: DataFrame) -> DataFrame:
     """Narrow rows with one sortable key per dimension; copies of a text share all keys.
 
@@ -59,7 +67,7 @@ def points(docs: DataFrame) -> DataFrame:
         (F.octet_length(text_or_empty()) + OVERHEAD).cast("bigint").alias("size"),
         F.crc32(payload).cast("bigint").alias("text_crc32"),
         F.sha2(payload, 256).alias("digest"),
-        F.shiftrightunsigned(F.xxhash64("doc_id", "lang", "source", "n_chars"), 1).alias("spread"),
+        _spread().alias("spread"),
     )
     narrow = written(narrow, "points")
     shared = narrow.groupBy("digest").agg(F.min("lang").alias("group_lang"), F.min("source").alias("group_source"), F.count("*").alias("copies"))
@@ -170,7 +178,8 @@ def sharded(docs: DataFrame, shards: int = SHARDS, target_bytes: int | None = No
     """Per row of ``docs``: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
     Shards have nearly equal bytes; ``target_bytes`` sets their number instead. Copies of one text lie in one shard unless
-    they weigh over ``GROUP_SHARE`` of a shard and a border falls among them. A null text has no bytes of its own; null
+    they weigh over ``GROUP_SHARE`` of a shard and a border falls among them, so a shard's bytes stay within about
+    that share of their mean. A null text has no bytes of its own; null
     languages and sources come last in their order. Rows that repeat one another stay and get slots of their own. Fewer
     rows than shards leave shards empty.
     """
@@ -179,8 +188,8 @@ def sharded(docs: DataFrame, shards: int = SHARDS, target_bytes: int | None = No
         shards = max(1, -(-(rows.agg(F.sum("size")).first()[0] or 0) // target_bytes))
     placed = rows.withColumn("shard", shard_of(grow(rows, shards))).withColumn("range", F.substring("digest", 1, 3))
     # Numbers within a shard: ranges of the text's hash are counted first, so no shard is numbered in one task, and rows
-    # of one text are spread further by their own hash.
-    placed = placed.withColumn("part", F.shiftright("spread", 57).cast("int"))
+    # of one text, or that repeat one another, are spread further by their own hash.
+    placed = placed.withColumn("part", F.col("spread").bitwiseAND(F.lit(127)).cast("int"))
     counts = placed.groupBy("shard", "range", "part").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("shard").orderBy("range", "part").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("shard", "range", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
