@@ -412,12 +412,12 @@ def prediction_pairs(d: Inputs) -> DataFrame:
 
 def retrain_runs(d: Inputs) -> DataFrame:
     _, runs = jobs.retrain(d.labelled, d.calendar, STATES, seq=1)
-    return runs.select("series_id", "model_type", "val_mase", "stage")
+    return rounded(runs.select("series_id", "model_type", "val_mase", "stage"), MODEL_DIGITS)
 
 
 def score_next_weeks(d: Inputs) -> DataFrame:
     fitted = d.fitted().stored(d.spark, work_path(d.spark, "models"))
-    return jobs.score_next_weeks(d.stored, d.calendar, STATES, fitted, "v1")
+    return rounded(jobs.score_next_weeks(d.stored, d.calendar, STATES, fitted, "v1"), MODEL_DIGITS)
 
 
 def stored_scoring(d: Inputs) -> DataFrame:

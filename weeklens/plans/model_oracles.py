@@ -213,7 +213,7 @@ _SLOPE = "(leftover[e[1]::INT] - list_inner_product(g[e[1]::INT], acc) + g[e[1]:
 Z90 = NormalDist().inv_cdf(0.9)
 
 
-def _parts(weeks: str) -> str:
+def parts(weeks: str) -> str:
     """Trend, yearly and holiday parts of weeks (series_id, week_start, ...), with their parameters."""
     return f"""
         SELECT *, list_inner_product(x[1:{_TREND}], coef[1:{_TREND}]) AS trend,
@@ -224,13 +224,13 @@ def _parts(weeks: str) -> str:
               LEFT JOIN add_holidays h ON h.state = p.state AND h.week = w.week_start)"""
 
 
-def _ahead(parts: str) -> str:
+def ahead(source: str) -> str:
     half = f"{Z90!r} * sqrt(sigma2 + 2.0 * {_KNOTS} / 3.0 * size * size * pow(ahead, 3))"
     point = "trend + yearly + holidays"
     return f"""
         SELECT series_id, 'additive' AS model_type, CAST(horizon AS INTEGER) AS horizon, week_start AS forecast_date,
                round(greatest(0.0, {point}), 3) AS predicted_value, round(greatest(0.0, {point} - {half}), 3) AS lower_bound,
-               round(greatest(0.0, {point} + {half}), 3) AS upper_bound FROM {parts}"""
+               round(greatest(0.0, {point} + {half}), 3) AS upper_bound FROM {source}"""
 
 
 TABLES |= {
@@ -293,12 +293,12 @@ TABLES |= {
         SELECT series_id, state, first_week, n, names, h AS horizon, CAST(last_week + 7 * CAST(h AS INTEGER) AS DATE) AS week_start
         FROM (SELECT series_id, max(week_start) AS last_week FROM add_train GROUP BY series_id) JOIN add_params USING (series_id), range(1, {TEST_WEEKS} + 1) r(h)""",
     "add_all": "SELECT p.series_id, p.first_week, p.n, p.names, 0 AS horizon, l.week_start, l.split FROM labelled l JOIN add_params p ON p.series_id = l.series_id",
-    "add_next_parts": _parts("add_next"),
-    "add_all_parts": _parts("add_all"),
+    "add_next_parts": parts("add_next"),
+    "add_all_parts": parts("add_all"),
     "add_bent": f"""
         SELECT * REPLACE (list_transform(coef, lambda v, i: CASE WHEN i BETWEEN 3 AND {_TREND} THEN (CASE WHEN i % 2 = 0 THEN -8.0 ELSE 10.0 END) * i ELSE v END) AS coef)
         FROM add_params""",
-    "add_bent_parts": _parts("add_next").replace("FROM add_params)", "FROM add_bent)"),
+    "add_bent_parts": parts("add_next").replace("FROM add_params)", "FROM add_bent)"),
 }
 
 _FORECAST = "series_id, model_type, horizon, forecast_date, predicted_value, lower_bound, upper_bound"
@@ -306,7 +306,7 @@ _FORECAST = "series_id, model_type, horizon, forecast_date, predicted_value, low
 TABLES |= {
     "model_fc": f"""
         SELECT {_FORECAST} FROM sar_fc WHERE scope = 'known'
-        UNION ALL {_ahead("add_next_parts")}
+        UNION ALL {ahead("add_next_parts")}
         UNION ALL
         SELECT series_id, 'window', CAST(h AS INTEGER), CAST(last_week + 7 * CAST(h AS INTEGER) AS DATE), v, v * (1 - 0.12::DOUBLE), v * (1 + 0.12::DOUBLE)
         FROM (SELECT *, greatest(0.0, x[-1] * spread + data_min) AS v FROM win_ahead WHERE h > 0)""",
@@ -348,9 +348,9 @@ STATEMENTS: dict[str, tuple[str, str]] = {
     "additive_fit": (
         """SELECT series_id, n, CAST(pos AS INTEGER) AS term, round(coef[pos], 3) AS coef, round(sigma2, 3) AS sigma2
            FROM (SELECT *, unnest(range(1, len(coef) + 1)) AS pos FROM add_params)""", "coef sigma2"),
-    "additive_forecast": (_ahead("add_next_parts"), "predicted_value lower_bound upper_bound"),
-    "additive_bounds": (_ahead("add_bent_parts"), "predicted_value lower_bound upper_bound"),
-    "additive_in_sample": (_ahead("add_all_parts") + " WHERE split <> 'test'", "predicted_value lower_bound upper_bound"),
+    "additive_forecast": (ahead("add_next_parts"), "predicted_value lower_bound upper_bound"),
+    "additive_bounds": (ahead("add_bent_parts"), "predicted_value lower_bound upper_bound"),
+    "additive_in_sample": (ahead("add_all_parts") + " WHERE split <> 'test'", "predicted_value lower_bound upper_bound"),
     "additive_components": (
         """SELECT series_id, week_start, round(trend, 3) AS trend, round(yearly, 3) AS yearly, round(holidays, 3) AS holidays,
                   round(trend + yearly + holidays, 3) AS fitted FROM add_all_parts""", "trend yearly holidays fitted"),

@@ -237,7 +237,8 @@ TABLES: dict[str, str] = {
     "sar_sums": """
         SELECT series_id, scope, count(*) AS n_used, sum(w1 * w1) AS s11, sum(w52 * w52) AS sss, sum(w1 * w52) AS s1s,
                sum(w1 * w) AS s1w, sum(w52 * w) AS ssw, sum(w * w) AS sww
-        FROM (SELECT 'known' AS scope, * FROM sar_rows WHERE split <> 'test' UNION ALL SELECT 'all', * FROM sar_rows)
+        FROM (SELECT 'known' AS scope, * FROM sar_rows WHERE split <> 'test' UNION ALL SELECT 'all', * FROM sar_rows
+              UNION ALL SELECT 'train', * FROM sar_rows WHERE split = 'train')
         GROUP BY ALL""",
     "sar_coef": """
         SELECT *, (s1w * sss - ssw * s1s) / nullif(s11 * sss - s1s * s1s, 0) AS phi1,
@@ -252,7 +253,8 @@ TABLES: dict[str, str] = {
     "sar_state": """
         SELECT scope, series_id, max(week_start) AS last_week, list(y ORDER BY week_start) AS ys, list(w ORDER BY week_start) AS ws
         FROM (SELECT *, row_number() OVER (PARTITION BY scope, series_id ORDER BY week_start DESC) AS back
-              FROM (SELECT 'known' AS scope, * FROM changes WHERE split <> 'test' UNION ALL SELECT 'all', * FROM changes))
+              FROM (SELECT 'known' AS scope, * FROM changes WHERE split <> 'test' UNION ALL SELECT 'all', * FROM changes
+                    UNION ALL SELECT 'train', * FROM changes WHERE split = 'train'))
         WHERE back <= 53 GROUP BY ALL""",
     "sar_steps": """
         SELECT scope, series_id, last_week, phi1, phi_s, sigma2, 0 AS h, ys, ws,
@@ -265,7 +267,7 @@ TABLES: dict[str, str] = {
                list_append(ys, ys[-1] + ys[-52] - ys[-53] + nw), list_append(ws, nw),
                list_append(ps, ps[-1] + ps[-52] - ps[-53] + nu), list_append(us, nu), spread + ps[-1] * ps[-1]
         FROM (SELECT *, phi1 * ws[-1] + phi_s * ws[-52] AS nw, phi1 * us[-1] + phi_s * us[-52] AS nu
-              FROM sar_steps WHERE h < 13)""",
+              FROM sar_steps WHERE h < CASE scope WHEN 'train' THEN 60 ELSE 13 END)""",
     "sar_fc": f"""
         SELECT scope, series_id, 'sar' AS model_type, CAST(h AS INTEGER) AS horizon,
                CAST(last_week + 7 * CAST(h AS INTEGER) AS DATE) AS forecast_date, greatest(0.0, ys[-1]) AS predicted_value,
@@ -662,8 +664,93 @@ _STATEMENTS: dict[str, tuple[str, str]] = {
 }
 
 
+def _renamed(tables: dict[str, str], names: dict[str, str], changes: dict[str, str]) -> dict[str, str]:
+    """Copies of tables under other names, with parts of their text changed: the same model on other weeks."""
+    out = {}
+    for name, text in tables.items():
+        for old, new in changes.items():
+            text = text.replace(old, new)
+        for old, new in names.items():
+            name, text = name.replace(old, new), re.sub(rf"\b{old}", new, text)
+        out[name] = text
+    return out
+
+
+_MODELS = model_oracles.TABLES
+_ADDITIVE = {k: v for k, v in _MODELS.items() if k.startswith("add_")}
+_WINDOW = {k: v for k, v in _MODELS.items() if k.startswith("win_")}
+_CHOSEN = "penalty = (SELECT penalty FROM win_path WHERE chosen)"
+
+#: The models fitted on the training weeks, forecasting the validation weeks, and refitted on both before the test weeks.
+_JOBS = {
+    **_renamed(_ADDITIVE, {"add_": "adt_"}, {"split <> 'test'": "split = 'train'", f"range(1, {TEST_WEEKS} + 1)": "range(1, 61)"}),
+    "win_tried": f"""
+        SELECT series_id, last_week, data_min, CASE WHEN data_max = data_min THEN 1 ELSE data_max - data_min END AS spread, a, weights, 0 AS h, x
+        FROM (SELECT series_id, max(week_start) AS last_week, list(scaled ORDER BY week_start) AS x FROM scaled WHERE split = 'train' GROUP BY series_id)
+             JOIN scaler USING (series_id) JOIN win_models ON {_CHOSEN}
+        UNION ALL
+        SELECT series_id, last_week, data_min, spread, a, weights, h + 1, list_append(x, a + list_inner_product(x[len(x) - 51:len(x)], weights))
+        FROM win_tried WHERE h < 60""",
+    "tried": f"""
+        SELECT series_id, model_type AS model, forecast_date, predicted_value FROM sar_fc WHERE scope = 'train'
+        UNION ALL SELECT series_id, 'additive', week_start, greatest(0.0, trend + yearly + holidays) FROM adt_next_parts
+        UNION ALL SELECT series_id, 'window', CAST(last_week + 7 * CAST(h AS INTEGER) AS DATE), greatest(0.0, x[-1] * spread + data_min) FROM win_tried WHERE h > 0""",
+    "tried_scores": """
+        SELECT series_id, model, mae / nullif(naive_mae, 0) AS val_mase
+        FROM (SELECT series_id, model, avg(abs(predicted_value - total_sales)) AS mae
+              FROM tried JOIN labelled USING (series_id) WHERE split = 'val' AND week_start = forecast_date GROUP BY ALL) JOIN naive USING (series_id)""",
+    "joined": "SELECT * REPLACE ('train' AS split) FROM known",
+    "joined_scaler": TABLES["scaler"].replace("FROM train", "FROM joined"),
+    "joined_scaled": TABLES["scaled"].replace("FROM labelled", "FROM joined").replace("JOIN scaler", "JOIN joined_scaler"),
+    "joined_naive": TABLES["naive"].replace("FROM train", "FROM joined"),
+    **_renamed(
+        {k: v for k, v in _WINDOW.items() if k not in ("win_path", "win_missed")}, {"win_": "wij_"},
+        {"FROM scaled": "FROM joined_scaled", "JOIN scaler": "JOIN joined_scaler", "penalty = 1e-4": _CHOSEN.replace("win_", "WIN_")},
+    ),
+    "run_pairs": """
+        SELECT series_id, 'sar' AS model, forecast_date, predicted_value FROM sar_fc WHERE scope = 'known'
+        UNION ALL SELECT series_id, 'additive', week_start, greatest(0.0, trend + yearly + holidays) FROM add_next_parts
+        UNION ALL SELECT series_id, 'window', CAST(last_week + 7 * CAST(h AS INTEGER) AS DATE), greatest(0.0, x[-1] * spread + data_min) FROM wij_ahead WHERE h > 0
+        UNION ALL SELECT series_id, model_type, forecast_date, predicted_value FROM pairs WHERE model_type = 'seasonal_naive'""",
+    "run_results": """
+        SELECT series_id, model, mae / nullif(naive_mae, 0) AS mase, rmse, mae, me
+        FROM (SELECT series_id, model, avg(abs(e)) AS mae, sqrt(avg(e * e)) AS rmse, avg(e) AS me
+              FROM (SELECT p.series_id, model, predicted_value - total_sales AS e
+                    FROM run_pairs p JOIN test t ON t.series_id = p.series_id AND t.week_start = p.forecast_date) GROUP BY ALL)
+             JOIN joined_naive USING (series_id)""",
+    # Models of the known weeks, asked for the weeks after the last one.
+    "sal_coef": "SELECT series_id, phi1, phi_s, sigma2 FROM sar_all WHERE scope = 'known'",
+    "sal_steps": TABLES["sar_steps"].replace("FROM sar_state JOIN sar_all USING (scope, series_id)", "FROM sar_state JOIN sal_coef USING (series_id) WHERE scope = 'all'")
+    .replace("FROM sar_steps", "FROM sal_steps"),
+    "sal_fc": TABLES["sar_fc"].replace("FROM sar_steps", "FROM sal_steps"),
+    "add_after": f"""
+        SELECT p.series_id, p.first_week, p.n, p.names, h AS horizon, CAST(last_week + 7 * CAST(h AS INTEGER) AS DATE) AS week_start
+        FROM (SELECT series_id, max(week_start) AS last_week FROM labelled GROUP BY series_id) l JOIN add_params p ON p.series_id = l.series_id
+             JOIN range(1, {TEST_WEEKS} + 1) r(h) ON true""",
+    "add_after_parts": model_oracles.parts("add_after"),
+    "win_after": _WINDOW["win_ahead"].replace("win_ahead", "win_after").replace(
+        "FROM win_arrays", "FROM (SELECT series_id, max(week_start) AS last_week, list(scaled ORDER BY week_start) AS x FROM scaled GROUP BY series_id)"),
+    "next_fc": f"""
+        SELECT {_FORECAST} FROM sal_fc
+        UNION ALL {model_oracles.ahead("add_after_parts")}
+        UNION ALL
+        SELECT series_id, 'window', CAST(h AS INTEGER), CAST(last_week + 7 * CAST(h AS INTEGER) AS DATE), v, v * (1 - 0.12::DOUBLE), v * (1 + 0.12::DOUBLE)
+        FROM (SELECT *, greatest(0.0, x[-1] * spread + data_min) AS v FROM win_after WHERE h > 0)""",
+}
+_JOBS = {k: v.replace("WIN_", "win_") for k, v in _JOBS.items()}
+
+_JOB_STATEMENTS = {
+    "retrain_runs": ("SELECT series_id, model AS model_type, round(val_mase, 3) AS val_mase, 'candidate' AS stage FROM tried_scores", "val_mase"),
+    "full_run": (
+        """SELECT series_id, model, round_even(mase, 4) AS "MASE", round_even(rmse, 4) AS "RMSE", round_even(mae, 4) AS "MAE",
+                  round_even(me, 4) AS "ME" FROM run_results""", "MASE RMSE MAE ME"),
+    "score_next_weeks": (
+        """SELECT series_id, model_type, horizon, forecast_date, round(predicted_value, 3) AS predicted_value, round(lower_bound, 3) AS lower_bound,
+                  round(upper_bound, 3) AS upper_bound, 'v1' AS model_version FROM next_fc""", "predicted_value lower_bound upper_bound"),
+}
+
 #: Common tables of this module and of the models' one, which builds on them.
-_EVERY = TABLES | model_oracles.TABLES
+_EVERY = TABLES | _MODELS | _JOBS
 
 
 def _needed(statement: str) -> list[str]:
@@ -686,4 +773,4 @@ def _compose(statement: str, doubles: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: _compose(*parts) for name, parts in (_STATEMENTS | model_oracles.STATEMENTS).items()}
+    return {name: _compose(*parts) for name, parts in (_STATEMENTS | model_oracles.STATEMENTS | _JOB_STATEMENTS).items()}
