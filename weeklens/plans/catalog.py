@@ -651,6 +651,7 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     # exploration
     "decompose_ma": lambda d: d.parts,
     "decompose_stl": lambda d: decompose.decompose_stl(d.series),
+    "decompose_stl_plain": lambda d: decompose.decompose_stl(d.series, robust=False),
     "residual_stats": lambda d: decompose.residual_stats(d.parts),
     "control_limits": demand_limits,
     "anomalies": lambda d: d.anomalies,

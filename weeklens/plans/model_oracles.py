@@ -301,6 +301,55 @@ TABLES |= {
     "add_bent_parts": parts("add_next").replace("FROM add_params)", "FROM add_bent)"),
 }
 
+# -- STL without robustness weights: local lines are fixed weights, a pass is a product with them ---
+
+_FIT = "list_transform({fits}, lambda f: list_inner_product(f.h, {values}[f.l + 1:f.l + len(f.h)]))"
+_MEAN = "list_transform(range(1, len({0}) - {1} + 2), lambda i: list_sum({0}[i:i + {1} - 1]) / {1})"
+
+TABLES |= {
+    "stl_series": """
+        SELECT series_id, count(*) AS n, list(CAST(total_sales AS DOUBLE) ORDER BY week_start) AS y, list(week_start ORDER BY week_start) AS weeks
+        FROM dense GROUP BY series_id""",
+    "stl_sizes": "SELECT DISTINCT n FROM stl_series",
+    "stl_places": """
+        SELECT n, 'low' AS kind, n AS size, 53 AS reach, unnest(range(0, n)) AS pos FROM stl_sizes
+        UNION ALL SELECT n, 'trend', n, 101, unnest(range(0, n)) FROM stl_sizes
+        UNION ALL SELECT n, 'long', n // 52 + 1, 7, unnest(range(-1, n // 52 + 2)) FROM stl_sizes
+        UNION ALL SELECT n, 'short', n // 52, 7, unnest(range(-1, n // 52 + 1)) FROM stl_sizes""",
+    "stl_near": """
+        SELECT n, kind, size, pos, l, list_transform(range(least(reach, size)), lambda j: CAST(l + j - pos AS DOUBLE)) AS o, reach
+        FROM (SELECT *, greatest(0, least(pos - least(reach, size) // 2, size - least(reach, size))) AS l FROM stl_places)""",
+    "stl_tricube": """
+        SELECT *, list_transform(o, lambda v: CASE WHEN abs(v) / far <= 0.001 THEN 1 WHEN abs(v) / far <= 0.999 THEN pow(1 - pow(abs(v) / far, 3), 3) ELSE 0 END) AS raw
+        FROM (SELECT *, greatest(1e-12, list_max(list_transform(o, lambda v: abs(v))) + CASE WHEN reach > size THEN (reach - size) // 2 ELSE 0 END) AS far FROM stl_near)""",
+    "stl_shares": """
+        SELECT *, list_inner_product(w, o) AS mx FROM (SELECT *, list_transform(raw, lambda v: v / list_sum(raw)) AS w FROM stl_tricube)""",
+    "stl_fits": """
+        SELECT n, kind, pos, l, list_transform(w, lambda v, i: v * (1 - CASE WHEN sqrt(spread) > 0.001 * (size - 1) THEN mx * (o[i] - mx) / spread ELSE 0 END)) AS h
+        FROM (SELECT *, list_inner_product(w, list_transform(o, lambda v: (v - mx) * (v - mx))) AS spread FROM stl_shares)""",
+    "stl_hats": """
+        SELECT n, list({'l': l, 'h': h} ORDER BY pos) FILTER (kind = 'low') AS low, list({'l': l, 'h': h} ORDER BY pos) FILTER (kind = 'trend') AS slow,
+               list({'l': l, 'h': h} ORDER BY pos) FILTER (kind = 'long') AS longer, list({'l': l, 'h': h} ORDER BY pos) FILTER (kind = 'short') AS shorter
+        FROM stl_fits GROUP BY n""",
+    "stl_rounds": f"""
+        SELECT series_id, n, y, 0 AS k, list_transform(y, lambda v: 0::DOUBLE) AS trend, list_transform(y, lambda v: 0::DOUBLE) AS seasonal FROM stl_series
+        UNION ALL
+        SELECT series_id, n, y, k + 1, {_FIT.format(fits="slow", values="rest")}, seasonal
+        FROM (SELECT *, list_transform(y, lambda v, i: v - seasonal[i]) AS rest
+              FROM (SELECT series_id, n, y, k, slow, list_transform({_FIT.format(fits="low", values="third")}, lambda v, i: cycle[i + 52] - v) AS seasonal
+                    FROM (SELECT *, {_MEAN.format("second", 3)} AS third
+                          FROM (SELECT *, {_MEAN.format("once", 52)} AS second
+                                FROM (SELECT *, {_MEAN.format("cycle", 52)} AS once
+                                      FROM (SELECT *, list_transform(range(n + 104), lambda q: CASE WHEN (n - q % 52 + 51) // 52 > n // 52
+                                                THEN list_inner_product(longer[q // 52 + 1].h, list_transform(range(len(longer[q // 52 + 1].h)), lambda j: left_over[q % 52 + 52 * (longer[q // 52 + 1].l + j) + 1]))
+                                                ELSE list_inner_product(shorter[q // 52 + 1].h, list_transform(range(len(shorter[q // 52 + 1].h)), lambda j: left_over[q % 52 + 52 * (shorter[q // 52 + 1].l + j) + 1])) END) AS cycle
+                                            FROM (SELECT r.*, h.low, h.slow, h.longer, h.shorter, list_transform(r.y, lambda v, i: v - r.trend[i]) AS left_over
+                                                  FROM stl_rounds r JOIN stl_hats h ON h.n = r.n WHERE r.k < 5)))))))""",
+    "stl_parts": """
+        SELECT series_id, weeks[i] AS week_start, r.y[i] AS observed, trend[i] AS trend, seasonal[i] AS seasonal, r.y[i] - trend[i] - seasonal[i] AS residual
+        FROM stl_rounds r JOIN stl_series s USING (series_id), unnest(range(1, r.n + 1)) AS u(i) WHERE k = 5""",
+}
+
 _FORECAST = "series_id, model_type, horizon, forecast_date, predicted_value, lower_bound, upper_bound"
 
 TABLES |= {
@@ -357,6 +406,8 @@ STATEMENTS: dict[str, tuple[str, str]] = {
     "stored_models": ("SELECT * FROM model_fc_rounded", "predicted_value lower_bound upper_bound"),
     "weekly_scoring": (
         "SELECT *, 'v1' AS model_version, DATE '2001-08-06' AS generated_at FROM model_fc_rounded", "predicted_value lower_bound upper_bound"),
+    "decompose_stl_plain": (
+        "SELECT *, CAST(NULL AS VARCHAR) AS error FROM stl_parts", "observed trend seasonal residual"),
     "adf_test": (
         """SELECT series_id, t AS test_stat, p AS p_value, CAST(l AS INTEGER) AS lags_used, CAST(o AS INTEGER) AS n_used,
                   CASE WHEN p < 0.05 THEN 'STATIONARY' ELSE 'NON-STATIONARY' END AS status,
