@@ -232,3 +232,13 @@ def test_drift_stream_keeps_a_bounded_state(spark, tmp_path):
     assert [(r.forecast_date, r.error) for r in left] == [
         (week(4), 2.0), (week(5), 2.0), (week(6), 3.0), (week(7), 3.0), (week(8), 3.0), (week(9), 3.0)
     ]
+
+
+def test_replay_in_pieces_stays_in_the_jvm(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, k, "m", float(v)) for k, n in (("a", 25), ("b", 7), ("c", 1)) for i, v in enumerate(rng.uniform(0.5, 1.5, n))]
+    runs = registry.candidate_runs(spark.createDataFrame(rows, "seq bigint, series_id string, model_type string, val_mase double"))
+    whole = registry.replay(runs)
+    assert "Python" not in whole._jdf.queryExecution().toString()
+    assert sorted(map(str, registry.replay(runs, piece=4).collect())) == sorted(map(str, whole.collect()))
+    assert registry.replay(runs.limit(0)).count() == 0

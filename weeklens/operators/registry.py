@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from weeklens.config import ROLLBACK_DEGRADATION
+from weeklens.config import ROLLBACK_DEGRADATION, work_path
+from weeklens.functions.arrays import let
 from weeklens.functions.checks import require_columns
 from weeklens.functions.numeric import null_if_nan
 from weeklens.sources.files import path_exists
@@ -30,10 +30,6 @@ RUN_SCHEMA = T.StructType(
         T.StructField("stage", T.StringType()),
     ]
 )
-DECIDED_SCHEMA = (
-    "seq bigint, series_id string, model_type string, run_id string, val_mase double, "
-    "promoted boolean, champion_run string, champion_mase double, reason string"
-)
 
 
 def run_id(*parts: str) -> Column:
@@ -128,52 +124,70 @@ def next_champions(current: DataFrame, decided: DataFrame) -> DataFrame:
     return new.unionByName(kept.select(*KEY, "run_id", "val_mase"))
 
 
-def replay(runs: DataFrame) -> DataFrame:
+#: Runs of a key that one fold walks; longer histories take a round for each such piece.
+PIECE = 1000
+
+
+def _walked(pieces: DataFrame) -> DataFrame:
+    """(key, decided, champion) from (key, runs, champion): a fold over the runs in order, the champion as its state."""
+
+    def step(state: Column, run: Column) -> Column:
+        def decide(champion: Column) -> Column:
+            reason = decision_reason(run["val_mase"], champion["run_id"], champion["val_mase"])
+
+            def record(why: Column) -> Column:
+                promoted = why.isin(*PROMOTING)
+                row = F.struct(
+                    run["seq"].alias("seq"), run["run_id"].alias("run_id"), run["val_mase"].alias("val_mase"), promoted.alias("promoted"),
+                    champion["run_id"].alias("champion_run"), champion["val_mase"].alias("champion_mase"), why.alias("reason"),
+                )
+                after = F.struct(
+                    F.when(promoted, run["run_id"]).otherwise(champion["run_id"]).alias("run_id"),
+                    F.when(promoted, run["val_mase"]).otherwise(champion["val_mase"]).alias("val_mase"),
+                )
+                return F.struct(after.alias("champion"), F.concat(state["decided"], F.array(row)).alias("decided"))
+
+            return let(reason, record)
+
+        return let(state["champion"], decide)
+
+    rows = "array<struct<seq:bigint,run_id:string,val_mase:double,promoted:boolean,champion_run:string,champion_mase:double,reason:string>>"
+    zero = F.struct(F.col("champion"), F.array().cast(rows).alias("decided"))
+    return pieces.withColumn("end", F.aggregate("runs", zero, step)).select(*KEY, "end.decided", "end.champion")
+
+
+def replay(runs: DataFrame, piece: int = PIECE) -> DataFrame:
     """Decisions of a whole run history in sequence: each run meets the champion its predecessors left.
 
-    Each decision depends on the one before, so a key is walked in order. Rows arrive sorted and stream
-    through with one champion as state; no key is ever held in memory, however long its history. This is the
-    audit of past runs; jobs decide new runs by ``promote``. Every run gets a decision, also one without a score.
+    Each decision depends on the one before, so a key is folded in order, ``piece`` runs at a time: a round folds the next
+    piece of every key that has one, and hands the champions on as a written table, so no key is ever held whole. This is
+    the audit of past runs; jobs decide new runs by ``promote``. Every run gets a decision, also one without a score.
     """
-
-    def reason_of(mase: float | None, champion: tuple[str, float | None] | None) -> str:
-        if champion is None:
-            return FIRST
-        if mase is None:
-            return UNSCORED
-        if champion[1] is None:
-            return UNSCORED_CHAMPION
-        return WORSE if (mase - champion[1]) / (champion[1] + _TINY) > ROLLBACK_DEGRADATION else HOLDS
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key: tuple | None = None
-        champion: tuple[str, float | None] | None = None
-        for batch in batches:
-            reasons, before_run, before_mase = [], [], []
-            for series, model, run, mase in zip(
-                batch["series_id"], batch["model_type"], batch["run_id"], batch["val_mase"]
-            ):
-                mase = None if mase is None or mase != mase else mase
-                if (series, model) != key:
-                    key, champion = (series, model), None
-                before_run.append(champion[0] if champion else None)
-                before_mase.append(champion[1] if champion else None)
-                reasons.append(reason_of(mase, champion))
-                if reasons[-1] in PROMOTING:
-                    champion = (run, mase)
-            promoted = [r in PROMOTING for r in reasons]
-            scores = pd.Series(before_mase, dtype=object)
-            yield batch.assign(
-                val_mase=batch["val_mase"].astype(object).where(batch["val_mase"].notna(), None),
-                promoted=promoted, champion_run=before_run, champion_mase=scores.values, reason=reasons,
-            )
-
-    ordered = (
-        runs.select("seq", *KEY, "run_id", null_if_nan(F.col("val_mase")).alias("val_mase"))
-        .repartition(*KEY)
-        .sortWithinPartitions(*KEY, "seq")
+    spark = runs.sparkSession
+    order = Window.partitionBy(*KEY).orderBy("seq", "run_id")
+    numbered = runs.select("seq", *KEY, "run_id", null_if_nan(F.col("val_mase")).alias("val_mase")).withColumn(
+        "piece", F.floor((F.row_number().over(order) - 1) / piece)
+    )
+    gathered = numbered.groupBy(*KEY, "piece").agg(F.array_sort(F.collect_list(F.struct("seq", "run_id", "val_mase"))).alias("runs"))
+    nobody = F.struct(F.lit(None).cast("string").alias("run_id"), F.lit(None).cast("double").alias("val_mase"))
+    flat = lambda walked: walked.select(*KEY, F.explode("decided").alias("d")).select(
+        "d.seq", *KEY, "d.run_id", "d.val_mase", "d.promoted", "d.champion_run", "d.champion_mase", "d.reason"
     )
-    return ordered.mapInPandas(walk, DECIDED_SCHEMA)
+
+    def written(frame: DataFrame, name: str) -> DataFrame:
+        path = work_path(spark, name)
+        frame.write.parquet(path)
+        return spark.read.schema(frame.schema).parquet(path)
+
+    pieces = written(gathered, "run_pieces")
+    last = pieces.agg(F.max("piece")).first()[0] or 0
+    walked = _walked(pieces.where("piece = 0").withColumn("champion", nobody))
+    decided = []
+    for turn in range(1, last + 1):
+        walked = written(walked, "run_decisions")
+        decided.append(flat(walked))
+        walked = _walked(pieces.where(F.col("piece") == turn).join(walked.select(*KEY, "champion"), list(KEY)))
+    return reduce(DataFrame.unionByName, [*decided, flat(walked)])
 
 
 def stages(decided: DataFrame) -> DataFrame:
