@@ -1,0 +1,76 @@
+"""A keyed result that a stream writes batch by batch, folded together now and then so that reads stay small."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: So many batches are folded into one base.
+EVERY = 10
+
+
+class Batches:
+    """Folders ``batch=N`` with the rows that batch N has changed, and ``base=N`` with the newest row of each key up to N.
+
+    A base counts once its write has ended, so a reader sees the one before it or the new one. What neither the newest
+    base nor the one before it needs is removed, so the number of folders is bounded by ``every`` and not by the batches.
+    """
+
+    def __init__(self, path: str, keys: Iterable[str], every: int = EVERY):
+        self.path, self.keys, self.every = path, tuple(keys), every
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        """A repeated batch overwrites its own folder, so a restart does not double rows."""
+        batch.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        if (batch_id + 1) % self.every == 0:
+            self._fold(batch.sparkSession, batch_id)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The newest row of each key."""
+        bases, batches = self._finished(spark)
+        if not bases and not batches:
+            raise FileNotFoundError(f"no finished batch in {self.path}")
+        return self._newest(spark, bases[-1] if bases else None, batches).drop("batch")
+
+    def _folders(self, spark: SparkSession):
+        root = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        return system, [s.getPath() for s in system.listStatus(root)] if system.exists(root) else []
+
+    def _finished(self, spark: SparkSession) -> tuple[list[int], list[int]]:
+        """Numbers of the finished bases and batches, in order."""
+        system, folders = self._folders(spark)
+        out: dict[str, list[int]] = {"base": [], "batch": []}
+        for folder in folders:
+            kind, _, number = folder.getName().partition("=")
+            if kind in out and system.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
+                out[kind].append(int(number))
+        return sorted(out["base"]), sorted(out["batch"])
+
+    def _newest(self, spark: SparkSession, base: int | None, batches: list[int]) -> DataFrame:
+        after = [b for b in batches if base is None or b > base]
+        parts = [] if base is None else [spark.read.parquet(f"{self.path}/base={base}")]
+        if after:
+            folders = [f"{self.path}/batch={b}" for b in after]
+            parts.append(spark.read.option("basePath", self.path).parquet(*folders).withColumn("batch", F.col("batch").cast("bigint")))
+        rows = reduce(DataFrame.unionByName, parts)
+        rest = [c for c in rows.columns if c not in (*self.keys, "batch")]
+        newest = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*rest, "batch"), "batch").alias("s"))
+        return newest.select(*self.keys, *[f"s.{c}" for c in rest], "s.batch")
+
+    def _fold(self, spark: SparkSession, batch_id: int) -> None:
+        bases, batches = self._finished(spark)
+        if bases and bases[-1] >= batch_id:
+            return
+        before = bases[-1] if bases else None
+        rows = self._newest(spark, before, [b for b in batches if b <= batch_id])
+        rows.write.mode("overwrite").parquet(f"{self.path}/base={batch_id}")
+        system, folders = self._folders(spark)
+        for folder in folders:
+            kind, _, number = folder.getName().partition("=")
+            unused = before is not None and (kind == "base" and int(number) < before or kind == "batch" and int(number) <= before)
+            if unused:
+                system.delete(folder, True)

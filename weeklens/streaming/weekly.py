@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from weeklens.operators import monitoring
 from weeklens.sources.files import path_exists
+from weeklens.streaming.compaction import Batches
 
 WEEK_OFFSET = "4 days"  # the epoch is a Thursday, weeks start on Monday
 
@@ -25,12 +24,8 @@ def weekly_totals(events: DataFrame, key: str, value: str, lateness: str = "7 da
     )
 
 
-def _batch_writer(path: str) -> Callable[[DataFrame, int], None]:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        # A repeated batch overwrites its own folder, so a restart does not double rows.
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    return write
+def _totals(sink: str, key: str) -> Batches:
+    return Batches(sink, ("week_start", key))
 
 
 def drain_weekly_totals(stream: DataFrame, key: str, value: str, sink: str, checkpoint: str) -> None:
@@ -38,7 +33,7 @@ def drain_weekly_totals(stream: DataFrame, key: str, value: str, sink: str, chec
     query = (
         weekly_totals(stream, key, value)
         .writeStream.outputMode("update")
-        .foreachBatch(_batch_writer(sink))
+        .foreachBatch(_totals(sink, key).write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -47,15 +42,8 @@ def drain_weekly_totals(stream: DataFrame, key: str, value: str, sink: str, chec
 
 
 def read_weekly_totals(spark: SparkSession, sink: str, key: str) -> DataFrame:
-    """Newest state of each window among all batches."""
-    newest = F.max_by(F.struct("n_events", "total"), "batch")
-    return (
-        spark.read.option("basePath", sink)
-        .parquet(sink)
-        .groupBy("week_start", key)
-        .agg(newest.alias("s"))
-        .select("week_start", key, "s.n_events", "s.total")
-    )
+    """Newest state of each window: from the last base and the batches after it."""
+    return _totals(sink, key).read(spark)
 
 
 def drain_drift_monitor(errors: DataFrame, state_path: str, checks_path: str, checkpoint: str, weeks: int = 12) -> None:
@@ -81,7 +69,7 @@ def drain_drift_monitor(errors: DataFrame, state_path: str, checks_path: str, ch
         stored = spark.read.parquet(after)
         touched = F.max("_batch").over(Window.partitionBy(*monitoring.KEY)) == batch_id
         again = stored.withColumn("_touched", touched).where("_touched").drop("_touched", "_batch")
-        monitoring.drift_checks(again).write.mode("overwrite").parquet(f"{checks_path}/batch={batch_id}")
+        Batches(checks_path, monitoring.KEY).write(monitoring.drift_checks(again), batch_id)
 
     query = (
         errors.writeStream.foreachBatch(check)
@@ -93,8 +81,5 @@ def drain_drift_monitor(errors: DataFrame, state_path: str, checks_path: str, ch
 
 
 def read_checks(spark: SparkSession, checks_path: str) -> DataFrame:
-    """Newest check per series and model."""
-    stored = spark.read.option("basePath", checks_path).parquet(checks_path)
-    rest = [c for c in stored.columns if c not in (*monitoring.KEY, "batch")]
-    newest = F.max_by(F.struct(*rest), "batch")
-    return stored.groupBy(*monitoring.KEY).agg(newest.alias("s")).select(*monitoring.KEY, *[f"s.{c}" for c in rest])
+    """Newest check per series and model: from the last base and the batches after it."""
+    return Batches(checks_path, monitoring.KEY).read(spark)
