@@ -479,8 +479,7 @@ def full_run(d: Inputs) -> DataFrame:
 
 
 def proxy_checks(d: Inputs) -> DataFrame:
-    latest = store.latest_forecasts(d.forecast_store().scan())
-    return monitoring.drift_checks(monitoring.proxy_history(latest, 8))
+    return monitoring.drift_checks(monitoring.proxy_history(d.forecast_store().latest(), 8))
 
 
 def drift_job_alerts(d: Inputs) -> DataFrame:
@@ -578,7 +577,8 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "store_export": store_export,
     "store_series": lambda d: d.forecast_store().all_series(),
     "latest_version": lambda d: d.forecast_store().latest_version(),
-    "latest_forecasts": lambda d: _dates(store.latest_forecasts(d.forecast_store().scan())),
+    "latest_forecasts": lambda d: _dates(d.forecast_store().latest()),
+    "latest_forecasts_between": lambda d: _dates(d.forecast_store().latest("2001-08-20", "2001-10-15")),
     "params_scan": params_scan,
     "scaler_scan": scaler_scan,
     "results_csv": results_csv,
@@ -597,7 +597,7 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "requested_series": lambda d: weekly.restrict_series(d.weekly, SERIES_LIST).select(
         "series_id", "week_start", "total_sales"
     ),
-    "first_series": lambda d: weekly.restrict_series(d.weekly, first_n=5).select(
+    "first_series": lambda d: weekly.restrict_series(d.written(d.weekly, "weekly"), first_n=5).select(
         "series_id", "week_start", "total_sales"
     ),
     "one_series": lambda d: weekly.one_series(d.weekly, ONE_SERIES),

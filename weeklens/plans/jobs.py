@@ -191,7 +191,7 @@ def scoring_job(
     table = ForecastTable(spark, f"{out}/forecasts")
     rows = score_next_weeks(weekly, calendar, states, load_models(spark, params_path), version, steps, defaults)
     _append_once(table, rows, version, generated_at)
-    _, alerts = drift_job(table.scan(), weekly, train_rows(temporal_split(weekly)), error_mode)
+    _, alerts = drift_job(table.latest(), weekly, train_rows(temporal_split(weekly)), error_mode)
     path = f"{out}/alerts/drift/{version}"
     alerts.write.mode("overwrite").parquet(path)
     return spark.read.schema(alerts.schema).parquet(path)

@@ -395,6 +395,8 @@ _STATEMENTS: dict[str, tuple[str, str]] = {
     "latest_version": (
         """SELECT series_id, model_type, arg_max(model_version, generated_at) AS model_version FROM store GROUP BY ALL""", ""),
     "latest_forecasts": (f"SELECT {_STORE} FROM latest", "predicted_value lower_bound upper_bound"),
+    "latest_forecasts_between": (
+        f"SELECT {_STORE} FROM latest WHERE forecast_date BETWEEN DATE '2001-08-20' AND DATE '2001-10-15'", "predicted_value lower_bound upper_bound"),
     "params_scan": (
         "SELECT series_id, 'sar' AS model_type, 'monthly' AS version, phi1, phi_s, sigma2 FROM sar_params", "phi1 phi_s sigma2"),
     "scaler_scan": ("SELECT * FROM scaler", "data_min data_max"),

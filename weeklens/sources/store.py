@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weeklens.functions.checks import require_columns
+from weeklens.sources.batches import Batches
 from weeklens.sources.files import path_exists
 
 FORECAST_SCHEMA = T.StructType(
@@ -62,23 +63,54 @@ def to_forecast_rows(df: DataFrame, generated_at: Column | None = None) -> DataF
 FILES_A_MODEL = 16
 
 
+_KEY = ("series_id", "model_type", "forecast_date")
+_REST = ("horizon", "predicted_value", "lower_bound", "upper_bound")
+_NEWEST = ("generated_at", "model_version", *_REST)
+
+
 class ForecastTable:
-    """Append-only forecast table, one folder per model type so a model filter reads only its files."""
+    """Append-only forecast table, one folder per model type so a model filter reads only its files.
+
+    Beside it stands the newest forecast of every series, model and week, renewed by each append: reading it costs what
+    is forecast, not what was ever appended, and weeks of it are folders of their own.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
+        self.newest = Batches(f"{path}_newest", _KEY, order=_NEWEST, partition="week")
 
     def append(self, df: DataFrame, generated_at: Column | None = None) -> int:
-        """Appends without deduplication and returns the number of rows, counted while they are written."""
+        """Appends without deduplication and returns the number of rows, counted while they are written.
+
+        The rows are written once, to the newest forecasts, and copied from there. An append that is cut off between the
+        two is repeated as a whole; the newest forecasts are the same then.
+        """
         counter = F.count(F.lit(1)).alias("rows")
         observation = Observation()
         rows = to_forecast_rows(df, generated_at).observe(observation, counter)
         # A few tasks hold all rows of a model, spread by series, so an append adds few files whatever its input had.
         spread = F.pmod(F.xxhash64("series_id"), F.lit(FILES_A_MODEL))
-        rows.repartition("model_type", spread).write.mode("append").partitionBy("model_type").parquet(self.path)
+        number = self.newest.next_id(self.spark)
+        week = F.trunc("forecast_date", "week").alias("week")
+        self.newest.write(rows.repartition("model_type", spread).select("*", week), number)
+        written = self.spark.read.schema(FORECAST_SCHEMA).parquet(f"{self.newest.path}/batch={number}")
+        written.repartition("model_type", spread).write.mode("append").partitionBy("model_type").parquet(self.path)
         return int(observation.get["rows"])
 
+    def latest(self, start_date: date | str | None = None, end_date: date | str | None = None) -> DataFrame:
+        """``latest_forecasts`` of the table, both dates inclusive."""
+        wanted = F.lit(True)
+        for bound, after in ((start_date, True), (end_date, False)):
+            if bound:
+                day = F.lit(bound).cast("date")
+                week = F.trunc(day, "week")
+                inside = (F.col("week") >= week) & (F.col("forecast_date") >= day) if after else (F.col("week") <= week) & (F.col("forecast_date") <= day)
+                wanted = wanted & inside
+        if not path_exists(self.spark, self.path):
+            return latest_forecasts(self.scan())
+        return self.newest.read(self.spark, wanted).select(*_KEY, *_REST, "model_version", "generated_at")
+
     def scan(self) -> DataFrame:
         if not path_exists(self.spark, self.path):
             return self.spark.createDataFrame([], FORECAST_SCHEMA)
@@ -128,13 +160,11 @@ def latest_version(forecasts: DataFrame) -> DataFrame:
 
 def latest_forecasts(forecasts: DataFrame) -> DataFrame:
     """One row per series, model and date: the one generated last (appends may repeat a forecast)."""
-    key = ["series_id", "model_type", "forecast_date"]
-    rest = ["horizon", "predicted_value", "lower_bound", "upper_bound"]
-    newest = F.max(F.struct("generated_at", "model_version", *rest))
+    newest = F.max(F.struct(*_NEWEST))
     return (
-        forecasts.groupBy(*key)
+        forecasts.groupBy(*_KEY)
         .agg(newest.alias("newest"))
-        .select(*key, *[F.col(f"newest.{c}").alias(c) for c in [*rest, "model_version", "generated_at"]])
+        .select(*_KEY, *[F.col(f"newest.{c}").alias(c) for c in [*_REST, "model_version", "generated_at"]])
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from weeklens.operators import monitoring
 from weeklens.sources.files import path_exists
-from weeklens.streaming.compaction import Batches
+from weeklens.sources.batches import Batches
 
 WEEK_OFFSET = "4 days"  # the epoch is a Thursday, weeks start on Monday
 
