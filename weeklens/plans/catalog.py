@@ -735,6 +735,7 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "retrain_runs": retrain_runs,
     "score_next_weeks": score_next_weeks,
     "stored_scoring": stored_scoring,
+    "unfitted_series": lambda d: store.missing_params(d.weekly, d.sar_params.where(~F.col("series_id").isin(*SERIES_LIST))),
     "stored_models": stored_models,
     "weekly_scoring": weekly_scoring,
     "drift_job_alerts": drift_job_alerts,

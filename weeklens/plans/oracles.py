@@ -544,6 +544,7 @@ _STATEMENTS: dict[str, tuple[str, str]] = {
         f"SELECT {_FORECAST} FROM sar_fc WHERE scope = 'known'", "predicted_value lower_bound upper_bound"),
     "stored_scoring": (
         f"SELECT {_FORECAST} FROM sar_fc WHERE scope = 'all'", "predicted_value lower_bound upper_bound"),
+    "unfitted_series": (f"SELECT DISTINCT series_id FROM weekly WHERE series_id IN {tuple(SERIES_LIST)!r}", ""),
     "sar_evaluation": (
         """SELECT series_id, 'sar' AS model, mae / nullif(naive_mae, 0) AS "MASE", rmse AS "RMSE", mae AS "MAE", me AS "ME"
            FROM (SELECT f.series_id, avg(abs(predicted_value - total_sales)) AS mae,
