@@ -650,7 +650,7 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "metrics_by_horizon": lambda d: metrics.metrics_by_horizon(d.pairs, d.train),
     # exploration
     "decompose_ma": lambda d: d.parts,
-    "decompose_stl": lambda d: decompose.decompose_stl(d.series),
+    "decompose_stl": lambda d: rounded(decompose.decompose_stl(d.series), MODEL_DIGITS),
     "decompose_stl_plain": lambda d: decompose.decompose_stl(d.series, robust=False),
     "residual_stats": lambda d: decompose.residual_stats(d.parts),
     "control_limits": demand_limits,
@@ -658,8 +658,8 @@ _BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "anomaly_counts": lambda d: decompose.anomaly_counts(d.anomalies),
     "anomaly_summary": lambda d: decompose.anomaly_summary(d.anomalies),
     "anomalies_without_calendar": lambda d: decompose.anomaly_summary(decompose.detect_anomalies(d.parts, None, 2.5)),
-    "anomalies_stl": lambda d: decompose.detect_anomalies(
-        decompose.decompose_stl(d.series), event_weeks(d.calendar)
+    "anomalies_stl": lambda d: rounded(
+        decompose.detect_anomalies(decompose.decompose_stl(d.series), event_weeks(d.calendar)), MODEL_DIGITS
     ),
     "event_weeks": lambda d: event_weeks(d.calendar),
     "acf": lambda d: correlation.acf(d.series),

@@ -350,6 +350,59 @@ TABLES |= {
         FROM stl_rounds r JOIN stl_series s USING (series_id), unnest(range(1, r.n + 1)) AS u(i) WHERE k = 5""",
 }
 
+# -- the same with robustness weights: a local line from five sums, whose weights change after every second pass ---
+
+
+def _local_sums(f: str, r: str, ry: str, y: str, size: str) -> str:
+    """Sums of a place ``f`` over weights ``r`` and weighted values ``ry``, and the value next to it."""
+    part = lambda v: f"{v}[{f}.l + 1:{f}.l + len({f}.a)]"
+    dots = {"s": (f"{f}.a", r), "u": (f"{f}.b", r), "v": (f"{f}.c", r), "p": (f"{f}.a", ry), "q": (f"{f}.b", ry)}
+    sums = ", ".join(f"'{k}': list_inner_product({a}, {part(b)})" for k, (a, b) in dots.items())
+    return f"{{{sums}, 'n': {y}[greatest(0, least({size} - 1, {f}.pos)) + 1], 'size': {size}}}"
+
+
+_LINE = """CASE WHEN m.s > 0 THEN m.p / m.s - CASE WHEN sqrt(greatest(0, m.v / m.s - m.u / m.s * (m.u / m.s))) > 0.001 * (m.size - 1)
+    THEN (m.q / m.s - m.u / m.s * (m.p / m.s)) / (m.v / m.s - m.u / m.s * (m.u / m.s)) * (m.u / m.s) ELSE 0 END ELSE m.n END"""
+_CYCLE = f"""list_transform(list_transform(range(n + 104), lambda q: CASE WHEN len(subs[q % 52 + 1].y) > n // 52
+    THEN {_local_sums("longer[q // 52 + 1]", "subs[q % 52 + 1].r", "subs[q % 52 + 1].ry", "subs[q % 52 + 1].y", "len(subs[q % 52 + 1].y)")}
+    ELSE {_local_sums("shorter[q // 52 + 1]", "subs[q % 52 + 1].r", "subs[q % 52 + 1].ry", "subs[q % 52 + 1].y", "len(subs[q % 52 + 1].y)")} END), lambda m: {_LINE})"""
+_SLOW = f"""list_transform(list_transform(slow, lambda f: {_local_sums("f", "r", "list_transform(rest, lambda v, i: v * r[i])", "rest", "n")}), lambda m: {_LINE})"""
+_SUBS = """list_transform(range(least(52, n)), lambda p: {'y': list_transform(range((n - p + 51) // 52), lambda j: gone[p + 52 * j + 1]),
+    'r': list_transform(range((n - p + 51) // 52), lambda j: r[p + 52 * j + 1]),
+    'ry': list_transform(range((n - p + 51) // 52), lambda j: r[p + 52 * j + 1] * gone[p + 52 * j + 1])})"""
+
+TABLES |= {
+    "rob_places": """
+        SELECT n, list(f ORDER BY pos) FILTER (kind = 'trend') AS slow, list(f ORDER BY pos) FILTER (kind = 'long') AS longer,
+               list(f ORDER BY pos) FILTER (kind = 'short') AS shorter
+        FROM (SELECT n, kind, pos, {'l': l, 'pos': pos, 'a': raw, 'b': list_transform(raw, lambda v, i: v * o[i]),
+                                    'c': list_transform(raw, lambda v, i: v * o[i] * o[i])} AS f FROM stl_tricube)
+        GROUP BY n""",
+    "rob_rounds": f"""
+        SELECT series_id, n, y, 0 AS k, list_transform(y, lambda v: 0::DOUBLE) AS trend, list_transform(y, lambda v: 0::DOUBLE) AS seasonal,
+               list_transform(y, lambda v: 1::DOUBLE) AS r FROM stl_series
+        UNION ALL
+        SELECT series_id, n, y, k + 1, trend, seasonal,
+               CASE WHEN k % 2 = 0 OR k = 31 OR border <= 0 THEN CASE WHEN k % 2 = 0 OR k = 31 THEN r ELSE list_transform(r, lambda v: 1::DOUBLE) END
+                    ELSE list_transform(missed, lambda v: CASE WHEN v / border <= 0.001 THEN 1 WHEN v / border <= 0.999 THEN pow(1 - pow(v / border, 2), 2) ELSE 0 END) END
+        FROM (SELECT *, 6 * list_median(missed) AS border
+              FROM (SELECT *, list_transform(y, lambda v, i: abs(v - trend[i] - seasonal[i])) AS missed
+                    FROM (SELECT series_id, n, y, k, r, seasonal, {_SLOW} AS trend
+                          FROM (SELECT *, list_transform(y, lambda v, i: v - seasonal[i]) AS rest
+                                FROM (SELECT series_id, n, y, k, r, slow, list_transform({_FIT.format(fits="low", values="third")}, lambda v, i: cycle[i + 52] - v) AS seasonal
+                                      FROM (SELECT *, {_MEAN.format("second", 3)} AS third
+                                            FROM (SELECT *, {_MEAN.format("once", 52)} AS second
+                                                  FROM (SELECT *, {_MEAN.format("cycle", 52)} AS once
+                                                        FROM (SELECT *, {_CYCLE} AS cycle
+                                                              FROM (SELECT *, {_SUBS} AS subs
+                                                                    FROM (SELECT x.series_id, x.n, x.y, x.k, x.r, h.low, p.slow, p.longer, p.shorter,
+                                                                                 list_transform(x.y, lambda v, i: v - x.trend[i]) AS gone
+                                                                          FROM rob_rounds x JOIN stl_hats h ON h.n = x.n JOIN rob_places p ON p.n = x.n WHERE x.k < 32)))))))))))""",
+    "rob_parts": """
+        SELECT series_id, weeks[i] AS week_start, x.y[i] AS observed, trend[i] AS trend, seasonal[i] AS seasonal, x.y[i] - trend[i] - seasonal[i] AS residual
+        FROM rob_rounds x JOIN stl_series s USING (series_id), unnest(range(1, x.n + 1)) AS u(i) WHERE k = 32""",
+}
+
 _FORECAST = "series_id, model_type, horizon, forecast_date, predicted_value, lower_bound, upper_bound"
 
 TABLES |= {
@@ -406,6 +459,9 @@ STATEMENTS: dict[str, tuple[str, str]] = {
     "stored_models": ("SELECT * FROM model_fc_rounded", "predicted_value lower_bound upper_bound"),
     "weekly_scoring": (
         "SELECT *, 'v1' AS model_version, DATE '2001-08-06' AS generated_at FROM model_fc_rounded", "predicted_value lower_bound upper_bound"),
+    "decompose_stl": (
+        """SELECT series_id, week_start, observed, round(trend, 3) AS trend, round(seasonal, 3) AS seasonal, round(residual, 3) AS residual,
+                  CAST(NULL AS VARCHAR) AS error FROM rob_parts""", "observed trend seasonal residual"),
     "decompose_stl_plain": (
         "SELECT *, CAST(NULL AS VARCHAR) AS error FROM stl_parts", "observed trend seasonal residual"),
     "adf_test": (

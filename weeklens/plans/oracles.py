@@ -741,8 +741,14 @@ _JOBS = {
         FROM (SELECT *, greatest(0.0, x[-1] * spread + data_min) AS v FROM win_after WHERE h > 0)""",
 }
 _JOBS = {k: v.replace("WIN_", "win_") for k, v in _JOBS.items()}
+# Anomalies in the residuals of STL, by the same rules.
+_JOBS |= {
+    "rob_flagged": re.sub(r"\bparts\b", "rob_parts", TABLES["flagged"]).replace("2.5", "3.0"),
+    "rob_anomalies": re.sub(r"\bflagged\b", "rob_flagged", TABLES["anomalies"]),
+}
 
 _JOB_STATEMENTS = {
+    "anomalies_stl": ("SELECT * REPLACE (round(residual, 3) AS residual) FROM rob_anomalies", "sales residual"),
     "retrain_runs": ("SELECT series_id, model AS model_type, round(val_mase, 3) AS val_mase, 'candidate' AS stage FROM tried_scores", "val_mase"),
     "full_run": (
         """SELECT series_id, model, round_even(mase, 4) AS "MASE", round_even(rmse, 4) AS "RMSE", round_even(mae, 4) AS "MAE",
