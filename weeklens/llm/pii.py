@@ -209,23 +209,23 @@ def _places(batches: Iterator[pa.RecordBatch], bitmap: np.ndarray) -> Iterator[p
         return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["pattern", "places"])
 
     counts: Counter = Counter()
-    normal: dict[str, tuple[str, bool]] = {}
+    words: dict[str, tuple[str, bool, bool]] = {}  # as written: normal form, whether it ends a pattern, and begins one of two
     for batch in batches:
         for text in batch.column("text").to_pylist():
-            words = [_normal(w) for w in _WORD.findall(text or "")[:-1]]
-            single = Counter(words)
-            for word, n in single.items():
-                if word not in normal:
-                    normal[word] = ("1 " + word, known("1 " + word))
-                pattern, there = normal[word]
-                if there:
-                    counts[pattern] += n
-            for a, b in zip(words, words[1:]):
-                if normal[b][1] and known(pattern := f"2 {a} {b}"):
+            written_words = _WORD.findall(text or "")[:-1]
+            for word, n in Counter(written_words).items():
+                if word not in words:
+                    form = _normal(word)
+                    words[word] = (form, known(f"1 {form}"), known(f"3 {form}"))
+                if words[word][1]:
+                    counts[f"1 {words[word][0]}"] += n
+            told = [words[w] for w in written_words]
+            for (a, _, begins), (b, ends, _) in zip(told, told[1:]):
+                if ends and begins and known(pattern := f"2 {a} {b}"):
                     counts[pattern] += 1
-            if len(counts) >= HELD or len(normal) >= HELD:
+            if len(counts) >= HELD or len(words) >= HELD:
                 yield batch_of(counts)
-                counts, normal = Counter(), {}
+                counts, words = Counter(), {}
     yield batch_of(counts)
 
 
@@ -254,7 +254,9 @@ def pattern_graph(rows: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFram
         "pattern-edges",
     )
     induced = rows.select(F.explode("base").alias("x")).select(F.explode("x.patterns").alias("pattern")).distinct()
-    bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(induced))
+    # Pairs of words are looked up only behind words that begin one.
+    begins = induced.where("pattern like '2 %'").select(F.concat(F.lit("3 "), F.split("pattern", " ")[1]).alias("pattern"))
+    bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(induced.union(begins)))
     counted = docs.select("text").mapInArrow(lambda b: _places(b, bitmap.value), "pattern string, places bigint")
     places = counted.groupBy("pattern").agg(F.sum("places").alias("places"))
     filled = edges.groupBy("pattern").agg(F.sum("n").alias("filled"))
