@@ -197,12 +197,12 @@ class Inputs:
         ).join(self.calendar.select("date", F.substring("d", 3, 9).cast("int").alias("day")), "date")
         ids = list(files.WIDE_ID_COLUMNS)
         sold = keyed.groupBy(*ids, "day").agg(F.sum("sales").alias("sales"))
-        unsold = sold.select(*ids).distinct().select(
-            *ids, F.explode(F.sequence(F.lit(1), F.lit(days))).alias("day"), F.lit(0).cast("bigint").alias("sales")
-        )
-        cells = sold.unionByName(unsold).groupBy(*ids, "day").agg(F.sum("sales").alias("sales"))
-        rows = cells.groupBy(*ids).agg(F.array_sort(F.collect_list(F.struct("day", "sales"))).alias("cells"))
-        line = F.concat_ws(",", *ids, F.transform("cells", lambda c: c["sales"].cast("string")))
+        # The days without sales are filled in within the row: a zero for each day, dropped where the day has sales.
+        zeros = F.transform(F.sequence(F.lit(1), F.lit(days)), lambda d: F.struct(d.alias("day"), F.lit(1).alias("empty"), F.lit(0).cast("bigint").alias("sales")))
+        cells = F.collect_list(F.struct("day", F.lit(0).alias("empty"), "sales"))
+        rows = sold.groupBy(*ids).agg(F.array_sort(F.concat(cells, zeros)).alias("cells"))
+        first = F.filter("cells", lambda c, i: (c["empty"] == 0) | (i == 0) | (F.get("cells", i - 1)["day"] != c["day"]))
+        line = F.concat_ws(",", *ids, F.transform(first, lambda c: c["sales"].cast("string")))
         header = ",".join([*ids, *[f"{files.DAY_PREFIX}{i + 1}" for i in range(days)]])
         path = work_path(self.spark, "sales_wide")
         # The lines hold their own commas, so the writer gets a separator that never occurs.
