@@ -36,12 +36,14 @@ class LmConfig:
     """words: with numbers of their own; sent: whose counts go to the tasks, at most; tails: classes of all other words.
 
     All training documents train the network, each in one of the ``rounds``, at every size; counts are over all of them too.
+    A round is dealt to parts of about ``part_tokens`` tokens, so their number follows from the corpus alone.
     """
 
     words: int = 1008
     tails: int = 24
     sent: int = 200_000
     rounds: int = 2
+    part_tokens: int = 2_000_000
     width: int = 64
     window: int = 20
     rate: float = 0.2
@@ -142,7 +144,19 @@ def _train_part(frames: Iterator[pd.DataFrame], lex: Lexicon, blob: bytes, confi
         yield pd.DataFrame({"part": [0], "tokens": [seen], "net": [gru.packed(net)]})
 
 
+def _dealt(training: DataFrame) -> DataFrame:
+    """(text, h) of every training row: ``h`` is a hash of the row and, among rows that repeat one another, of its number.
+
+    Equal rows are counted before they move, and their copies dealt apart, so neither one task nor the order of the input
+    decides where a row trains.
+    """
+    counted = written(training.groupBy("doc_id", "text").agg(F.count("*").alias("copies")), "training")
+    each = counted.select("doc_id", "text", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    return each.select("text", F.xxhash64("doc_id", "text", "copy").alias("h"))
+
+
 def _averaged(frame: pd.DataFrame) -> pd.DataFrame:
+    frame = frame.sort_values("part")
     total, mean = int(frame["tokens"].sum()), {}
     for tokens_, blob in zip(frame["tokens"], frame["net"]):
         for k, v in gru.unpacked(blob).items():
@@ -154,24 +168,30 @@ _PART = T.StructType([T.StructField("part", T.LongType()), T.StructField("tokens
 
 
 def train_network(training: DataFrame, lex: Lexicon, config: LmConfig) -> gru.Net:
-    """Rounds of local training: every task trains its own copy on its documents, then the copies are averaged.
+    """Rounds of local training: every part trains its own copy on its documents, then the copies are averaged.
 
-    A hash deals every document to one round, so together the rounds are one pass over all of them.
+    A hash deals every document to one part of one round, so together the rounds are one pass over all of them, and how
+    the input lies in partitions plays no part.
     Averages are taken of ``group`` copies at a time, weighted by their tokens, until one group is left; neither a task
     nor the driver holds more copies than that.
     """
     spark = training.sparkSession
     net = gru.fresh(lex.shape, lex.numbers, config.seed)
-    round_of = F.pmod(F.xxhash64("doc_id", "text"), F.lit(config.rounds))
+    each_round = max(1, round(lex.total / config.rounds / config.part_tokens))
+    dealt = _dealt(training).withColumn("part", F.pmod("h", F.lit(config.rounds * each_round)))
     for turn in range(config.rounds):
-        chosen = training.where(round_of == turn).select("text")
+        chosen = dealt.where(F.pmod("part", F.lit(config.rounds)) == turn)
         sent = spark.sparkContext.broadcast((lex, gru.packed(net)))
-        parts = chosen.mapInPandas(lambda frames, sent=sent: _train_part(frames, *sent.value, config), _PART)
-        parts = written(parts.withColumn("part", F.spark_partition_id().cast("bigint")), "nets")
+
+        def train(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+            trained = list(_train_part(iter([frame.sort_values("h")]), *sent.value, config))
+            return trained[0].assign(part=key[0] // config.rounds)
+
+        parts = written(chosen.groupBy("part").applyInPandas(train, _PART), "nets")
         copies = parts.count()
         while copies > config.group:
             keyed = parts.withColumn("part", F.expr(f"part div {config.group}"))
-            parts = written(keyed.groupBy("part").applyInPandas(lambda key, frame: _averaged(frame).assign(part=key[0]), _PART), "nets")
+            parts = written(keyed.groupBy("part").applyInPandas(lambda key, frame: _averaged(frame).assign(part=key[0]), _PART), "averages")
             copies = parts.count()
         rows = parts.orderBy("part").toPandas()
         if len(rows):
