@@ -7,14 +7,15 @@ are sent to the tasks; the rest meet their counts by a join.
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +38,7 @@ class LmConfig:
 
     All training documents train the network, each in one of the ``rounds``, at every size; counts are over all of them too.
     A round is dealt to parts of about ``part_tokens`` tokens, so their number follows from the corpus alone.
+    A task trains the copies of ``together`` parts side by side.
     """
 
     words: int = 1008
@@ -44,6 +46,7 @@ class LmConfig:
     sent: int = 200_000
     rounds: int = 2
     part_tokens: int = 2_000_000
+    together: int = 4
     width: int = 64
     window: int = 20
     rate: float = 0.2
@@ -58,20 +61,33 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode().translate(_LOWER).split(), END]
 
 
-def _count(batches: Iterator[pa.RecordBatch], most: int = 400_000) -> Iterator[pa.RecordBatch]:
-    def out(counts: Counter) -> pa.RecordBatch:
-        words = list(counts)
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([counts[w] for w in words], pa.int64())], ["word", "n"])
+def _runs(texts: pa.Array, most: int) -> Iterator[pa.Array]:
+    """The texts in runs of about ``most`` bytes, so that memory follows no batch of long texts."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    run = (np.cumsum(sizes) - sizes) // most
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(texts)]
+    for start, stop in zip(cuts, cuts[1:]):
+        if start < stop:
+            yield texts.slice(start, stop - start)
 
-    counts: Counter = Counter()
+
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts one after the other, without the ends; how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat = lists.flatten().cast(pa.binary())
+    some = pc.not_equal(pc.binary_length(flat), 0)  # blanks at a text's border leave an empty one
+    upto = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])
+    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
+    return flat.filter(some), np.diff(upto[ends])
+
+
+def _count(batches: Iterator[pa.RecordBatch], most: int = 1 << 25) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for text in batch.column(0):
-            counts.update(tokens(text.as_py()))
-            if len(counts) > most:
-                yield out(counts)
-                counts = Counter()
-    if counts:
-        yield out(counts)
+        for texts in _runs(batch.column(0), most):
+            counts = pc.value_counts(_words(texts)[0])
+            words = pa.concat_arrays([counts.field("values"), pa.array([END], pa.binary())])
+            times = pa.concat_arrays([counts.field("counts"), pa.array([len(texts)], pa.int64())])
+            yield pa.RecordBatch.from_arrays([words, times], ["word", "n"])
 
 
 def word_counts(training: DataFrame) -> DataFrame:
@@ -86,10 +102,12 @@ def _tail_class(tails: int):
 
 @dataclass
 class Lexicon:
-    """What every task knows of the counts. ``sent``: word to (number in the network, log10 of its count plus one)."""
+    """What every task knows of the counts. Of each word in ``sent``: its number in the network, log10 of its count plus one."""
 
     shape: gru.Shape
-    sent: dict[bytes, tuple[int, float]]
+    sent: pa.Array
+    sent_numbers: np.ndarray
+    sent_logs: np.ndarray
     total: int
     distinct: int
     class_mass: np.ndarray  # of each tail class: log10 of (tokens + words + 1) over all its words
@@ -110,38 +128,82 @@ def lexicon(counts: DataFrame, config: LmConfig) -> Lexicon:
         mass[r["c"]] = r["n"], r["k"]
     total, distinct = mass.sum(axis=0).tolist()
     numbers = np.zeros(shape.numbers, np.int64)
-    sent = {}
-    for i, r in enumerate(frequent):
-        word, n = bytes(r["word"]), r["n"]
+    sent = [bytes(r["word"]) for r in frequent]
+    sent_numbers = np.zeros(len(sent), np.int32)
+    for i, (word, r) in enumerate(zip(sent, frequent)):
         tail = crc32(word[-1:]) % config.tails
-        number = i if i < config.words else config.words + tail
-        sent[word] = (number, math.log10(n + 1))
+        sent_numbers[i] = i if i < config.words else config.words + tail
         if i < config.words:
-            numbers[i] = n
-            mass[tail] -= n, 1
+            numbers[i] = r["n"]
+            mass[tail] -= r["n"], 1
+    sent_logs = np.log10(np.array([r["n"] for r in frequent], np.float64) + 1)
     numbers[config.words :] = mass[:, 0]
-    return Lexicon(shape, sent, total, distinct, np.log10(mass.sum(axis=1) + 1.0), numbers)
+    return Lexicon(shape, pa.array(sent, pa.binary()), sent_numbers, sent_logs, total, distinct, np.log10(mass.sum(axis=1) + 1.0), numbers)
+
+
+@dataclass
+class _Read:
+    """Texts as the network reads them. ``at``: place in ``sent`` of every token, ends included, or -1; ``starts``: of texts."""
+
+    at: np.ndarray
+    numbers: np.ndarray
+    starts: np.ndarray
+    words: pa.Array
+    sizes: np.ndarray
+
+    def texts(self) -> list[np.ndarray]:
+        return np.split(self.numbers, self.starts[1:])
+
+
+def _read(lex: Lexicon, texts: pa.Array) -> _Read:
+    """Looks every word of the texts up among those sent; the others have the number of their tail class."""
+    words, sizes = _words(texts)
+    starts = np.cumsum(sizes + 1) - sizes - 1
+    is_end = np.zeros(len(words) + len(texts), bool)
+    is_end[starts + sizes] = True
+    at, last = np.empty(len(is_end), np.int32), np.empty(len(is_end), np.uint8)
+    for place, found in ((~is_end, words), (is_end, pa.array([END], pa.binary()))):
+        ids = pc.fill_null(pc.index_in(found, value_set=lex.sent), -1).to_numpy(zero_copy_only=False)
+        _, offsets, data = found.buffers()
+        upto = np.frombuffer(offsets, np.int32)[found.offset : found.offset + len(found) + 1]
+        at[place], last[place] = ids, np.frombuffer(data or b"", np.uint8)[upto[1:] - 1]
+    tails = np.array([lex.shape.words + crc32(bytes([b])) % lex.shape.tails for b in range(256)], np.int32)
+    numbers = tails[last]
+    known = at >= 0
+    numbers[known] = lex.sent_numbers[at[known]]
+    return _Read(at, numbers, starts, words, sizes)
 
 
 def _numbers(lex: Lexicon, text: str | None) -> np.ndarray:
-    sent, words, tails = lex.sent, lex.shape.words, lex.shape.tails
-    return np.array([sent[t][0] if t in sent else words + crc32(t[-1:]) % tails for t in tokens(text)], np.int32)
+    return _read(lex, pa.array([text], pa.string())).numbers
 
 
-def _train_part(frames: Iterator[pd.DataFrame], lex: Lexicon, blob: bytes, config: LmConfig) -> Iterator[pd.DataFrame]:
-    net, past, seen, texts, size = gru.unpacked(blob), None, 0, [], 0
-    for frame in frames:
-        for text in frame["text"]:
-            texts.append(_numbers(lex, text))
-            size += len(texts[-1])
-            if size >= 200_000:
-                past = gru.train(net, lex.shape, texts, config.width, config.window, config.rate, past)
-                seen, texts, size = seen + size, [], 0
-    if texts:
-        gru.train(net, lex.shape, texts, config.width, config.window, config.rate, past)
-        seen += size
-    if seen:
-        yield pd.DataFrame({"part": [0], "tokens": [seen], "net": [gru.packed(net)]})
+def _chunks(lex: Lexicon, texts: pd.Series, least: int = 200_000) -> Iterator[list[np.ndarray]]:
+    """The texts as numbers, at least so many tokens at a time."""
+    chunk, size = [], 0
+    for run in _runs(pa.array(texts, pa.string()), 1 << 22):
+        for text in _read(lex, run).texts():
+            chunk.append(text)
+            size += len(text)
+            if size >= least:
+                yield chunk
+                chunk, size = [], 0
+    if chunk:
+        yield chunk
+
+
+def _train_parts(frame: pd.DataFrame, lex: Lexicon, blob: bytes, config: LmConfig) -> pd.DataFrame:
+    """A copy of the network for every ``part`` of the frame, trained on the part's texts in the order of ``h``.
+
+    The copies know nothing of one another; they take their steps together because numpy then has larger arrays.
+    """
+    parts = [(part, _chunks(lex, own["text"])) for part, own in frame.sort_values(["part", "h"]).groupby("part")]
+    nets, pasts = [gru.unpacked(blob) for _ in parts], [None] * len(parts)
+    seen = np.zeros(len(parts), np.int64)
+    for chunks in itertools.zip_longest(*(chunks for _, chunks in parts), fillvalue=()):
+        seen += [sum(map(len, chunk)) for chunk in chunks]
+        pasts = gru.train_together(nets, lex.shape, list(chunks), config.width, config.window, config.rate, pasts)
+    return pd.DataFrame({"part": [part for part, _ in parts], "tokens": seen, "net": [gru.packed(net) for net in nets]})
 
 
 def _dealt(training: DataFrame) -> DataFrame:
@@ -183,11 +245,11 @@ def train_network(training: DataFrame, lex: Lexicon, config: LmConfig) -> gru.Ne
         chosen = dealt.where(F.pmod("part", F.lit(config.rounds)) == turn)
         sent = spark.sparkContext.broadcast((lex, gru.packed(net)))
 
-        def train(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-            trained = list(_train_part(iter([frame.sort_values("h")]), *sent.value, config))
-            return trained[0].assign(part=key[0] // config.rounds)
+        def train(frame: pd.DataFrame) -> pd.DataFrame:
+            return _train_parts(frame, *sent.value, config)
 
-        parts = written(chosen.groupBy("part").applyInPandas(train, _PART), "nets")
+        tasks = chosen.withColumn("part", F.expr(f"part div {config.rounds}")).groupBy(F.expr(f"part div {config.together}"))
+        parts = written(tasks.applyInPandas(train, _PART), "nets")
         copies = parts.count()
         while copies > config.group:
             keyed = parts.withColumn("part", F.expr(f"part div {config.group}"))
@@ -212,41 +274,25 @@ _SCORED = T.StructType(
 
 
 def _score(frames: Iterator[pd.Series], lex: Lexicon, net: gru.Net) -> Iterator[pd.DataFrame]:
-    words, tails, sent = lex.shape.words, lex.shape.tails, lex.sent
-    for texts in frames:
-        # Runs of texts of about a million tokens are scored together, so memory follows no batch of long texts.
-        rows, run, size = [], [], 0
-
-        def flush() -> None:
-            for row, found in zip(rows[len(rows) - len(run) :], gru.log_likelihood(net, lex.shape, run)):
-                row[3] += found / LN10
-            run.clear()
-
-        for text in texts:
-            found = tokens(text)
-            numbers = np.empty(len(found), np.int32)
-            sent_log = tail_log = 0.0
-            rest = []
-            for i, t in enumerate(found):
-                known = sent.get(t)
-                if known is None:
-                    tail = crc32(t[-1:]) % tails
-                    numbers[i] = words + tail
-                    tail_log -= lex.class_mass[tail]
-                    rest.append(xxhash.xxh64_intdigest(t, 42))
-                else:
-                    numbers[i] = number = known[0]
-                    sent_log += known[1]
-                    if number >= words:
-                        tail_log += known[1] - lex.class_mass[number - words]
-            run.append(numbers)
-            rows.append([len(found), len(found) - len(rest), sent_log, tail_log, np.array(rest, np.uint64).view(np.int64)])
-            size += len(found)
-            if size >= 1_500_000:
-                flush()
-                size = 0
-        flush()
-        yield pd.DataFrame(rows, columns=_SCORED.fieldNames())
+    logs = np.append(lex.sent_logs, 0.0)  # the last is for words that were not sent
+    for frame in frames:
+        rows = []
+        for run in _runs(pa.array(frame, pa.string()), 1 << 23):
+            found = _read(lex, run)
+            known, sent = found.at >= 0, logs[found.at]
+            tail = np.where(found.numbers >= lex.shape.words, sent, 0.0)
+            tail -= np.append(np.zeros(lex.shape.words), lex.class_mass)[found.numbers]
+            net_log = gru.log_likelihood(net, lex.shape, found.texts()) / LN10 + np.add.reduceat(tail, found.starts)
+            n_known = np.add.reduceat(known, found.starts, dtype=np.int64)
+            ends = found.starts + found.sizes
+            others = np.flatnonzero(~np.delete(known, ends))
+            hashes = np.array([xxhash.xxh64_intdigest(w.as_py(), 42) for w in found.words.take(pa.array(others))], np.uint64).view(np.int64)
+            # An end that was not sent is among the rest, too.
+            end_hash = np.array([xxhash.xxh64_intdigest(END, 42)], np.uint64).view(np.int64)
+            rest = np.split(hashes, np.searchsorted(others, np.cumsum(found.sizes)[:-1]))
+            rest = [r if k else np.append(r, end_hash) for r, k in zip(rest, known[ends])]
+            rows.append(pd.DataFrame(dict(zip(_SCORED.fieldNames(), (found.sizes + 1, n_known, np.add.reduceat(sent, found.starts), net_log, rest)))))
+        yield pd.concat(rows, ignore_index=True) if rows else pd.DataFrame(columns=_SCORED.fieldNames())
 
 
 def scored(docs: DataFrame, config: LmConfig = LmConfig()) -> DataFrame:
