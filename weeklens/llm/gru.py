@@ -124,8 +124,9 @@ def advance(nets: list[_Laid], read: np.ndarray, state: np.ndarray, restarts: np
     half, kept = F32(0.5), 1 if shared else steps
     x = np.empty((3, steps, count, width, h), F32)
     for i, net in enumerate(nets):
-        x[:, :, i] = net.read.take(read[:, i].ravel(), axis=0).reshape(steps, width, 3, h).transpose(2, 0, 1, 3)
-    x[:2] *= half  # a sigmoid is half of one plus tanh of the half
+        rows = net.read.take(read[:, i].ravel(), axis=0).reshape(steps, width, 3, h).transpose(2, 0, 1, 3)
+        np.multiply(rows[:2], half, out=x[:2, :, i])  # a sigmoid is half of one plus tanh of the half
+        x[2, :, i] = rows[2]
     turn = np.stack([net.turn for net in nets], axis=1)
     turn[:2] *= half
     states = np.empty((steps, *state.shape), F32)

@@ -75,10 +75,13 @@ def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Words of all texts one after the other, without the ends; how many each text has."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
     flat = lists.flatten().cast(pa.binary())
-    some = pc.not_equal(pc.binary_length(flat), 0)  # blanks at a text's border leave an empty one
-    upto = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])
-    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
-    return flat.filter(some), np.diff(upto[ends])
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    some = np.diff(np.frombuffer(flat.buffers()[1], np.int32)[flat.offset : flat.offset + len(flat) + 1]) > 0
+    if some.all():
+        return flat, sizes
+    # Blanks at a text's border leave an empty word.
+    upto, ends = np.concatenate([[0], np.cumsum(some)]), np.concatenate([[0], np.cumsum(sizes)])
+    return flat.filter(pa.array(some)), np.diff(upto[ends])
 
 
 def _count(batches: Iterator[pa.RecordBatch], most: int = 1 << 25) -> Iterator[pa.RecordBatch]:
