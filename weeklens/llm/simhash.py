@@ -108,7 +108,7 @@ def _in_full_keys(prints: DataFrame, max_distance: int) -> DataFrame:
         met = entries.withColumn("first", F.min("fp").over(Window.partitionBy("key")))
     else:
         first = entries.groupBy("key").agg(F.min("fp").alias("first"))
-        met = prints.select("fp", F.explode(segment_balls(F.col("fp"), near + 1)).alias("key")).join(first, "key")
+        met = prints.select("fp", F.explode(segment_balls(F.col("fp"), near + 1)).alias("key")).join(first.hint("merge"), "key")
     return met.where("fp <> first").select(F.col("fp").alias("a"), F.col("first").alias("b"))
 
 
@@ -124,9 +124,10 @@ def links(prints: DataFrame, max_distance: int = MAX_DISTANCE, hot: int = HOT) -
     table = _table(prints, max_distance)
     sizes = table.groupBy("segment", "value").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("segment", "value")
     sizes = written(sizes, "hot-segments")
-    cold = table.join(sizes, ["segment", "value"], "left_anti")
+    cold = table.join(sizes.hint("merge"), ["segment", "value"], "left_anti")
     marks = sizes.select("segment", "value", F.lit(None).cast("bigint").alias("entry"))
-    met = _probes(prints, max_distance).join(cold.union(marks), ["segment", "value"])
+    # Spark takes a ball for as large as its fingerprint, so without the hint it would broadcast all probes.
+    met = _probes(prints, max_distance).join(cold.union(marks).hint("merge"), ["segment", "value"])
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("entry")))
     found = written(met.where(F.col("entry").isNull() | ((F.col("fp") != F.col("entry")) & (distance <= max_distance))).select(F.col("fp").alias("a"), F.col("entry").alias("b")), "links")
     full = found.where("b is null").select(F.col("a").alias("fp")).distinct()
@@ -136,7 +137,7 @@ def links(prints: DataFrame, max_distance: int = MAX_DISTANCE, hot: int = HOT) -
 def group_fingerprints(prints: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """(fp, group): the smallest fingerprint that is reached from each distinct fingerprint over links."""
     roots = components(links(prints, max_distance)).select(F.col("node").alias("fp"), "root")
-    return prints.select("fp").distinct().join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("group"))
+    return prints.select("fp").distinct().join(roots.hint("merge"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("group"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE) -> DataFrame:
@@ -148,11 +149,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_distance: int =
     """
     prints = written(docs.select("doc_id", fingerprint("text", shingle).alias("fp")), "prints")
     groups = written(
-        prints.groupBy("fp").agg(F.min("doc_id").alias("least")).join(group_fingerprints(prints, max_distance), "fp"), "groups"
+        prints.groupBy("fp").agg(F.min("doc_id").alias("least")).join(group_fingerprints(prints, max_distance).hint("merge"), "fp"), "groups"
     )
-    named = groups.groupBy("group").agg(F.min("least").alias("component_id"))
-    names = groups.join(named, "group").select("fp", "component_id")
-    return prints.join(names, "fp").select(
+    # Written, so that both sides of the join are exchanges and a very large group is split by adaptive execution.
+    named = written(groups.groupBy("group").agg(F.min("least").alias("component_id")), "named")
+    names = groups.join(named.hint("merge"), "group").select("fp", "component_id")
+    return prints.join(names.hint("merge"), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -167,7 +169,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_distance:
         row_key(docs).select("row.doc_id", "id", "tie", fingerprint("row.text", shingle).alias("fp")), "prints"
     )
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "tie", "id"))
-    groups = prints.groupBy("fp").agg(first.alias("first")).join(group_fingerprints(prints, max_distance), "fp")
+    groups = prints.groupBy("fp").agg(first.alias("first")).join(group_fingerprints(prints, max_distance).hint("merge"), "fp")
     kept = groups.groupBy("group").agg(F.min("first").alias("first")).select("first.id", "first.tie")
     stay = row_key(docs).join(kept.hint("merge"), ["id", "tie"], "left_semi")
     return stay.dropDuplicates(["id", "tie"]).select("row.*")
