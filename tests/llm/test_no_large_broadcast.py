@@ -2,7 +2,7 @@
 
 import pytest
 
-from weeklens.llm import simhash
+from weeklens.llm import mixing, simhash
 
 
 def broadcasts(frame):
@@ -26,7 +26,8 @@ def planned(monkeypatch):
         found.append((name, broadcasts(df)))
         return write(df, name)
 
-    monkeypatch.setattr(simhash, "written", written)
+    for module in (simhash, mixing):
+        monkeypatch.setattr(module, "written", written)
     return found
 
 
@@ -47,3 +48,10 @@ def test_fingerprints_of_documents_are_not_broadcast(planned, docs):
     last = [simhash.near_duplicates(docs), simhash.drop_near_duplicates(docs)]
     assert [x for _, found in planned for x in found] + [x for df in last for x in broadcasts(df)] == []
     assert last[0].count() == docs.count() and last[1].count() <= docs.count()
+
+
+def test_pieces_and_blocks_of_a_mix_are_not_broadcast(planned, docs):
+    rows = mixing.mix(docs, least_block=2).rows
+    found = broadcasts(rows)
+    assert not any("Generate" in x or "block" in x for x in found)
+    assert len(found) <= 1  # sources with their targets

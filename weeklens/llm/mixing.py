@@ -156,14 +156,15 @@ def mix(docs: DataFrame, cap: int = CAP, most_slots: int = MOST_SLOTS, least_blo
     # All slots of a block but its last are whole; the last may stop inside the block.
     partial = F.least(high, F.col("block") * block + F.col("part")) - low
     words = (F.col("slots") - 1) * (high - low) + F.greatest(F.lit(0), partial)
-    taken = pieces.join(by_block, ["ord", "block"]).groupBy("ord", "pos").agg(F.sum(words).alias("taken"))
+    # Spark takes the pieces of a row for as large as the row, so without the hint it may broadcast them.
+    taken = pieces.join(by_block.hint("merge"), ["ord", "block"]).groupBy("ord", "pos").agg(F.sum(words).alias("taken"))
     opened = by_block.select("ord", F.col("block").alias("_block"), F.col("slots"), "part")
     begins = F.col("start") - F.col("_block") * block
     copies = F.coalesce(F.col("slots") - F.when(begins >= F.col("part"), 1).otherwise(0), F.lit(0))
     rows = (
-        stream.join(taken, ["ord", "pos"], "left")
+        stream.join(taken.hint("merge"), ["ord", "pos"], "left")
         .withColumn("_block", F.expr(f"start div {block}"))
-        .join(opened, ["ord", "_block"], "left")
+        .join(opened.hint("merge"), ["ord", "_block"], "left")
         .join(targets.select("ord", "source", "source_size", "target"), "ord")
         .select(
             "doc_id", "id", "tie", "source", "size", "source_size", "target",
